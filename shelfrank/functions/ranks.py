@@ -39,43 +39,61 @@ def global_index(df: DataFrame, order_cols, name: str = "gidx", descending=None)
     return spark.createDataFrame(rdd, schema)
 
 
-def rank_items(items_scored: DataFrame, score_col: str, rank_col: str = "grank") -> DataFrame:
-    """Global 1-based rank of items by score desc, item_idx asc."""
-    g = global_index(items_scored, [score_col, "item_idx"], "_gi", [True, False])
-    return g.withColumn(rank_col, F.col("_gi") + 1).drop("_gi")
+def rank_items(scored: DataFrame, score_col: str, keys=(), rank_col: str = "grank") -> DataFrame:
+    """1-based dense rank by score desc, item_idx asc, within each key group.
+
+    One distributed sort over (keys, score, item); the per-group offset is the
+    group's smallest global index (a groupBy, not a window over everything).
+    """
+    keys = list(keys)
+    g = global_index(scored, keys + [score_col, "item_idx"], "_gi",
+                     [False] * len(keys) + [True, False])
+    if not keys:
+        return g.withColumn(rank_col, F.col("_gi") + 1).drop("_gi")
+    off = g.groupBy(*keys).agg(F.min("_gi").alias("_off"))
+    return (g.join(off, keys)
+            .withColumn(rank_col, F.col("_gi") - F.col("_off") + 1).drop("_gi", "_off"))
 
 
-def drop_seen(pairs: DataFrame, seen: DataFrame) -> DataFrame:
+def drop_seen(pairs: DataFrame, seen: DataFrame, keys=()) -> DataFrame:
     """Remove already-seen (user, item) pairs; duplicates in seen are harmless."""
-    return pairs.join(seen.select("user_idx", "item_idx").distinct(),
-                      ["user_idx", "item_idx"], "left_anti")
+    cols = list(keys) + ["user_idx", "item_idx"]
+    return pairs.join(seen.select(*cols).distinct(), cols, "left_anti")
 
 
 def top_k_unseen_global(ranked: DataFrame, users_df: DataFrame, seen: DataFrame | None,
-                        k: int, n_ranked: int | None = None,
-                        rank_col: str = "grank") -> DataFrame:
-    """Top k of a user-independent ranking per user, seen items skipped.
-
-    ``ranked`` has (item_idx, <rank_col> 1-based dense, ...).  Returns
-    (user_idx, item_idx, rank, <ranked columns>).  Exact: the j-th unseen rank
-    is at most j + |seen_u|.
+                        k: int, keys=(), rank_col: str = "grank") -> DataFrame:
+    """Top k of a user-independent ranking per (keys, user), seen items skipped.
+
+    ``ranked``: (keys..., item_idx, <rank_col> 1-based dense, ...).
+    ``users_df``: (keys..., user_idx) - who gets recommendations.
+    ``seen``: (keys..., user_idx, item_idx) or None.
+    Returns (keys..., user_idx, item_idx, rank, <ranked columns>).  Exact: the
+    j-th unseen rank is at most j + |seen_u|, and ranks beyond the item count
+    simply find no item.
     """
-    if n_ranked is None:
-        n_ranked = ranked.count()
-    u = users_df.select("user_idx").distinct()
+    keys = list(keys)
+    n = ranked.groupBy(*keys).agg(F.max(rank_col).alias("_n")) if keys else \
+        ranked.agg(F.max(rank_col).alias("_n")).withColumn("_one", F.lit(1))
+    jk = keys if keys else ["_one"]
+    u = users_df.select(*keys, "user_idx").distinct()
+    if not keys:
+        u = u.withColumn("_one", F.lit(1))
     if seen is None:
-        cand = u.select("user_idx", F.explode(F.sequence(F.lit(1), F.lit(min(k, n_ranked)).cast("long")))
-                        .alias(rank_col))
-        best = cand
+        base = u.join(n, jk).withColumn("_c", F.lit(0).cast("long"))
+        seen_r = None
     else:
-        seen_r = (seen.select("user_idx", "item_idx").distinct()
-                  .join(ranked.select("item_idx", rank_col), "item_idx")
-                  .select("user_idx", rank_col))
-        c = seen_r.groupBy("user_idx").agg(F.count(F.lit(1)).alias("_c"))
-        upper = F.least(F.lit(k).cast("long") + F.coalesce(F.col("_c"), F.lit(0)),
-                        F.lit(n_ranked).cast("long"))
-        cand = (u.join(c, "user_idx", "left")
-                .select("user_idx", F.explode(F.sequence(F.lit(1).cast("long"), upper)).alias(rank_col)))
-        best = cand.join(seen_r, ["user_idx", rank_col], "left_anti")
-    best = top_k(best, k, ["user_idx"], [F.col(rank_col)], "rank")
-    return best.join(ranked, rank_col)
+        seen_r = (seen.select(*keys, "user_idx", "item_idx").distinct()
+                  .join(ranked.select(*keys, "item_idx", rank_col), keys + ["item_idx"])
+                  .select(*keys, "user_idx", rank_col))
+        c = seen_r.groupBy(*keys, "user_idx").agg(F.count(F.lit(1)).alias("_c"))
+        base = u.join(c, keys + ["user_idx"], "left").join(n, jk)
+    upper = F.least(F.lit(k).cast("long") + F.coalesce(F.col("_c"), F.lit(0)).cast("long"),
+                    F.col("_n").cast("long"))
+    cand = base.select(*keys, "user_idx",
+                       F.explode(F.when(upper >= 1, F.sequence(F.lit(1).cast("long"), upper)))
+                       .alias(rank_col))
+    if seen_r is not None:
+        cand = cand.join(seen_r, keys + ["user_idx", rank_col], "left_anti")
+    best = top_k(cand, k, keys + ["user_idx"], [F.col(rank_col)], "rank")
+    return best.join(ranked, keys + [rank_col])
