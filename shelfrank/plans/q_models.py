@@ -66,3 +66,85 @@ def m04_knn_vectors(spark, sf):
             .join(own.withColumnRenamed("qid", "vec_id"), ["vec_id", "label"], "left")
             .select("vec_id", "label", "pred_label", r6(F.col("c") / 3.0).alias("prob_pred"),
                     r6(F.coalesce("oc", F.lit(0)) / 3.0).alias("prob_own")))
+
+
+# ---------------------------------------------------------------- content models on the log roles
+from shelfrank.models.baselines import ContentBasedRecommender, RandomRecommender  # noqa: E402
+from shelfrank.models.linear import LR_VARIANTS, LinearRecommender  # noqa: E402
+from shelfrank.models.trees import TreeRecommender  # noqa: E402
+from shelfrank.plans.registry import with_roles  # noqa: E402
+
+
+def _lr_query(variant):
+    def run(spark, sf):
+        r = roles.load(spark, sf)
+        m = LinearRecommender("lr", variant).fit(r.log, r.users, r.items)
+        return m.predict(r.log, K, r.users, r.items)
+    run.__doc__ = f"M1 ({variant}): logistic regression, R4 shaping, seen removed, top 5 (rows check)."
+    return run
+
+
+for _v in LR_VARIANTS:
+    query(f"m01_logreg_{_v}_topk")(_lr_query(_v))
+
+
+@query("m12_linear_svm_topk")
+def m12_svm(spark, sf):
+    """Linear SVM, raw margin (user-independent order) -> global ranking minus seen."""
+    r = roles.load(spark, sf)
+    m = LinearRecommender("svm", max_iter=50).fit(r.log, r.users, r.items)
+    return m.predict(r.log, K, r.users, r.items)
+
+
+# Search space of the registered query: the reference's draws cost minutes per
+# fit on one machine, so the registered run draws 2 sets from a smaller space.
+RF_QUERY_SPACE = {"num_trees": (10, 30), "max_depth": (5, 10), "min_leaf": (1, 10),
+                  "features": ["sqrt", "log2", "all"]}
+
+
+@query("m02_random_forest_topk")
+def m02_rf(spark, sf):
+    """M2: random forest chosen by seeded randomized search (3 hash folds, accuracy), R3."""
+    r = roles.load(spark, sf)
+    m = TreeRecommender("rf", n_draws=2, space=RF_QUERY_SPACE).fit(r.log, r.users, r.items)
+    return m.predict(r.log, K, r.users, r.items)
+
+
+@query("m03_gradient_boosting_topk")
+def m03_gbt(spark, sf):
+    """M3: gradient-boosted trees (step 0.1, depth 10, 20 rounds), R3."""
+    r = roles.load(spark, sf)
+    m = TreeRecommender("gbt", gbt_trees=20).fit(r.log, r.users, r.items)
+    return m.predict(r.log, K, r.users, r.items)
+
+
+@query("m13_random_topk")
+def m13_random(spark, sf):
+    """Seeded random recommender (per-user cyclic offset into one hash order), seen removed."""
+    r = roles.load(spark, sf)
+    return RandomRecommender(seed=42).predict(r.log, K, r.users, r.items)
+
+
+@query("m15_content_based_topk", with_roles(f"""
+SELECT user_idx, item_idx, round(score, 6) AS relevance, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_idx ORDER BY score DESC, item_idx) AS rank FROM (
+    SELECT q.user_idx, i.item_idx,
+           (coalesce(c.s, 0.0) + coalesce(b.s, 0.0)) / (q.qn * sqrt(CAST(2.0 AS DOUBLE))) AS cos,
+           (coalesce(c.s, 0.0) + coalesce(b.s, 0.0)) / (q.qn * sqrt(CAST(2.0 AS DOUBLE))) * i.price AS score
+    FROM qn q CROSS JOIN items i
+    LEFT JOIN sc c ON c.user_idx = q.user_idx AND c.category = i.category
+    LEFT JOIN sb b ON b.user_idx = q.user_idx AND b.brand = i.brand
+    WHERE NOT EXISTS (SELECT 1 FROM log l WHERE l.user_idx = q.user_idx AND l.item_idx = i.item_idx))
+  WHERE cos > 0.0)
+WHERE rank <= {K}""", """
+rel AS (SELECT l.user_idx, i.category, i.brand FROM log l JOIN items i USING (item_idx) WHERE l.relevance > 0),
+nr AS (SELECT user_idx, count(*) AS n FROM rel GROUP BY user_idx),
+sc AS (SELECT user_idx, category, count(*) / any_value(n) AS s FROM rel JOIN nr USING (user_idx) GROUP BY ALL),
+sb AS (SELECT user_idx, brand, count(*) / any_value(n) AS s FROM rel JOIN nr USING (user_idx) GROUP BY ALL),
+qn AS (SELECT user_idx, sqrt(sum(s * s)) AS qn FROM (SELECT user_idx, s FROM sc UNION ALL SELECT user_idx, s FROM sb)
+       GROUP BY user_idx)"""))
+def m15_content(spark, sf):
+    """Content-based, cosine(profile, one-hot content) > 0 times price, seen removed, top 5."""
+    r = roles.load(spark, sf)
+    m = ContentBasedRecommender(0.0).fit(r.log, r.users, r.items)
+    return m.predict(r.log, K, r.users, r.items)
