@@ -50,3 +50,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` to the shared checkpoint folder and read it from there.
+
+    The frame is persisted first so the checkpoint write does not recompute
+    the whole lineage a second time; the cache is dropped afterwards.
+    """
+    from pyspark.storagelevel import StorageLevel
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out
