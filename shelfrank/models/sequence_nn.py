@@ -1,0 +1,327 @@
+"""M7/M8: RNN / GRU / LSTM next-item recommenders (1 layer, hidden 128, linear
+output over the item index space, cross-entropy, Adam 1e-3, batch 64).
+
+Training set (M6): every position of every history, the previous <= 20
+items left-padded (W4/W5), label = the next item; 10% of the windows are held
+out by a hash (U6).  Item features are gathered inside the task from a
+broadcast item matrix (row 0 = the zero pad vector), so the 20 x F windows
+are never materialised as rows.
+
+Training is data-parallel parameter averaging: each epoch broadcasts the
+parameters (and Adam moments), every partition runs one local pass of
+mini-batch Adam over its windows in a seeded hash order, and the driver
+averages the partition results weighted by their row counts (the published
+"parallel SGD with model averaging" scheme; the reference trains one
+sequential process).  The forward/backward passes are plain numpy BPTT,
+checked against finite differences in the tests.
+
+Scoring (M8): the user's last 20 items -> softmax over all item ids (before
+any filtering, as the reference) -> candidates only, seen removed -> expected
+revenue prob * price -> top k, per user block inside ``mapInPandas``.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from shelfrank.functions.exprs import r6
+from shelfrank.functions.ranks import top_k
+from shelfrank.operators.features import FeatureSpace
+from shelfrank.operators.sequences import last_n, pad_left, prefix_windows
+
+GATES = {"rnn": 1, "gru": 3, "lstm": 4}
+ADAM_B1, ADAM_B2, ADAM_EPS = 0.9, 0.999, 1e-8
+
+
+def _sig(x):
+    return 1.0 / (1.0 + np.exp(-x))
+
+
+def init_params(cell: str, n_in: int, hidden: int, n_out: int, seed: int) -> dict:
+    rng = np.random.default_rng(seed)
+    G = GATES[cell]
+    a = 1.0 / np.sqrt(hidden)
+    return {"W_ih": rng.uniform(-a, a, (G * hidden, n_in)), "W_hh": rng.uniform(-a, a, (G * hidden, hidden)),
+            "b_ih": rng.uniform(-a, a, G * hidden), "b_hh": rng.uniform(-a, a, G * hidden),
+            "W_o": rng.uniform(-a, a, (n_out, hidden)), "b_o": rng.uniform(-a, a, n_out)}
+
+
+def forward(cell: str, P: dict, X: np.ndarray):
+    """X (B, T, F) -> (logits (B, n_out), cache)."""
+    B, T, _ = X.shape
+    H = P["W_hh"].shape[1]
+    h = np.zeros((B, H))
+    c = np.zeros((B, H))
+    cache = []
+    for t in range(T):
+        x = X[:, t, :]
+        gi = x @ P["W_ih"].T + P["b_ih"]
+        gh = h @ P["W_hh"].T + P["b_hh"]
+        if cell == "rnn":
+            hn = np.tanh(gi + gh)
+            cache.append((x, h, hn))
+            h = hn
+        elif cell == "gru":
+            r = _sig(gi[:, :H] + gh[:, :H])
+            z = _sig(gi[:, H:2 * H] + gh[:, H:2 * H])
+            n = np.tanh(gi[:, 2 * H:] + r * gh[:, 2 * H:])
+            hn = (1 - z) * n + z * h
+            cache.append((x, h, r, z, n, gh[:, 2 * H:]))
+            h = hn
+        else:
+            a = gi + gh
+            i, f = _sig(a[:, :H]), _sig(a[:, H:2 * H])
+            g, o = np.tanh(a[:, 2 * H:3 * H]), _sig(a[:, 3 * H:])
+            cn = f * c + i * g
+            hn = o * np.tanh(cn)
+            cache.append((x, h, c, i, f, g, o, cn))
+            h, c = hn, cn
+    logits = h @ P["W_o"].T + P["b_o"]
+    return logits, (cache, h)
+
+
+def loss_and_grads(cell: str, P: dict, X: np.ndarray, y: np.ndarray):
+    """Mean cross-entropy over the batch and its gradients (BPTT)."""
+    B = X.shape[0]
+    H = P["W_hh"].shape[1]
+    logits, (cache, hT) = forward(cell, P, X)
+    m = logits.max(1, keepdims=True)
+    e = np.exp(logits - m)
+    p = e / e.sum(1, keepdims=True)
+    loss = float(np.mean(-np.log(p[np.arange(B), y] + 1e-300)))
+    dl = p.copy()
+    dl[np.arange(B), y] -= 1
+    dl /= B
+    grads = {k: np.zeros_like(v) for k, v in P.items()}
+    grads["W_o"] = dl.T @ hT
+    grads["b_o"] = dl.sum(0)
+    dh = dl @ P["W_o"]
+    dc = np.zeros_like(dh)
+    for t in range(len(cache) - 1, -1, -1):
+        if cell == "rnn":
+            x, hp, hn = cache[t]
+            da = dh * (1 - hn * hn)
+            dgi = dgh = da
+        elif cell == "gru":
+            x, hp, r, z, n, ghn = cache[t]
+            dn = dh * (1 - z)
+            dz = dh * (hp - n)
+            dan = dn * (1 - n * n)
+            dr = dan * ghn
+            dar, daz = dr * r * (1 - r), dz * z * (1 - z)
+            dgi = np.concatenate([dar, daz, dan], 1)
+            dgh = np.concatenate([dar, daz, dan * r], 1)
+        else:
+            x, hp, cp, i, f, g, o, cn = cache[t]
+            tc = np.tanh(cn)
+            do = dh * tc
+            dcc = dc + dh * o * (1 - tc * tc)
+            di, dg, df = dcc * g, dcc * i, dcc * cp
+            dc = dcc * f
+            dgi = dgh = np.concatenate([di * i * (1 - i), df * f * (1 - f), dg * (1 - g * g),
+                                        do * o * (1 - o)], 1)
+        grads["W_ih"] += dgi.T @ x
+        grads["b_ih"] += dgi.sum(0)
+        grads["W_hh"] += dgh.T @ hp
+        grads["b_hh"] += dgh.sum(0)
+        dh = dgh @ P["W_hh"] + (dh * z if cell == "gru" else 0.0)
+    return loss, grads
+
+
+def adam_step(P, M, V, grads, t, lr):
+    c1, c2 = 1 - ADAM_B1 ** t, 1 - ADAM_B2 ** t
+    for k in P:
+        M[k] = ADAM_B1 * M[k] + (1 - ADAM_B1) * grads[k]
+        V[k] = ADAM_B2 * V[k] + (1 - ADAM_B2) * grads[k] * grads[k]
+        P[k] = P[k] - lr * (M[k] / c1) / (np.sqrt(V[k] / c2) + ADAM_EPS)
+
+
+def _gather(Fm: np.ndarray, seqs) -> np.ndarray:
+    """(B, T) shifted ids (0 = pad) -> (B, T, F) features by key, unknown ids -> zeros."""
+    S = np.stack([np.asarray(q, dtype=np.int64) for q in seqs])
+    S = np.where(S < Fm.shape[0], S, 0)
+    return Fm[S]
+
+
+def item_matrix(items: DataFrame, fs: FeatureSpace, n_ids: int, max_bytes: int = 512 << 20) -> np.ndarray:
+    """Row 0 = pad zeros, row id+1 = the item's feature vector (broadcast, size-checked)."""
+    iv = fs.item_vectors(items).select("item_idx", "ivec")
+    width = len(iv.first()["ivec"])
+    if (n_ids + 1) * width * 8 > max_bytes:
+        raise ValueError("item feature matrix exceeds the broadcast budget")
+    pdf = iv.toPandas()
+    Fm = np.zeros((n_ids + 1, width))
+    ids = pdf["item_idx"].to_numpy(np.int64)
+    ok = ids < n_ids
+    Fm[ids[ok] + 1] = np.stack(pdf["ivec"].to_numpy())[ok]
+    return Fm
+
+
+class SequenceRecommender:
+    def __init__(self, cell: str = "rnn", hidden: int = 128, epochs: int = 10, lr: float = 1e-3,
+                 batch_size: int = 64, max_seq_len: int = 20, val_share: int = 10, seed: int = 42,
+                 partitions: int | None = None):
+        self.cell, self.hidden, self.epochs, self.lr = cell, hidden, epochs, lr
+        self.batch, self.T, self.val_share, self.seed = batch_size, max_seq_len, val_share, seed
+        self.partitions = partitions
+        self.history_rows: list[dict] = []
+
+    def windows(self, log: DataFrame) -> DataFrame:
+        """M6 rows: (user_idx, pos, seq array<long> shifted+padded, target, is_val)."""
+        p = prefix_windows(log, self.T)
+        return p.select("user_idx", "pos", pad_left("prefix", self.T).alias("seq"), "target",
+                        (F.pmod(F.xxhash64(F.lit(self.seed), "user_idx", "pos"), F.lit(100)) < self.val_share)
+                        .alias("is_val"))
+
+    def fit(self, log: DataFrame, user_features: DataFrame, item_features: DataFrame):
+        spark = log.sparkSession
+        self.fs = FeatureSpace.fit(user_features, item_features, log)
+        n_ids = int(item_features.agg(F.max("item_idx")).first()[0]) + 1
+        self.n_items = n_ids
+        self.Fm = item_matrix(item_features, self.fs, n_ids)
+        nparts = self.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        w = self.windows(log).where(F.col("target") < n_ids)
+        w = w.repartition(nparts, "user_idx", "pos")
+        from shelfrank.session import materialize
+        w = materialize(w)
+        train, val = w.where(~F.col("is_val")), w.where(F.col("is_val"))
+        P = init_params(self.cell, self.Fm.shape[1], self.hidden, n_ids, self.seed)
+        M = {k: np.zeros_like(v) for k, v in P.items()}
+        V = {k: np.zeros_like(v) for k, v in P.items()}
+        t0 = 0
+        sc = spark.sparkContext
+        bF = sc.broadcast(self.Fm)
+        cell, bs, lr, seed = self.cell, self.batch, self.lr, self.seed
+        for epoch in range(self.epochs):
+            bP = sc.broadcast((P, M, V, t0))
+            ordered = train.withColumn("_o", F.xxhash64(F.lit(seed), F.lit(epoch), "user_idx", "pos")) \
+                .sortWithinPartitions("_o")
+
+            def local(it):
+                P_, M_, V_, t = bP.value
+                P_ = {k: v.copy() for k, v in P_.items()}
+                M_ = {k: v.copy() for k, v in M_.items()}
+                V_ = {k: v.copy() for k, v in V_.items()}
+                Fm = bF.value
+                seqs, ys = [], []
+                for b in it:
+                    seqs.extend(b["seq"].tolist())
+                    ys.extend(b["target"].tolist())
+                n, steps, tot = len(ys), 0, 0.0
+                if n == 0:
+                    return
+                y = np.asarray(ys, dtype=np.int64)
+                for s in range(0, n, bs):
+                    X = _gather(Fm, seqs[s:s + bs])
+                    loss, g = loss_and_grads(cell, P_, X, y[s:s + bs])
+                    steps += 1
+                    tot += loss * len(y[s:s + bs])
+                    adam_step(P_, M_, V_, g, t + steps, lr)
+                rows = [("__n", [float(n)]), ("__steps", [float(steps)]), ("__loss", [tot])]
+                for k in P_:
+                    rows += [("P:" + k, P_[k].ravel().tolist()), ("M:" + k, M_[k].ravel().tolist()),
+                             ("V:" + k, V_[k].ravel().tolist())]
+                yield pd.DataFrame(rows, columns=["name", "val"])
+
+            res = ordered.select("seq", "target").mapInPandas(local, "name string, val array<double>").collect()
+            # weighted average of the partition results (rows arrive grouped per partition)
+            parts, cur = [], None
+            for r in res:
+                if r["name"] == "__n":
+                    cur = {}
+                    parts.append(cur)
+                cur[r["name"]] = np.asarray(r["val"])
+            ntot = sum(p_["__n"][0] for p_ in parts)
+            for k in P:
+                P[k] = sum(p_["P:" + k] * p_["__n"][0] for p_ in parts).reshape(P[k].shape) / ntot
+                M[k] = sum(p_["M:" + k] * p_["__n"][0] for p_ in parts).reshape(P[k].shape) / ntot
+                V[k] = sum(p_["V:" + k] * p_["__n"][0] for p_ in parts).reshape(P[k].shape) / ntot
+            t0 += int(max(p_["__steps"][0] for p_ in parts))
+            train_loss = sum(p_["__loss"][0] for p_ in parts) / ntot
+            val_loss, val_acc = self._evaluate(val, P, bF)
+            self.history_rows.append({"epoch": epoch + 1, "train_loss": train_loss,
+                                      "val_loss": val_loss, "val_accuracy": val_acc})
+            bP.unpersist()
+        self.params = P
+        self.log = log
+        return self
+
+    def _evaluate(self, val: DataFrame, P: dict, bF):
+        """Validation loss and accuracy as per-partition partial sums."""
+        spark = val.sparkSession
+        bP = spark.sparkContext.broadcast(P)
+        cell, bs = self.cell, 512
+
+        def ev(it):
+            P_, Fm = bP.value, bF.value
+            n = loss = hit = 0.0
+            for b in it:
+                for s in range(0, len(b), bs):
+                    X = _gather(Fm, b["seq"].iloc[s:s + bs].tolist())
+                    y = b["target"].iloc[s:s + bs].to_numpy(np.int64)
+                    logits, _ = forward(cell, P_, X)
+                    m = logits.max(1, keepdims=True)
+                    lp = logits - m - np.log(np.exp(logits - m).sum(1, keepdims=True))
+                    loss += float(-lp[np.arange(len(y)), y].sum())
+                    hit += float((logits.argmax(1) == y).sum())
+                    n += len(y)
+            yield pd.DataFrame({"n": [n], "loss": [loss], "hit": [hit]})
+
+        r = val.select("seq", "target").mapInPandas(ev, "n double, loss double, hit double") \
+            .agg(F.sum("n").alias("n"), F.sum("loss").alias("loss"), F.sum("hit").alias("hit")).first()
+        bP.unpersist()
+        if not r["n"]:
+            return float("nan"), float("nan")
+        return r["loss"] / r["n"], r["hit"] / r["n"]
+
+    def training_history(self, spark) -> DataFrame:
+        return spark.createDataFrame(pd.DataFrame(self.history_rows))
+
+    def predict(self, log, k, users, items, user_features=None, item_features=None,
+                filter_seen_items: bool = True) -> DataFrame:
+        """M8: softmax over all ids, candidates only, seen removed, prob * price, top k."""
+        spark = users.sparkSession
+        hist_log = self.log if log is None else self.log.unionByName(log).dropDuplicates()
+        hist = last_n(hist_log, self.T).select("user_idx", pad_left("hist", self.T).alias("seq"))
+        hist = hist.join(users.select("user_idx"), "user_idx", "left_semi")
+        price = np.full(self.n_items, np.nan)
+        ip = items.select("item_idx", "price").where(F.col("item_idx") < self.n_items).toPandas()
+        price[ip["item_idx"].to_numpy(np.int64)] = ip["price"].to_numpy(np.float64)
+        seen = hist_log.select("user_idx", "item_idx").distinct() if filter_seen_items else None
+        if seen is not None:
+            cnt = seen.groupBy("user_idx").agg(F.count(F.lit(1)).alias("c"))
+            hist = hist.join(cnt, "user_idx", "left").withColumn("m", F.coalesce("c", F.lit(0)) + k)
+        else:
+            hist = hist.withColumn("m", F.lit(k).cast("long"))
+        bP = spark.sparkContext.broadcast((self.params, self.Fm, price))
+        cell = self.cell
+
+        def score(it):
+            P_, Fm, pr = bP.value
+            ids = np.arange(len(pr))
+            for b in it:
+                X = _gather(Fm, b["seq"].tolist())
+                logits, _ = forward(cell, P_, X)
+                mx = logits.max(1, keepdims=True)
+                e = np.exp(logits - mx)
+                prob = e / e.sum(1, keepdims=True)
+                er = prob * pr[None, :]
+                er = np.where(np.isnan(er), -np.inf, er)
+                for j, (u, m) in enumerate(zip(b["user_idx"], b["m"])):
+                    s = er[j]
+                    mm = int(min(m, np.isfinite(s).sum()))
+                    if mm <= 0:
+                        continue
+                    thr = np.partition(s, len(s) - mm)[len(s) - mm]
+                    idx = np.nonzero(s >= thr)[0]
+                    idx = idx[np.lexsort((ids[idx], -s[idx]))][:mm]
+                    yield pd.DataFrame({"user_idx": np.full(len(idx), u), "item_idx": idx, "er": s[idx]})
+
+        cand = hist.select("user_idx", "seq", "m").mapInPandas(score, "user_idx long, item_idx long, er double")
+        if seen is not None:
+            cand = cand.join(seen, ["user_idx", "item_idx"], "left_anti")
+        best = top_k(cand, k, ["user_idx"], [F.col("er").desc(), F.col("item_idx").asc()])
+        return best.select("user_idx", "item_idx", r6("er").alias("relevance"), "rank")

@@ -158,3 +158,28 @@ def revenue_summary(metrics: DataFrame) -> DataFrame:
         *[r6(c).alias(c) for c in ["train_total_revenue", "test_total_revenue",
                                    "train_avg_revenue", "test_avg_revenue"]],
         r6((F.col("test_avg_revenue") / F.col("train_avg_revenue") - 1) * 100).alias("performance_change_pct"))
+
+
+def backtest(make_model, log: DataFrame, users: DataFrame, items: DataFrame, plan: SlicePlan,
+             user_features: DataFrame | None = None, item_features: DataFrame | None = None) -> DataFrame:
+    """E9 for any recommender with the fit/predict protocol: a driver loop of Spark jobs.
+
+    Iteration i fits on everything before slice i (``retrain``) or on the
+    history before slice 0, recommends for the users active in slice i and
+    scores against that slice.  Returns (iter, phase, n_users, metrics...).
+    """
+    sl = log.withColumn("_s", plan.slice_of("ts"))
+    truth = slice_truth(log, plan)
+    out = None
+    model = None
+    for i in range(plan.n_iter):
+        past = sl.where(F.col("_s") < (i if plan.retrain else 0)).drop("_s")
+        if model is None or plan.retrain:
+            model = make_model().fit(past, user_features if user_features is not None else users,
+                                     item_features if item_features is not None else items)
+        t_i = truth.where(F.col("iter") == i)
+        eval_users = t_i.select("user_idx").distinct()
+        recs = model.predict(past, plan.k, eval_users, items)
+        m = ranking_metrics(recs.withColumn("iter", F.lit(i)), t_i, items, plan.k, keys=["iter"])
+        out = m if out is None else out.unionByName(m)
+    return out.withColumn("phase", plan.phase_of("iter"))

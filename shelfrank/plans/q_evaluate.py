@@ -183,3 +183,11 @@ def a12_metric_corr(spark, sf):
     """Correlation of the per-model metric means (revenue columns excluded)."""
     w = ev.phase_means(_compare_long(spark, sf))
     return correlation_long(w, _CORR_COLS)
+
+
+@query("e09_walk_forward_ngram")
+def e09_walk_forward_ngram(spark, sf):
+    """E9 with the n-gram recommender refitted every iteration (generic driver-loop back-test)."""
+    from shelfrank.models.ngram import NgramRecommender
+    r = roles.load(spark, sf)
+    return ev.backtest(lambda: NgramRecommender(order=3), r.log, r.users, r.items, PLAN)

@@ -148,3 +148,28 @@ def m15_content(spark, sf):
     r = roles.load(spark, sf)
     m = ContentBasedRecommender(0.0).fit(r.log, r.users, r.items)
     return m.predict(r.log, K, r.users, r.items)
+
+
+# ---------------------------------------------------------------- M7 / M8 recurrent models
+from shelfrank.models.sequence_nn import SequenceRecommender  # noqa: E402
+
+
+@query("m07_rnn_training_history")
+def m07_rnn_history(spark, sf):
+    """M6/M7: RNN trained 10 epochs by parameter averaging; per-epoch train/val loss, val accuracy."""
+    r = roles.load(spark, sf)
+    m = SequenceRecommender(cell="rnn", epochs=10).fit(r.log, r.users, r.items)
+    return m.training_history(spark)
+
+
+def _seq_query(cell):
+    def run(spark, sf):
+        r = roles.load(spark, sf)
+        m = SequenceRecommender(cell=cell, epochs=10).fit(r.log, r.users, r.items)
+        return m.predict(None, K, r.users, r.items)
+    run.__doc__ = f"M7/M8 ({cell}): next-item softmax x price over the last 20 items, seen removed, top 5."
+    return run
+
+
+for _cell in ("rnn", "gru", "lstm"):
+    query(f"m08_{_cell}_topk")(_seq_query(_cell))
