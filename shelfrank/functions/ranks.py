@@ -33,10 +33,14 @@ def global_index(df: DataFrame, order_cols, name: str = "gidx", descending=None)
     """
     descending = descending or [False] * len(order_cols)
     exprs = [F.col(c).desc() if d else F.col(c).asc() for c, d in zip(order_cols, descending)]
+    from pyspark.storagelevel import StorageLevel
     spark = df.sparkSession
     schema = StructType(list(df.schema.fields) + [StructField(name, LongType(), False)])
     rdd = df.orderBy(*exprs).rdd.zipWithIndex().map(lambda t: tuple(t[0]) + (t[1],))
-    return spark.createDataFrame(rdd, schema)
+    # cached: later uses read one numbering instead of re-running sort + index
+    # pass; the order is total, so a recomputation after a lost executor gives
+    # the same numbers
+    return spark.createDataFrame(rdd, schema).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def rank_items(scored: DataFrame, score_col: str, keys=(), rank_col: str = "grank") -> DataFrame:
