@@ -1,0 +1,38 @@
+"""Driver contract, registry consistency, and feature fixtures (unseen level, constant and null price)."""
+import pandas as pd
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from shelfrank.operators import features as fe
+
+
+def test_registry_and_entry(spark):
+    qs, os_ = E.queries(), E.oracle_sql()
+    assert set(os_) <= set(qs)
+    assert len(qs) >= 70
+    df = E.entry(spark)
+    assert df.columns == ["user_idx", "item_idx", "relevance", "rank"]
+    assert df.count() > 0
+
+
+def test_unseen_level_is_zero_vector(spark):
+    train = spark.createDataFrame(pd.DataFrame({"brand": ["b", "a", "a"]}))
+    test = spark.createDataFrame(pd.DataFrame({"brand": ["a", "b", "zzz"]}))
+    m = fe.onehot_pipeline(["brand"]).fit(train)
+    got = {r.brand: (r.brand_slot, r.brand_width) for r in fe.onehot_slots(m, test, ["brand"]).collect()}
+    assert got == {"a": (0, 2), "b": (1, 2), "zzz": (None, 2)}
+
+
+def test_constant_price_scales_by_one_and_null_price_defaults(spark):
+    users = spark.createDataFrame(pd.DataFrame({"user_idx": [1], "segment": ["s"], "user_attr_0": [0.0],
+                                                "user_attr_1": [0.0]}))
+    items = spark.createDataFrame(pd.DataFrame({"item_idx": [1, 2], "category": ["c", "c"], "brand": ["b", "b"],
+                                                "price": [5.0, 5.0], "item_attr_0": [1.0, 2.0]}))
+    log = spark.createDataFrame(pd.DataFrame({"user_idx": [1, 1], "item_idx": [1, 2], "relevance": [1, 0]}))
+    fs = fe.FeatureSpace.fit(users, items, log)
+    assert fs.price_std == 1.0 and fs.price_mean == 5.0
+    sp = fs.item_vectors(items).select("scaled_price").collect()
+    assert [r.scaled_price for r in sp] == [0.0, 0.0]
+    noprice = spark.createDataFrame(pd.DataFrame({"item_idx": [3]}))
+    out = fe.with_price(noprice, items.select("item_idx", "price"), default=1.0).first()
+    assert out.price == 1.0
