@@ -173,3 +173,20 @@ def _seq_query(cell):
 
 for _cell in ("rnn", "gru", "lstm"):
     query(f"m08_{_cell}_topk")(_seq_query(_cell))
+
+
+@query("u06_holdout_split")
+def u06_split(spark, sf):
+    """Seeded 90/10 hash split of the sequence windows (partition-independent)."""
+    r = roles.load(spark, sf)
+    w = SequenceRecommender().windows(r.log)
+    return w.select("user_idx", "pos", "target", "is_val")
+
+
+@query("u07_fold_assignment")
+def u07_folds(spark, sf):
+    """Hash fold ids (3 folds) of the J1 training rows used by the random-forest search."""
+    from shelfrank.models.trees import fold_column
+    r = roles.load(spark, sf)
+    j = r.log.select("user_idx", "item_idx", "relevance")
+    return fold_column(j, 3, 42, ["user_idx", "item_idx"]).groupBy("relevance", "fold").count()

@@ -81,3 +81,27 @@ def r04_shaped_topk(spark, sf):
     ranked = rank_items(scored, "er")
     recs = top_k_unseen_global(ranked, r.users, r.log, K)
     return recs.select("user_idx", "item_idx", r6("er").alias("relevance"), "rank")
+
+
+@query("s02_recs_sink", with_roles(f"""
+SELECT user_idx, item_idx, round(er, 6) AS relevance, CAST(rank AS INTEGER) AS rank, 'popularity' AS model FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_idx ORDER BY er DESC, item_idx) AS rank FROM (
+    SELECT u.user_idx, p.item_idx, p.score * p.price AS er
+    FROM users u CROSS JOIN pop p
+    WHERE NOT EXISTS (SELECT 1 FROM log l WHERE l.user_idx = u.user_idx AND l.item_idx = p.item_idx)))
+WHERE rank <= {K}""", """
+pop AS (
+  SELECT i.item_idx, i.price,
+         (coalesce(c.cnt, 0) + CAST(1.0 AS DOUBLE)) / (t.total + CAST(1.0 AS DOUBLE) * n.n) AS score
+  FROM items i LEFT JOIN (SELECT item_idx, count(*) AS cnt FROM log WHERE relevance > 0 GROUP BY item_idx) c
+       USING (item_idx),
+       (SELECT count(*) AS total FROM log WHERE relevance > 0) t, (SELECT count(*) AS n FROM items) n)"""))
+def s02_recs_sink(spark, sf):
+    """Recommendations written as parquet partitioned by model (shared folder), read back."""
+    import uuid
+    from shelfrank.session import checkpoint_dir
+    r = roles.load(spark, sf)
+    recs = PopularityRecommender(alpha=1.0).fit(r.log).predict(r.log, K, r.users, r.items)
+    path = f"{checkpoint_dir(spark)}/recs-{uuid.uuid4().hex[:8]}"
+    roles.write_recs(recs, path, "popularity", mode="overwrite")
+    return spark.read.parquet(path).select("user_idx", "item_idx", "relevance", "rank", "model")
