@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from shelfrank.functions.exprs import r6
 from shelfrank.functions.ranks import top_k
 from shelfrank.operators.features import FeatureSpace
+from shelfrank.operators.scoring import _select_top
 from shelfrank.operators.sequences import last_n, pad_left, prefix_windows
 
 GATES = {"rnn": 1, "gru": 3, "lstm": 4}
@@ -310,15 +311,9 @@ class SequenceRecommender:
                 prob = e / e.sum(1, keepdims=True)
                 er = prob * pr[None, :]
                 er = np.where(np.isnan(er), -np.inf, er)
-                for j, (u, m) in enumerate(zip(b["user_idx"], b["m"])):
-                    s = er[j]
-                    mm = int(min(m, np.isfinite(s).sum()))
-                    if mm <= 0:
-                        continue
-                    thr = np.partition(s, len(s) - mm)[len(s) - mm]
-                    idx = np.nonzero(s >= thr)[0]
-                    idx = idx[np.lexsort((ids[idx], -s[idx]))][:mm]
-                    yield pd.DataFrame({"user_idx": np.full(len(idx), u), "item_idx": idx, "er": s[idx]})
+                r, c, v = _select_top(er, ids, b["m"].to_numpy(np.int64))
+                yield pd.DataFrame({"user_idx": b["user_idx"].to_numpy(np.int64)[r], "item_idx": ids[c],
+                                    "er": v})
 
         cand = hist.select("user_idx", "seq", "m").mapInPandas(score, "user_idx long, item_idx long, er double")
         if seen is not None:
