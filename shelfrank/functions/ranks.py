@@ -77,21 +77,22 @@ def top_k_unseen_global(ranked: DataFrame, users_df: DataFrame, seen: DataFrame
     simply find no item.
     """
     keys = list(keys)
-    n = ranked.groupBy(*keys).agg(F.max(rank_col).alias("_n")) if keys else \
-        ranked.agg(F.max(rank_col).alias("_n")).withColumn("_one", F.lit(1))
-    jk = keys if keys else ["_one"]
     u = users_df.select(*keys, "user_idx").distinct()
-    if not keys:
-        u = u.withColumn("_one", F.lit(1))
+    if keys:
+        n = ranked.groupBy(*keys).agg(F.max(rank_col).alias("_n"))
+        u = u.join(n, keys)
+    else:
+        # one scalar: the ranking's length (the ranked frame is cached)
+        u = u.withColumn("_n", F.lit(ranked.count()).cast("long"))
     if seen is None:
-        base = u.join(n, jk).withColumn("_c", F.lit(0).cast("long"))
+        base = u.withColumn("_c", F.lit(0).cast("long"))
         seen_r = None
     else:
         seen_r = (seen.select(*keys, "user_idx", "item_idx").distinct()
                   .join(ranked.select(*keys, "item_idx", rank_col), keys + ["item_idx"])
                   .select(*keys, "user_idx", rank_col))
         c = seen_r.groupBy(*keys, "user_idx").agg(F.count(F.lit(1)).alias("_c"))
-        base = u.join(c, keys + ["user_idx"], "left").join(n, jk)
+        base = u.join(c, keys + ["user_idx"], "left")
     upper = F.least(F.lit(k).cast("long") + F.coalesce(F.col("_c"), F.lit(0)).cast("long"),
                     F.col("_n").cast("long"))
     cand = base.select(*keys, "user_idx",

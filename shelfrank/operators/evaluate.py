@@ -183,3 +183,23 @@ def backtest(make_model, log: DataFrame, users: DataFrame, items: DataFrame, pla
         m = ranking_metrics(recs.withColumn("iter", F.lit(i)), t_i, items, plan.k, keys=["iter"])
         out = m if out is None else out.unionByName(m)
     return out.withColumn("phase", plan.phase_of("iter"))
+
+
+def compare_models(factories: dict, log: DataFrame, users: DataFrame, items: DataFrame,
+                   plan: SlicePlan) -> DataFrame:
+    """Several recommenders on the same walk-forward slices -> long metrics
+    (model, phase, iter, metric, value), ready for A16-A20 and S3."""
+    out = None
+    for name, make in factories.items():
+        m = backtest(make, log, users, items, plan).withColumn("model", F.lit(name))
+        lng = to_long(m, ["model", "phase", "iter"])
+        out = lng if out is None else out.unionByName(lng)
+    return out
+
+
+def summary_table(metrics_long: DataFrame) -> DataFrame:
+    """Revenue totals/averages/change plus the per-phase metric means, by test revenue."""
+    rev = revenue_summary(metrics_long.where(F.col("metric") == "revenue")
+                          .select("model", "phase", "iter", F.col("value").alias("revenue")))
+    means = phase_means(metrics_long.where(~F.col("metric").endswith("revenue")))
+    return rev.join(means, "model").orderBy(F.col("test_total_revenue").desc())

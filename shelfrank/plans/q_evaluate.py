@@ -191,3 +191,20 @@ def e09_walk_forward_ngram(spark, sf):
     from shelfrank.models.ngram import NgramRecommender
     r = roles.load(spark, sf)
     return ev.backtest(lambda: NgramRecommender(order=3), r.log, r.users, r.items, PLAN)
+
+
+@query("e08_compare_recommenders")
+def e08_compare_recommenders(spark, sf):
+    """E8/S3 with real models: popularity, n-gram, content-based and random, each refitted
+    every iteration of the same walk-forward back-test; summary sorted by test revenue."""
+    from shelfrank.models.baselines import ContentBasedRecommender, RandomRecommender
+    from shelfrank.models.ngram import NgramRecommender
+    from shelfrank.models.popularity import PopularityRecommender
+    r = roles.load(spark, sf)
+    factories = {
+        "popularity": lambda: PopularityRecommender(alpha=1.0),
+        "ngram": lambda: NgramRecommender(order=3),
+        "content_based": lambda: ContentBasedRecommender(0.0),
+        "random": lambda: RandomRecommender(seed=42),
+    }
+    return ev.summary_table(ev.compare_models(factories, r.log, r.users, r.items, PLAN))
