@@ -59,6 +59,7 @@ def materialize(df):
     the whole lineage a second time; the cache is dropped afterwards.
     """
     from pyspark.storagelevel import StorageLevel
+    checkpoint_dir(df.sparkSession)   # sessions created elsewhere may not have one yet
     df.persist(StorageLevel.MEMORY_AND_DISK)
     out = df.checkpoint(eager=True)
     df.unpersist()
