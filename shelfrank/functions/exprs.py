@@ -74,3 +74,30 @@ def unit_draw(seed: int, *cols) -> Column:
 def int_draw(seed: int, n, *cols) -> Column:
     """Deterministic integer draw in [0, n)."""
     return F.pmod(F.xxhash64(F.lit(seed), *[col(c) for c in cols]), col(n) if not isinstance(n, int) else F.lit(n))
+
+
+def sum_named_arrays(parts, chunk: int = 65536) -> dict:
+    """Sum equally-shaped numeric arrays emitted by many tasks, inside Spark.
+
+    ``parts`` is a DataFrame (name string, idx int, val array<double>) where
+    each task emits its partial arrays cut into ``chunk``-long pieces; the
+    pieces are summed by a grouped vector sum (partial aggregation per task),
+    so the driver receives one summed copy, not one copy per partition.
+    Returns {name: flat numpy array}.
+    """
+    import numpy as np
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    rows = (parts.groupBy("name", "idx").agg(Summarizer.sum(array_to_vector("val")).alias("s"))
+            .select("name", "idx", vector_to_array("s").alias("s")).collect())
+    out: dict = {}
+    for r in sorted(rows, key=lambda x: (x["name"], x["idx"])):
+        out.setdefault(r["name"], []).append(np.asarray(r["s"]))
+    return {k: np.concatenate(v) for k, v in out.items()}
+
+
+def chunk_rows(name: str, arr, chunk: int = 65536):
+    """(name, idx, piece) rows of a flat array, for ``sum_named_arrays``."""
+    flat = arr.ravel()
+    return [(name, i // chunk, flat[i:i + chunk].tolist()) for i in range(0, max(flat.size, 1), chunk)]

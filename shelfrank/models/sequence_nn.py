@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.functions.exprs import r6
+from shelfrank.functions.exprs import chunk_rows, r6, sum_named_arrays
 from shelfrank.functions.ranks import top_k
 from shelfrank.operators.features import FeatureSpace
 from shelfrank.operators.scoring import _select_top
@@ -221,27 +221,27 @@ class SequenceRecommender:
                     steps += 1
                     tot += loss * len(y[s:s + bs])
                     adam_step(P_, M_, V_, g, t + steps, lr)
-                rows = [("__n", [float(n)]), ("__steps", [float(steps)]), ("__loss", [tot])]
+                # weighted by the partition's row count; summed across tasks in Spark
+                rows = [("__n", 0, [float(n)]), ("__loss", 0, [tot])]
                 for k in P_:
-                    rows += [("P:" + k, P_[k].ravel().tolist()), ("M:" + k, M_[k].ravel().tolist()),
-                             ("V:" + k, V_[k].ravel().tolist())]
-                yield pd.DataFrame(rows, columns=["name", "val"])
-
-            res = ordered.select("seq", "target").mapInPandas(local, "name string, val array<double>").collect()
-            # weighted average of the partition results (rows arrive grouped per partition)
-            parts, cur = [], None
-            for r in res:
-                if r["name"] == "__n":
-                    cur = {}
-                    parts.append(cur)
-                cur[r["name"]] = np.asarray(r["val"])
-            ntot = sum(p_["__n"][0] for p_ in parts)
+                    for tag, arr in (("P:", P_[k]), ("M:", M_[k]), ("V:", V_[k])):
+                        rows += chunk_rows(tag + k, arr * n)
+                out = pd.DataFrame(rows, columns=["name", "idx", "val"])
+                out["steps"] = steps
+                yield out
+
+            parts = ordered.select("seq", "target").mapInPandas(
+                local, "name string, idx int, val array<double>, steps long").persist()
+            sums = sum_named_arrays(parts.select("name", "idx", "val"))
+            max_steps = parts.agg(F.max("steps")).first()[0]
+            parts.unpersist()
+            ntot = float(sums["__n"][0])
             for k in P:
-                P[k] = sum(p_["P:" + k] * p_["__n"][0] for p_ in parts).reshape(P[k].shape) / ntot
-                M[k] = sum(p_["M:" + k] * p_["__n"][0] for p_ in parts).reshape(P[k].shape) / ntot
-                V[k] = sum(p_["V:" + k] * p_["__n"][0] for p_ in parts).reshape(P[k].shape) / ntot
-            t0 += int(max(p_["__steps"][0] for p_ in parts))
-            train_loss = sum(p_["__loss"][0] for p_ in parts) / ntot
+                P[k] = (sums["P:" + k] / ntot).reshape(P[k].shape)
+                M[k] = (sums["M:" + k] / ntot).reshape(P[k].shape)
+                V[k] = (sums["V:" + k] / ntot).reshape(P[k].shape)
+            t0 += int(max_steps)
+            train_loss = float(sums["__loss"][0]) / ntot
             val_loss, val_acc = self._evaluate(val, P, bF)
             self.history_rows.append({"epoch": epoch + 1, "train_loss": train_loss,
                                       "val_loss": val_loss, "val_accuracy": val_acc})
