@@ -16,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
-from pyspark.sql.types import LongType, StructField, StructType
 
 
 def top_k(df: DataFrame, k: int, partition_cols, order_exprs, rank_col: str = "rank") -> DataFrame:
@@ -26,21 +25,29 @@ def top_k(df: DataFrame, k: int, partition_cols, order_exprs, rank_col: str = "r
 
 
 def global_index(df: DataFrame, order_cols, name: str = "gidx", descending=None) -> DataFrame:
-    """Dense 0-based position in a global order, computed distributedly.
-
-    Range-partitioned sort followed by ``zipWithIndex`` (one count pass per
-    partition, then offsets) - never one task holding the whole table.
+    """Dense 0-based position in a global order, computed distributedly, JVM-side.
+
+    A range-partitioned sort, then ``monotonically_increasing_id`` (partition
+    index in the high bits, position within the partition in the low bits);
+    each partition's offset is the running total of the partition counts (one
+    row per partition, broadcast).  No task ever holds the whole table, and no
+    row goes through Python.  The sorted frame is cached so the counts and the
+    numbering read the same partitions; the order is total, so a recomputation
+    after a lost executor numbers the rows identically.
     """
+    from pyspark.storagelevel import StorageLevel
     descending = descending or [False] * len(order_cols)
     exprs = [F.col(c).desc() if d else F.col(c).asc() for c, d in zip(order_cols, descending)]
-    from pyspark.storagelevel import StorageLevel
-    spark = df.sparkSession
-    schema = StructType(list(df.schema.fields) + [StructField(name, LongType(), False)])
-    rdd = df.orderBy(*exprs).rdd.zipWithIndex().map(lambda t: tuple(t[0]) + (t[1],))
-    # cached: later uses read one numbering instead of re-running sort + index
-    # pass; the order is total, so a recomputation after a lost executor gives
-    # the same numbers
-    return spark.createDataFrame(rdd, schema).persist(StorageLevel.MEMORY_AND_DISK)
+    low = (1 << 33) - 1
+    srt = (df.orderBy(*exprs).withColumn("_mid", F.monotonically_increasing_id())
+           .persist(StorageLevel.MEMORY_AND_DISK))
+    part = F.shiftright(F.col("_mid"), 33)
+    counts = srt.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
+    offs = counts.select("_p", (F.sum("_c").over(Window.orderBy("_p")) - F.col("_c")).alias("_off"))
+    out = (srt.withColumn("_p", part).join(F.broadcast(offs), "_p")
+           .withColumn(name, (F.col("_off") + F.col("_mid").bitwiseAND(F.lit(low))).cast("long"))
+           .drop("_p", "_off", "_mid"))
+    return out.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def rank_items(scored: DataFrame, score_col: str, keys=(), rank_col: str = "grank") -> DataFrame:
