@@ -49,6 +49,13 @@ def compare(sdf, odf):
     sc, oc = sorted(sdf.columns), sorted(odf.columns)
     if sc != oc:
         return f"columns differ: spark={sc} oracle={oc}"
+    dt = [(c, str(sdf[c].dtype), str(odf[c].dtype)) for c in sc
+          if len(sdf) and len(odf) and str(sdf[c].dtype).lower().rstrip("0123456789")
+          != str(odf[c].dtype).lower().rstrip("0123456789") or (
+              str(sdf[c].dtype) != str(odf[c].dtype) and "int" in str(sdf[c].dtype).lower()
+              and "int" in str(odf[c].dtype).lower())]
+    if dt:
+        print(f"     dtype differences: {dt}")
     if len(sdf) != len(odf):
         return f"rows differ: spark={len(sdf)} oracle={len(odf)}"
     srows = sorted((tuple(_norm(r[c]) for c in sc) for r in sdf.to_dict("records")), key=repr)
