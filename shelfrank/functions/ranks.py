@@ -41,13 +41,22 @@ def global_index(df: DataFrame, order_cols, name: str = "gidx", descending=None)
     low = (1 << 33) - 1
     srt = (df.orderBy(*exprs).withColumn("_mid", F.monotonically_increasing_id())
            .persist(StorageLevel.MEMORY_AND_DISK))
+    # fill the cache before the two readers below: both must see the same
+    # partitions (a lazily cached frame could be recomputed per branch, and the
+    # partition ids of two independent range shuffles need not agree)
+    srt.count()
     part = F.shiftright(F.col("_mid"), 33)
     counts = srt.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
     offs = counts.select("_p", (F.sum("_c").over(Window.orderBy("_p")) - F.col("_c")).alias("_off"))
     out = (srt.withColumn("_p", part).join(F.broadcast(offs), "_p")
            .withColumn(name, (F.col("_off") + F.col("_mid").bitwiseAND(F.lit(low))).cast("long"))
            .drop("_p", "_off", "_mid"))
-    return out.persist(StorageLevel.MEMORY_AND_DISK)
+    # the numbering is written once to the checkpoint folder: later readers and
+    # any recomputation after a lost executor see exactly these numbers
+    from shelfrank.session import materialize
+    out = materialize(out)
+    srt.unpersist()
+    return out
 
 
 def rank_items(scored: DataFrame, score_col: str, keys=(), rank_col: str = "grank") -> DataFrame:

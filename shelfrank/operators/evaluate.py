@@ -168,9 +168,13 @@ def backtest(make_model, log: DataFrame, users: DataFrame, items: DataFrame, pla
     history before slice 0, recommends for the users active in slice i and
     scores against that slice.  Returns (iter, phase, n_users, metrics...).
     """
-    sl = log.withColumn("_s", plan.slice_of("ts"))
-    truth = slice_truth(log, plan)
-    out = None
+    from pyspark.storagelevel import StorageLevel
+    # every iteration refits on a prefix of the same log: read and tag it once
+    sl = log.withColumn("_s", plan.slice_of("ts")).persist(StorageLevel.MEMORY_AND_DISK)
+    truth = sl.where((F.col("_s") >= 0) & (F.col("_s") < plan.n_iter)) \
+        .select(F.col("_s").alias("iter"), "user_idx", "item_idx", "relevance")
+    truth = plan.sample_users(truth)
+    rows = []
     model = None
     for i in range(plan.n_iter):
         past = sl.where(F.col("_s") < (i if plan.retrain else 0)).drop("_s")
@@ -181,7 +185,13 @@ def backtest(make_model, log: DataFrame, users: DataFrame, items: DataFrame, pla
         eval_users = t_i.select("user_idx").distinct()
         recs = model.predict(past, plan.k, eval_users, items)
         m = ranking_metrics(recs.withColumn("iter", F.lit(i)), t_i, items, plan.k, keys=["iter"])
-        out = m if out is None else out.unionByName(m)
+        rows += m.collect()          # one row per iteration
+        if plan.retrain and hasattr(model, "release"):
+            model.release()          # the next iteration refits: free this one's caches
+    sl.unpersist()
+    spark = log.sparkSession
+    schema = "iter int, n_users long, " + ", ".join(f"{c} double" for c in METRICS)
+    out = spark.createDataFrame([tuple(r) for r in rows], schema)
     return out.withColumn("phase", plan.phase_of("iter"))
 
 
