@@ -61,6 +61,32 @@ def position_discount(rank) -> Column:
     return F.pow(F.lit(DISCOUNT), col(rank) - 1)
 
 
+def discount_factors(k: int, base: float = DISCOUNT) -> list[str]:
+    """Exact decimal strings of base^(r-1), r = 1..k (12 decimals; exact for r <= 7 at 0.85)."""
+    from decimal import Decimal
+    b = Decimal(str(base))
+    return [str((b ** (r - 1)).quantize(Decimal("1e-12"))) for r in range(1, k + 1)]
+
+
+def discount_decimal(rank, k: int, base: float = DISCOUNT) -> Column:
+    """F6 as an exact DECIMAL(20,12) per rank (null beyond k).
+
+    Money sums such as price * 0.85^(r-1) then stay exact decimals, so their
+    rounding is decided on the exact value, not on float summation order.
+    """
+    from decimal import Decimal
+    r = col(rank)
+    expr = None
+    for i, f in enumerate(discount_factors(k, base), start=1):
+        lit = F.lit(Decimal(f)).cast("decimal(20,12)")
+        expr = F.when(r == i, lit) if expr is None else expr.when(r == i, lit)
+    return expr
+
+
+def price_decimal(price) -> Column:
+    return col(price).cast("decimal(18,4)")
+
+
 def unit_draw(seed: int, *cols) -> Column:
     """Deterministic uniform [0, 1) draw from a hash of (seed, cols).
 

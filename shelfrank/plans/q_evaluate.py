@@ -9,7 +9,7 @@ from shelfrank.models.popularity import walk_forward_recs
 from shelfrank.operators import evaluate as ev
 from shelfrank.operators.eda import correlation_long
 from shelfrank.plans.registry import query, with_roles
-from shelfrank.plans.sql_parts import metrics_ctes, popularity_walk_ctes, walk_base_ctes
+from shelfrank.plans.sql_parts import disc_sql, metrics_ctes, popularity_walk_ctes, walk_base_ctes
 from shelfrank.sources import roles
 
 PLAN = ev.SlicePlan()
@@ -44,9 +44,10 @@ def e07_single_cut(spark, sf):
 
 
 @query("e01_discounted_gain", with_roles(f"""
-SELECT iter, round(avg(g), 6) AS mean_discounted_gain FROM (
+SELECT iter, round(CAST(sum(g) AS DOUBLE) / CAST(count(*) AS DOUBLE), 6) AS mean_discounted_gain FROM (
   SELECT r.iter, r.user_idx,
-         sum(CASE WHEN rel.item_idx IS NULL THEN 0.0 ELSE 1.0 END * pow(CAST(0.85 AS DOUBLE), r.rank - 1)) AS g
+         sum(CAST(CASE WHEN rel.item_idx IS NULL THEN 0 ELSE 1 END AS DECIMAL(18,4))
+             * {disc_sql('r.rank', PLAN.k)}) AS g
   FROM recs r LEFT JOIN (SELECT DISTINCT iter, user_idx, item_idx FROM truth WHERE relevance > 0) rel
        USING (iter, user_idx, item_idx)
   WHERE r.rank <= {PLAN.k} GROUP BY r.iter, r.user_idx) GROUP BY iter""",

@@ -105,8 +105,8 @@ def append_after(old: DataFrame, new: DataFrame, order_cols=None) -> DataFrame:
     """P10: give an appended log index-style timestamps after the old one.
 
     The old log keeps ``tindex`` 0..n-1 in its total order and the new rows
-    continue at max+1.  Uses a distributed global index (zipWithIndex), not a
-    single-partition window.
+    continue at max+1.  Uses the distributed dense index of
+    ``functions.ranks.global_index``, not a single-partition window.
     """
     from shelfrank.functions.ranks import global_index
 
