@@ -51,10 +51,11 @@ def global_index(df: DataFrame, order_cols, name: str = "gidx", descending=None)
     out = (srt.withColumn("_p", part).join(F.broadcast(offs), "_p")
            .withColumn(name, (F.col("_off") + F.col("_mid").bitwiseAND(F.lit(low))).cast("long"))
            .drop("_p", "_off", "_mid"))
-    # the numbering is written once to the checkpoint folder: later readers and
-    # any recomputation after a lost executor see exactly these numbers
-    from shelfrank.session import materialize
-    out = materialize(out)
+    # filled once and cached: every later reader sees these numbers; a block
+    # lost with an executor is recomputed from the same sorted partitions
+    # (total order, ids from partition index and position), so it is identical
+    out = out.persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
     srt.unpersist()
     return out
 
