@@ -49,17 +49,16 @@ class PopularityRecommender:
         return self
 
     def item_scores(self, items: DataFrame) -> DataFrame:
-        n = items.agg(F.count(F.lit(1)).alias("n_items"))
-        one = F.lit(1)
-        base = items.select("item_idx", "price").withColumn("_one", one)
-        g = self.total.withColumn("_one", one).join(n.withColumn("_one", one), "_one")
-        if self.price_stats is not None:
-            g = g.join(self.price_stats.withColumn("_one", one), "_one")
-        s = base.join(self.counts, "item_idx", "left").join(g, "_one")
+        # model scalars: the number of candidate items and the fitted totals
+        n_items = items.count()
+        total = self.total.first()["total"] or 0
+        s = items.select("item_idx", "price").join(self.counts, "item_idx", "left")
         score = (F.coalesce(F.col("cnt"), F.lit(0)) + self.alpha) / \
-                (F.coalesce(F.col("total"), F.lit(0)) + self.alpha * F.col("n_items"))
-        mean = F.col("pmean") if self.price_stats is not None else None
-        std = F.col("pstd") if self.price_stats is not None else None
+                (F.lit(total).cast("long") + self.alpha * F.lit(n_items))
+        mean = std = None
+        if self.price_stats is not None:
+            ps = self.price_stats.first()
+            mean, std = F.lit(ps["pmean"]).cast("double"), F.lit(ps["pstd"]).cast("double")
         return s.select("item_idx", "price", score.alias("score"),
                         _strategy(score, F.col("price"), self.strategy, mean, std).alias("er"))
 
@@ -93,9 +92,9 @@ def walk_forward_recs(log: DataFrame, items: DataFrame, plan: SlicePlan, alpha:
         .groupBy("iter", "item_idx").agg(F.sum("c").alias("cnt"))
     tot = icnt.groupBy("iter").agg(F.sum("cnt").alias("total"))
     its = items.select("item_idx", "price")
-    n_items = its.agg(F.count(F.lit(1)).alias("n_items")).withColumn("_one", F.lit(1))
+    n_items_value = its.count()   # one scalar
     grid = (its.withColumn("iter", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-            .withColumn("_one", F.lit(1)).join(n_items, "_one"))
+            .withColumn("n_items", F.lit(n_items_value).cast("long")))
     s = (grid.join(icnt, ["iter", "item_idx"], "left").join(tot, "iter", "left"))
     score = (F.coalesce(F.col("cnt"), F.lit(0)) + alpha) / \
             (F.coalesce(F.col("total"), F.lit(0)) + alpha * F.col("n_items"))

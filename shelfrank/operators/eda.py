@@ -11,13 +11,13 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from shelfrank.functions.exprs import r6
 
 
-def _one(df: DataFrame) -> DataFrame:
-    return df.withColumn("_one", F.lit(1))
+def _count(df: DataFrame) -> int:
+    """One scalar: the row count (global aggregate, partial per task)."""
+    return df.count()
 
 
 def table_counts(named: dict[str, DataFrame]) -> DataFrame:
@@ -30,33 +30,31 @@ def table_counts(named: dict[str, DataFrame]) -> DataFrame:
 
 
 def share(df: DataFrame, col: str) -> DataFrame:
-    """A2: count and percentage of all rows per level (one pass, total by window over the levels)."""
+    """A2: count and percentage of all rows per level (the total is one scalar, no
+    single-partition window over the levels)."""
+    total = df.count()
     g = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
-    return g.select(col, "n", r6(F.col("n") * 100.0 / total).alias("pct"))
+    return g.select(col, "n", r6(F.col("n") * 100.0 / F.lit(total)).alias("pct"))
 
 
 def density(log_df: DataFrame, users_df: DataFrame, items_df: DataFrame) -> DataFrame:
     """A3: interactions / (users x items) * 100."""
-    a = _one(log_df.agg(F.count(F.lit(1)).alias("n_interactions")))
-    b = _one(users_df.agg(F.count(F.lit(1)).alias("n_users")))
-    c = _one(items_df.agg(F.count(F.lit(1)).alias("n_items")))
-    j = a.join(b, "_one").join(c, "_one")
-    return j.select("n_interactions", "n_users", "n_items",
-                    r6(F.col("n_interactions") / (F.col("n_users") * F.col("n_items")) * 100.0)
+    n_users, n_items = _count(users_df), _count(items_df)
+    a = log_df.agg(F.count(F.lit(1)).alias("n_interactions"))
+    return a.select("n_interactions", F.lit(n_users).cast("long").alias("n_users"),
+                    F.lit(n_items).cast("long").alias("n_items"),
+                    r6(F.col("n_interactions") / (F.lit(n_users) * F.lit(n_items)) * 100.0)
                     .alias("density_pct"))
 
 
 def coverage(log_df: DataFrame, users_df: DataFrame, items_df: DataFrame) -> DataFrame:
     """A4: distinct users/items that interacted, and their share of all."""
-    a = _one(log_df.agg(F.countDistinct("user_idx").alias("active_users"),
-                        F.countDistinct("item_idx").alias("active_items")))
-    b = _one(users_df.agg(F.count(F.lit(1)).alias("n_users")))
-    c = _one(items_df.agg(F.count(F.lit(1)).alias("n_items")))
-    j = a.join(b, "_one").join(c, "_one")
-    return j.select("active_users", "active_items",
-                    r6(F.col("active_users") * 100.0 / F.col("n_users")).alias("pct_users"),
-                    r6(F.col("active_items") * 100.0 / F.col("n_items")).alias("pct_items"))
+    n_users, n_items = _count(users_df), _count(items_df)
+    a = log_df.agg(F.countDistinct("user_idx").alias("active_users"),
+                   F.countDistinct("item_idx").alias("active_items"))
+    return a.select("active_users", "active_items",
+                    r6(F.col("active_users") * 100.0 / F.lit(n_users)).alias("pct_users"),
+                    r6(F.col("active_items") * 100.0 / F.lit(n_items)).alias("pct_items"))
 
 
 def counts_by(df: DataFrame, *cols: str) -> DataFrame:
@@ -96,9 +94,10 @@ def histogram(df: DataFrame, col: str, n_bins: int, group: str | None = None) ->
         stats = vals.groupBy(group).agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
         joined = vals.join(stats, group)
     else:
-        stats = _one(vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi")))
-        joined = _one(vals).join(stats, "_one")
-        stats = stats.drop("_one")
+        # two scalars (min, max) from one aggregate, applied as literals
+        st = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+        joined = vals.withColumn("lo", F.lit(st["lo"]).cast("double")).withColumn("hi", F.lit(st["hi"]).cast("double"))
+        stats = vals.sparkSession.createDataFrame([(st["lo"], st["hi"])], "lo double, hi double")
     b, _, _ = _bins(F.col("x"), F.col("lo"), F.col("hi"), n_bins)
     cnt = joined.select(*keys, b.alias("bin")).groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n"))
     _, lo2, hi2 = _bins(F.lit(0.0), F.col("lo"), F.col("hi"), n_bins)

@@ -52,10 +52,9 @@ def j04_unseen_pool(spark, sf):
     seen = (r.log.select("user_idx", "item_idx").distinct()
             .join(r.items.select("item_idx"), "item_idx", "left_semi")
             .groupBy("user_idx").agg(F.count(F.lit(1)).alias("c")))
-    n = r.items.agg(F.count(F.lit(1)).alias("n")).withColumn("_one", F.lit(1))
-    return (r.users.select("user_idx").withColumn("_one", F.lit(1)).join(n, "_one")
-            .join(seen, "user_idx", "left")
-            .select("user_idx", (F.col("n") - F.coalesce(F.col("c"), F.lit(0))).alias("n_candidates")))
+    n = r.items.count()   # one scalar
+    return (r.users.select("user_idx").join(seen, "user_idx", "left")
+            .select("user_idx", (F.lit(n).cast("long") - F.coalesce(F.col("c"), F.lit(0))).alias("n_candidates")))
 
 
 @query("r04_shaped_popularity_topk", with_roles(f"""
