@@ -38,9 +38,12 @@ class PopularityRecommender:
         self.alpha, self.strategy, self.seed = alpha, strategy, seed
 
     def fit(self, log: DataFrame, user_features=None, item_features=None):
+        from pyspark.storagelevel import StorageLevel
         rel = log.where(F.col("relevance") > 0)
-        self.counts = rel.groupBy("item_idx").agg(F.count(F.lit(1)).alias("cnt"))
-        self.total = rel.agg(F.count(F.lit(1)).alias("total"))
+        self.counts = rel.groupBy("item_idx").agg(F.count(F.lit(1)).alias("cnt")) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        # the total is summed from the cached per-item counts: one scan of the log
+        self.total = self.counts.agg(F.sum("cnt").alias("total"))
         if item_features is not None:
             p = log.join(item_features.select("item_idx", "price"), "item_idx")
             self.price_stats = p.agg(F.avg("price").alias("pmean"), F.stddev_pop("price").alias("pstd"))

@@ -32,8 +32,9 @@ def table_counts(named: dict[str, DataFrame]) -> DataFrame:
 def share(df: DataFrame, col: str) -> DataFrame:
     """A2: count and percentage of all rows per level (the total is one scalar, no
     single-partition window over the levels)."""
-    total = df.count()
-    g = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    from pyspark.storagelevel import StorageLevel
+    g = df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
+    total = g.agg(F.sum("n")).first()[0] or 0   # from the per-level table, not a rescan
     return g.select(col, "n", r6(F.col("n") * 100.0 / F.lit(total)).alias("pct"))
 
 
