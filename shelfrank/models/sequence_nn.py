@@ -183,8 +183,9 @@ class SequenceRecommender:
         n_ids = int(item_features.agg(F.max("item_idx")).first()[0]) + 1
         self.n_items = n_ids
         self.Fm = item_matrix(item_features, self.fs, n_ids)
-        nparts = self.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
         w = self.windows(log).where(F.col("target") < n_ids)
+        from shelfrank.session import data_partitions
+        nparts = self.partitions or data_partitions(spark, log.count(), 20_000)
         w = w.repartition(nparts, "user_idx", "pos")
         from shelfrank.session import materialize
         w = materialize(w)

@@ -52,6 +52,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def data_partitions(spark: SparkSession, n_rows: int, rows_per_partition: int) -> int:
+    """Shuffle partitions sized to the data: at least the cluster's parallelism, about
+    ``rows_per_partition`` rows each, never above the session's own setting."""
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cores = spark.sparkContext.defaultParallelism
+    wanted = max(cores, -(-int(n_rows) // rows_per_partition))
+    return max(1, min(configured, wanted))
+
+
 def materialize(df):
     """Cut lineage: write ``df`` to the shared checkpoint folder and read it from there.
 
