@@ -1,4 +1,4 @@
 """Imports every query module of this subpackage, so that its registry is complete."""
 
-from shelfrank.llm import decontaminate, line_dedup, near_dedup, quality, secrets, sentencepiece, sharding  # noqa: F401
+from shelfrank.llm import decontaminate, embedding_dedup, line_dedup, near_dedup, quality, secrets, sentencepiece, sharding  # noqa: F401
 from shelfrank.llm.registry import ORACLES, QUERIES  # noqa: F401
