@@ -8,7 +8,8 @@ bits are a frequency class (counted over all words of all texts in 16,384 hash b
 fixed size) and whose lower 48 bits are a hash, so that sorting codes orders words by rarity. Two
 sets of n and m words can only reach the similarity if they share a code among their n - ceil(t n)
 + 1 rarest ones (prefix filter), if min(n, m) >= t max(n, m) (length filter), and if the words left
-behind the shared one suffice (positional filter). The pairs that pass are verified on all codes.
+behind the shared one suffice (positional filter). A 64-bit parity of each set then rules out pairs
+that provably differ in too many words, and the pairs that pass are verified on all codes.
 
 A cluster of variants is not paired up: in a first round every set meets only the earliest set that
 has the same rarest word; sets for which that proves an earlier match need no further partner.
@@ -21,6 +22,8 @@ result; other columns pass through, whatever their names.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,26 +34,39 @@ CLASSES = 1 << 14          # hash buckets of the word counts
 HASH_BITS = 48
 LAST = (1 << 63) - 1       # place of documents without doc_id
 FEW = 400_000              # rows that are broadcast at most
-WHITE = "[ \\t\\r\\f\\x0B]+"
+
+
+def _words(line: Column) -> Column:
+    """Lower-case words; the split by one blank alone is much the faster one."""
+    low = F.lower(line)
+    return F.array_remove(F.when(line.rlike("[\\t\\r\\f\\x0B\\n]"), F.split(low, "[ \\t\\r\\f\\x0B\\n]+"))
+                          .otherwise(F.split(low, " ")), "")
 
 
 def frequency_classes(docs: DataFrame, text: str) -> Column:
-    """array literal: class of each hash bucket, shifted above the hash bits. 16 classes per doubling."""
-    word = F.explode(F.split(F.lower(F.col(text)), "[ \\t\\r\\f\\x0B\\n]+"))
-    counts = docs.select(word.alias("w")).groupBy(
-        F.xxhash64("w").bitwiseAND(CLASSES - 1).alias("b")).agg(F.count("*").alias("n")).collect()
+    """array literal: class of each hash bucket, shifted above the hash bits; 16 classes per doubling
+    of the number of words in the bucket."""
+    lines = docs.select(F.explode(F.split(F.col(text), "\n")).alias("l"))
+    counts = (lines.select(F.explode(_words(F.col("l"))).alias("w"))
+              .groupBy(F.xxhash64("w").bitwiseAND(CLASSES - 1).alias("b")).agg(F.count("*").alias("n")).collect())
     out = [0] * CLASSES
     for b, n in counts:
-        out[b] = int(16 * (n + 1).bit_length() + 16 * ((n + 1) / (1 << (n + 1).bit_length()) - 0.5) * 2)
+        out[b] = int(16 * math.log2(n + 1)) << HASH_BITS
     return F.split(F.lit(",".join(map(str, out))), ",").cast("array<long>")
 
 
 def codes(line: Column, classes: Column) -> Column:
     """Sorted distinct codes of the line's words, rarest first."""
-    words = F.array_remove(F.split(F.lower(line), WHITE), "")
-    hashes = F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
-    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(F.get(classes, h.bitwiseAND(CLASSES - 1)), HASH_BITS)
-                                    .bitwiseOR(F.shiftrightunsigned(h, 64 - HASH_BITS))))
+    hashes = F.array_distinct(F.transform(_words(line), lambda w: F.xxhash64(w)))
+    return F.sort_array(F.transform(hashes, lambda h: F.get(classes, h.bitwiseAND(CLASSES - 1)).bitwiseOR(
+        F.shiftrightunsigned(h, 64 - HASH_BITS))))
+
+
+def _parity(codes: str) -> Column:
+    """64 bits, each flipped once per code that hashes to it. Two sets differ in at least as many
+    codes as their parities differ in bits."""
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))
+    return F.aggregate(codes, F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(bit(x)))
 
 
 def _place(key: str) -> Column:
@@ -94,13 +110,24 @@ def removed_lines(docs: DataFrame, percent: int = 80, text: str = "text", key: s
     keep = (n - F.ceil(F.lit(percent) * n / 100) + 1).cast("int")
     lines = written(_lines(docs, text, key).select("doc", "line", c.alias("codes")).where("size(codes) > 0").select(
         "doc", "line", n.alias("n"), F.xxhash64("codes").alias("k1"), F.hash("codes").alias("k2"),
+        _parity("codes").alias("parity"),
         F.slice("codes", F.lit(1), keep).alias("prefix")), "lines")
     same = ["k1", "k2", "n"]
-    sets = written(lines.groupBy(*same).agg(F.min(F.struct("doc", "line")).alias("at"), F.first("prefix").alias("prefix"))
-                   .select(*same, "at.doc", "at.line", "prefix"), "line-sets")
+    sets = written(lines.groupBy(*same).agg(F.min(F.struct("doc", "line")).alias("at"), F.first("parity").alias("parity"),
+                                             F.first("prefix").alias("prefix"))
+                   .select(*same, "at.doc", "at.line", "parity", "prefix"), "line-sets")
     # a set of n words can only match a different set if n >= t (n + 1)
     able = sets.where(F.lit(percent) * (F.col("n") + 1) <= 100 * F.col("n"))
     size_ok = "100 * least(n, n2) >= {0} * greatest(n, n2)".format(percent)
+    marks = sets.select("doc", "line", "n", "parity")
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        """Pairs whose parities do not prove too many differing words."""
+        both = pairs.join(marks, ["doc", "line"]).join(marks.toDF("doc2", "line2", "n2", "parity2"), ["doc2", "line2"])
+        differ = F.bit_count(F.col("parity").bitwiseXOR(F.col("parity2")))
+        return both.where((100 + percent) * differ <= (100 - percent) * (F.col("n") + F.col("n2"))).select(
+            "doc", "line", "doc2", "line2")
+
     earlier = "(doc2 < doc or (doc2 = doc and line2 < line))"
 
     # round 1: every set against the earliest one with the same rarest word
@@ -108,7 +135,7 @@ def removed_lines(docs: DataFrame, percent: int = 80, text: str = "text", key: s
     lead = (rare.groupBy("code").agg(F.min(F.struct("doc", "line", "n")).alias("l"), F.count("*").alias("c")).where("c > 1")
             .select("code", F.col("l.doc").alias("doc2"), F.col("l.line").alias("line2"), F.col("l.n").alias("n2")))
     first = rare.join(lead, "code").where(f"{size_ok} and {earlier}").select("doc", "line", "doc2", "line2")
-    matched = written(_verified(first, docs, classes, percent, text, key).select("doc", "line").distinct(), "line-matched")
+    matched = written(_verified(possible(first), docs, classes, percent, text, key).select("doc", "line").distinct(), "line-matched")
 
     # round 2: the sets that have no match yet against all earlier sets that share a prefix word
     short = lambda c: c.bitwiseAND((1 << 31) - 1).cast("int")  # noqa: E731  half the bytes; verified anyway
@@ -119,7 +146,7 @@ def removed_lines(docs: DataFrame, percent: int = 80, text: str = "text", key: s
     enough = f"(100 + {percent}) * (least(n - pos, n2 - pos2)) >= {percent} * (n + n2)"
     second = (probe.join(index, "code").where(f"{size_ok} and {enough} and {earlier}")
               .select("doc", "line", "doc2", "line2").distinct())
-    more = _verified(second, docs, classes, percent, text, key).select("doc", "line")
+    more = _verified(possible(second), docs, classes, percent, text, key).select("doc", "line")
     matched = matched.union(more).distinct()
 
     gone = (sets.select(*same, F.col("doc").alias("first_doc"), F.col("line").alias("first_line"))
