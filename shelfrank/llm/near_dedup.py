@@ -10,8 +10,9 @@ non-pairs (0.55 against 0.8, six standard errors and more); the full sets confir
 
 Equal sets are one class from the start. Inside a band's bucket the classes are compared with the
 bucket's smallest class first; once those links are joined to components, only members of different
-components of a bucket are compared with each other. A group of copies so costs one comparison a
-member, and no link between components is lost.
+components of a bucket are compared with each other, block against block inside tasks that return
+connecting edges, not pairs. A group of copies so costs one comparison a member, and no link between
+components is lost.
 
 Defined cases: words are runs without ASCII white space, A-Z in lower case; a null or empty text
 has an empty set and is linked with nothing; a text with fewer words than a shingle is one shingle;
@@ -23,6 +24,7 @@ columns are not read.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -107,16 +109,16 @@ def sketches(docs: DataFrame, words: int, text: str = "text", key: str = "doc_id
     return docs.select(F.col(key).cast("long").alias(key), F.col(text).alias(text)).mapInArrow(run, schema)
 
 
+def _zeros_distribution(n: np.ndarray) -> np.ndarray:
+    """Per set size: probability of each leading-zero count of a bucket's register."""
+    lam = np.maximum(n / BUCKETS, 1.0)[:, None]
+    at_least = 1 - (1 - np.exp2(-np.arange(54.0)))[None, :] ** lam     # P(zeros >= z)
+    return at_least[:, :-1] - at_least[:, 1:]
+
+
 def expected_collisions(na: np.ndarray, nb: np.ndarray) -> np.ndarray:
     """Probability that the registers of two unrelated buckets agree, by set sizes."""
-    k = np.arange(0, 53)
-    out = np.zeros(len(na))
-    la, lb = np.maximum(na / BUCKETS, 1)[:, None], np.maximum(nb / BUCKETS, 1)[:, None]
-    below = lambda lam, z: 1 - (1 - np.exp2(-z.astype(float)))[None, :] ** lam  # noqa: E731  P(zeros >= z)
-    pa_ = below(la, k) - below(la, k + 1)
-    pb_ = below(lb, k) - below(lb, k + 1)
-    out[:] = (pa_ * pb_).sum(1) / (1 << MANTISSA)
-    return out
+    return (_zeros_distribution(na) * _zeros_distribution(nb)).sum(1) / (1 << MANTISSA)
 
 
 def _likely(pairs: DataFrame, threshold: float, margin: float = 0.25) -> DataFrame:
@@ -139,6 +141,106 @@ def _likely(pairs: DataFrame, threshold: float, margin: float = 0.25) -> DataFra
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def _registers_near(a: pd.DataFrame, b: pd.DataFrame, threshold: float, margin: float = 0.16) -> np.ndarray:
+    """Matrix: estimated similarity not clearly below the threshold (4.5 standard errors)."""
+    ra, rb = (np.frombuffer(b"".join(x["body"]), np.uint16).reshape(-1, BUCKETS) for x in (a, b))
+    na, nb = a["n_shingles"].to_numpy(float), b["n_shingles"].to_numpy(float)
+    same = np.zeros((len(a), len(b)), np.float32)
+    for k in range(BUCKETS):
+        same += ra[:, k][:, None] == rb[:, k][None, :]
+    ec = _zeros_distribution(na) @ _zeros_distribution(nb).T / (1 << MANTISSA)
+    size_ok = np.minimum(na[:, None], nb) >= threshold * np.maximum(na[:, None], nb) - 1e-9
+    return ((same / BUCKETS - ec) / (1 - ec) >= threshold - margin) & size_ok
+
+
+def _sets_linked(a: pd.DataFrame, b: pd.DataFrame, percent: int) -> np.ndarray:
+    """Matrix: full sets reach the threshold. Sets are sorted; only members of other components of
+    fitting size are looked up."""
+    out = np.zeros((len(a), len(b)), bool)
+    flat = np.concatenate(b["body"].to_list()).view(U64)      # sorted as unsigned numbers
+    size = b["n_shingles"].to_numpy()
+    row = np.repeat(np.arange(len(b)), size)
+    ca, cb = a["comp"].to_numpy(), b["comp"].to_numpy()
+    for i, x in enumerate(a["body"]):
+        n = len(x)
+        ok = (cb != ca[i]) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
+        if not ok.any():
+            continue
+        pick = ok[row]
+        f = flat[pick]
+        x = x.view(U64)
+        at = np.minimum(np.searchsorted(x, f), n - 1)
+        common = np.bincount(row[pick], x[at] == f, len(b))
+        out[i] = ok & (100 * common >= percent * (n + size - common))
+    return out
+
+
+def _across(rows: DataFrame, bodies: DataFrame, similar, threshold, block: int = 512) -> DataFrame:
+    """Edges (a, b) that connect the ids of a key that are ``similar`` over different components.
+
+    ``rows`` holds (key, id, comp). Each key's ids are dealt into blocks: a component of more than
+    ``block`` ids into blocks of its own, the rest together. Every pair of blocks is one task's
+    matrix, except pairs inside one component. A task returns one edge per id, to the smallest id
+    it is connected with there, never the pairs.
+    """
+    per = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    per = per.withColumn("big", F.col("n") > block)
+    small = per.where("not big").groupBy("key").agg(F.ceil(F.sum("n") / block).alias("parts"))
+    named = (per.join(small, "key", "left").select(
+        "key", "comp", "big", F.when(F.col("big"), F.ceil(F.col("n") / block)).otherwise(F.col("parts")).alias("parts")))
+    dealt = written(rows.join(named, ["key", "comp"]).select(
+        "key", "id", "comp", F.when(F.col("big"), F.col("comp")).alias("own"),
+        F.pmod(F.xxhash64(F.when(F.col("big"), F.col("id")).otherwise(F.col("comp"))), F.col("parts")).alias("part")), "dealt")
+    blocks = dealt.select("key", "own", "part").distinct().withColumn("block", F.xxhash64("own", "part"))
+    other = blocks.select("key", F.col("own").alias("own2"), F.col("block").alias("block2"))
+    tiles = written(blocks.join(other, "key").where("block <= block2 and (own is null or own2 is null or own <> own2)")
+                    .select("key", "block", "block2"), "tiles")
+    full = dealt.withColumn("block", F.xxhash64("own", "part")).select("key", "block", "id", "comp").join(bodies, "id")
+    left = full.join(tiles, ["key", "block"]).withColumn("side", F.lit(0))
+    right = (full.withColumnRenamed("block", "block2").join(tiles.where("block < block2"), ["key", "block2"])
+             .withColumn("side", F.lit(1)))
+    at = ["key", "block", "block2"]
+    work = left.unionByName(right).repartition(*at).sortWithinPartitions(*at, "side", "id")
+
+    def run(batches):
+        for pdf in _whole_groups(batches, at):
+            b = pdf[pdf["side"] == 1]
+            a = pdf[pdf["side"] == 0] if len(b) else pdf
+            b = b if len(b) else a
+            hit = similar(a, b, threshold) & (a["comp"].to_numpy()[:, None] != b["comp"].to_numpy()[None, :])
+            i, j = np.nonzero(hit)
+            if len(i):
+                ids = np.unique(np.r_[a["id"].to_numpy()[i], b["id"].to_numpy()[j]])
+                x, y = (np.searchsorted(ids, t["id"].to_numpy()[k]) for t, k in ((a, i), (b, j)))
+                low = np.arange(len(ids))
+                while True:
+                    before = low.copy()
+                    m = np.minimum(low[x], low[y])
+                    np.minimum.at(low, x, m)
+                    np.minimum.at(low, y, m)
+                    if (low == before).all():
+                        break
+                some = low < np.arange(len(ids))
+                yield pd.DataFrame({"a": ids[some], "b": ids[low[some]]})
+
+    return work.mapInPandas(run, "a long, b long")
+
+
+def _whole_groups(batches, keys: list[str]):
+    """The groups of a sorted partition, one pandas frame each; a group may span batches."""
+    rest = None
+    for pdf in batches:
+        rest = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+        k = rest[keys].to_numpy()
+        cuts = np.flatnonzero((k[1:] != k[:-1]).any(1)) + 1
+        starts = np.r_[0, cuts]
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            yield rest.iloc[a:b]
+        rest = rest.iloc[starts[-1]:].reset_index(drop=True) if len(rest) else None
+    if rest is not None and len(rest):
+        yield rest
+
+
 def _sets_of(docs: DataFrame, ids: DataFrame, words: int, text: str, key: str) -> DataFrame:
     """(id, hashes) of the documents in ``ids``; one row per id."""
 
@@ -189,20 +291,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     stars = members.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     links = written(_confirmed(stars, classes, docs, words, percent, text, key), "links")
 
-    # members of one bucket in different components: compare them across components only
+    # members of one bucket in different components: first by registers, in blocks; the ids that are
+    # near another component form clusters, and in those the full sets decide, again in blocks
     comp = components(links)
     placed = written(members.select("band", "id").join(comp.withColumnRenamed("node", "id"), "id", "left")
                      .select("band", "id", F.coalesce("component", "id").alias("comp")), "placed")
     mixed = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band")
-    open_ = written(placed.join(mixed, "band", "left_semi"), "open")
-    groups = open_.select("band", "comp").distinct()
-    across = (groups.withColumnRenamed("comp", "ca").join(groups.withColumnRenamed("comp", "cb"), "band").where("ca < cb"))
-    cross = (across.join(open_.select("band", F.col("comp").alias("ca"), F.col("id").alias("a")), ["band", "ca"])
-             .join(open_.select("band", F.col("comp").alias("cb"), F.col("id").alias("b")), ["band", "cb"])
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-             .join(stars.select(F.col("a"), F.col("b")), ["a", "b"], "left_anti"))
-    more = written(_confirmed(cross, classes, docs, words, percent, text, key), "links")
-    comp = components(links.union(more)) if not more.isEmpty() else comp
+    open_ = written(placed.join(mixed, "band", "left_semi").withColumnRenamed("band", "key"), "open")
+    near = written(_across(open_, classes.select("id", "n_shingles", F.col("registers").alias("body")),
+                           _registers_near, percent / 100).distinct(), "near")
+    clusters = written(components(near).withColumnsRenamed({"node": "id", "component": "key"})
+                       .join(comp.withColumnRenamed("node", "id"), "id", "left")
+                       .select("key", "id", F.coalesce("component", "id").alias("comp")), "clusters")
+    sets = written(_sets_of(docs, clusters.select("id"), words, text, key).dropDuplicates(["id", "hashes"])
+                   .select("id", F.size("hashes").cast("long").alias("n_shingles"), "hashes"), "sets")
+    more = written(_across(clusters, sets.withColumnRenamed("hashes", "body"), _sets_linked, percent), "links")
+    comp = components(links.union(more))
 
     # a doc_id on rows of several sets joins those sets, as it is one document
     label = ids.join(comp.withColumnRenamed("node", "id"), "id", "left").select(
