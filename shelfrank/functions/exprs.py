@@ -1,4 +1,4 @@
-"""F1-F7 and deterministic draws as Column expressions (JVM-side, codegen)."""
+"""F1, F2, F6 and deterministic draws as Column expressions (JVM-side, codegen)."""
 
 from __future__ import annotations
 
@@ -35,56 +35,9 @@ def sigmoid(x) -> Column:
     return 1.0 / (1.0 + F.exp(-col(x)))
 
 
-def dot(a, b) -> Column:
-    """Dot product of two equal-length numeric arrays."""
-    return F.aggregate(F.zip_with(col(a), col(b), lambda x, y: x.cast("double") * y.cast("double")),
-                       F.lit(0.0), lambda acc, v: acc + v)
-
-
-def relu_array(a) -> Column:
-    """F7 on an array column."""
-    return F.transform(col(a), lambda v: F.greatest(v, F.lit(0.0)))
-
-
-def smoothed(count, total, n_candidates, alpha: float = SMOOTHING) -> Column:
-    """(c + a) / (sum c + a * n_candidates)."""
-    return (col(count) + alpha) / (col(total) + alpha * col(n_candidates))
-
-
-def backoff_weight(n, order: int) -> Column:
-    """0.5 ** (order - n)."""
-    return F.pow(F.lit(BACKOFF_BASE), F.lit(order) - col(n))
-
-
-def position_discount(rank) -> Column:
-    """0.85 ** (rank - 1), rank 1-based."""
-    return F.pow(F.lit(DISCOUNT), col(rank) - 1)
-
-
-def discount_factors(k: int, base: float = DISCOUNT) -> list[str]:
-    """Exact decimal strings of base^(r-1), r = 1..k (12 decimals; exact for r <= 7 at 0.85)."""
-    from decimal import Decimal
-    b = Decimal(str(base))
-    return [str((b ** (r - 1)).quantize(Decimal("1e-12"))) for r in range(1, k + 1)]
-
-
-def discount_decimal(rank, k: int, base: float = DISCOUNT) -> Column:
-    """F6 as an exact DECIMAL(20,12) per rank (null beyond k).
-
-    Money sums such as price * 0.85^(r-1) then stay exact decimals, so their
-    rounding is decided on the exact value, not on float summation order.
-    """
-    from decimal import Decimal
-    r = col(rank)
-    expr = None
-    for i, f in enumerate(discount_factors(k, base), start=1):
-        lit = F.lit(Decimal(f)).cast("decimal(20,12)")
-        expr = F.when(r == i, lit) if expr is None else expr.when(r == i, lit)
-    return expr
-
-
-def price_decimal(price) -> Column:
-    return col(price).cast("decimal(18,4)")
+def position_discount(rank, base: float = DISCOUNT) -> Column:
+    """base ** (rank - 1), rank 1-based, in double precision at every rank."""
+    return F.pow(F.lit(float(base)), (col(rank) - 1).cast("double"))
 
 
 def unit_draw(seed: int, *cols) -> Column:
@@ -97,11 +50,6 @@ def unit_draw(seed: int, *cols) -> Column:
     return F.pmod(h, F.lit(1 << 30)).cast("double") / float(1 << 30)
 
 
-def int_draw(seed: int, n, *cols) -> Column:
-    """Deterministic integer draw in [0, n)."""
-    return F.pmod(F.xxhash64(F.lit(seed), *[col(c) for c in cols]), col(n) if not isinstance(n, int) else F.lit(n))
-
-
 def sum_named_arrays(parts, chunk: int = 65536) -> dict:
     """Sum equally-shaped numeric arrays emitted by many tasks, inside Spark.
 

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.functions.exprs import DISCOUNT, discount_decimal, price_decimal, r6
+from shelfrank.functions.exprs import DISCOUNT, position_discount, r6
 
 METRICS = ["precision_at_k", "ndcg_at_k", "mrr", "hit_rate", "revenue", "discounted_revenue"]
 
@@ -91,7 +91,7 @@ def ranking_metrics(recs: DataFrame, truth: DataFrame, items_df: DataFrame, k: i
         F.sum(1.0 / F.log2(F.col("rank") + 1)).alias("dcg"),
         F.min("rank").alias("first_hit"),
         F.sum("price").alias("rev"),
-        F.sum(price_decimal("price") * discount_decimal("rank", k)).alias("drev"))
+        F.sum(F.col("price") * position_discount("rank")).alias("drev"))
     u = (users.join(n_rel, keys + ["user_idx"], "left").join(per_user, keys + ["user_idx"], "left")
          .fillna(0, ["n_rel", "n_hits"]))
     nd = F.when(F.col("n_rel") > 0, F.coalesce(F.col("dcg"), F.lit(0.0)) / idcg(F.col("n_rel"), k)) \
@@ -103,12 +103,8 @@ def ranking_metrics(recs: DataFrame, truth: DataFrame, items_df: DataFrame, k: i
         F.avg(F.coalesce(1.0 / F.col("first_hit"), F.lit(0.0))).alias("mrr"),
         F.avg((F.col("n_hits") > 0).cast("double")).alias("hit_rate"),
         F.coalesce(F.sum("rev"), F.lit(0.0)).alias("revenue"),
-        F.round(F.coalesce(F.sum("drev"), F.lit(0).cast("decimal(38,15)")), 4).cast("double")
-        .alias("discounted_revenue"))
-    # discounted revenue is an exact decimal sum (price x 0.85^j has up to 10
-    # decimals, so float rounding would often sit on a tie); reported to 4 digits.
-    return agg.select(*keys, "n_users", *[
-        (F.col(m) if m == "discounted_revenue" else r6(m)).alias(m) for m in METRICS])
+        F.coalesce(F.sum("drev"), F.lit(0.0)).alias("discounted_revenue"))
+    return agg.select(*keys, "n_users", *[r6(m).alias(m) for m in METRICS])
 
 
 def discounted_gain(recs: DataFrame, k: int = 5, discount: float = DISCOUNT, keys=()) -> DataFrame:
@@ -116,13 +112,11 @@ def discounted_gain(recs: DataFrame, k: int = 5, discount: float = DISCOUNT, key
     keys = list(keys)
     per_user = (recs.where(F.col("rank") <= k)
                 .groupBy(*keys, "user_idx")
-                .agg(F.sum(F.col("relevance").cast("decimal(18,4)") * discount_decimal("rank", k, discount))
-                     .alias("g")))
-    # exact decimal sum, one float division: the same double in every engine
-    mean = F.sum("g").cast("double") / F.count(F.lit(1)).cast("double")
+                .agg(F.sum(F.col("relevance").cast("double") * position_discount("rank", discount)).alias("g")))
+    mean = F.sum("g") / F.count(F.lit(1))
     if keys:
-        return per_user.groupBy(*keys).agg(r6(mean).alias("mean_discounted_gain"))
-    return per_user.agg(r6(F.coalesce(mean, F.lit(0.0))).alias("mean_discounted_gain"))
+        return per_user.groupBy(*keys).agg(mean.alias("mean_discounted_gain"))
+    return per_user.agg(F.coalesce(mean, F.lit(0.0)).alias("mean_discounted_gain"))
 
 
 def slice_truth(log_df: DataFrame, plan: SlicePlan) -> DataFrame:

@@ -44,10 +44,9 @@ def e07_single_cut(spark, sf):
 
 
 @query("e01_discounted_gain", with_roles(f"""
-SELECT iter, round(CAST(sum(g) AS DOUBLE) / CAST(count(*) AS DOUBLE), 6) AS mean_discounted_gain FROM (
+SELECT iter, round(sum(g) / count(*), 6) AS mean_discounted_gain FROM (
   SELECT r.iter, r.user_idx,
-         sum(CAST(CASE WHEN rel.item_idx IS NULL THEN 0 ELSE 1 END AS DECIMAL(18,4))
-             * {disc_sql('r.rank', PLAN.k)}) AS g
+         sum(CASE WHEN rel.item_idx IS NULL THEN 0 ELSE 1 END * {disc_sql('r.rank')}) AS g
   FROM recs r LEFT JOIN (SELECT DISTINCT iter, user_idx, item_idx FROM truth WHERE relevance > 0) rel
        USING (iter, user_idx, item_idx)
   WHERE r.rank <= {PLAN.k} GROUP BY r.iter, r.user_idx) GROUP BY iter""",
@@ -61,7 +60,26 @@ def e01_discounted_gain(spark, sf):
            .withColumn("hit", F.lit(1.0)))
     g = (recs.drop("relevance").join(rel, ["iter", "user_idx", "item_idx"], "left")
          .withColumn("relevance", F.coalesce(F.col("hit"), F.lit(0.0))))
-    return ev.discounted_gain(g, PLAN.k, keys=["iter"])
+    return ev.discounted_gain(g, PLAN.k, keys=["iter"]).select(
+        "iter", r6("mean_discounted_gain").alias("mean_discounted_gain"))
+
+
+_FRACTIONAL = ev.SlicePlan(k=10)
+
+
+@query("e01_fractional_gain", with_roles(f"""
+SELECT iter, round(sum(g) / count(*), 6) AS mean_discounted_gain FROM (
+  SELECT iter, user_idx, sum(relevance * {disc_sql('rank')}) AS g FROM (
+    SELECT iter, user_idx, rank, (item_idx % 7) / 3.0::DOUBLE + 0.00004::DOUBLE AS relevance FROM recs)
+  GROUP BY iter, user_idx) GROUP BY iter""",
+    walk_base_ctes(_FRACTIONAL) + "," + popularity_walk_ctes(_FRACTIONAL)))
+def e01_fractional_gain(spark, sf):
+    """E1 with fractional relevances down to 0.00004 at k = 10."""
+    r = roles.load(spark, sf)
+    recs = walk_forward_recs(r.log, r.items, _FRACTIONAL)
+    g = recs.withColumn("relevance", (F.col("item_idx") % 7) / F.lit(3.0) + F.lit(0.00004))
+    return ev.discounted_gain(g, _FRACTIONAL.k, keys=["iter"]).select(
+        "iter", r6("mean_discounted_gain").alias("mean_discounted_gain"))
 
 
 # ---------------------------------------------------------------- E8 and its summaries

@@ -13,12 +13,9 @@ from shelfrank.operators.evaluate import SlicePlan
 D = "CAST({} AS DOUBLE)".format
 
 
-def disc_sql(rank: str, k: int) -> str:
-    """Exact DECIMAL(20,12) discount per rank, the twin of ``exprs.discount_decimal``."""
-    from shelfrank.functions.exprs import discount_factors
-    whens = " ".join(f"WHEN {i} THEN CAST('{f}' AS DECIMAL(20,12))"
-                     for i, f in enumerate(discount_factors(k), start=1))
-    return f"CASE {rank} {whens} END"
+def disc_sql(rank: str) -> str:
+    """Discount of a 1-based rank, the twin of ``exprs.position_discount``."""
+    return f"pow({D('0.85')}, {rank} - 1)"
 
 
 def idcg_sql(n_rel: str, k: int) -> str:
@@ -99,7 +96,7 @@ hits{tag} AS (SELECT r.iter, r.user_idx, r.rank, coalesce(i.price, 1.0) AS price
          WHERE r.rank <= {k}),
 pu{tag} AS (SELECT iter, user_idx, count(*) AS n_hits, sum(1.0 / log2(rank + 1)) AS dcg,
               min(rank) AS first_hit, sum(price) AS rev,
-              sum(CAST(price AS DECIMAL(18,4)) * {disc_sql('rank', k)}) AS drev
+              sum(price * {disc_sql('rank')}) AS drev
        FROM hits{tag} GROUP BY iter, user_idx),
 u{tag} AS (SELECT e.iter, e.user_idx, coalesce(n.n_rel, 0) AS n_rel, coalesce(p.n_hits, 0) AS n_hits,
              p.dcg, p.first_hit, p.rev, p.drev
@@ -113,5 +110,5 @@ m{tag} AS (
          round(avg(coalesce(1.0 / first_hit, 0.0)), 6) AS mrr,
          round(avg(CASE WHEN n_hits > 0 THEN 1.0 ELSE 0.0 END), 6) AS hit_rate,
          round(coalesce(sum(rev), 0.0), 6) AS revenue,
-         CAST(round(coalesce(sum(drev), 0), 4) AS DOUBLE) AS discounted_revenue
+         round(coalesce(sum(drev), 0.0), 6) AS discounted_revenue
   FROM u{tag} GROUP BY iter)"""

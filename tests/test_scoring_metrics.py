@@ -51,4 +51,14 @@ def test_metrics_on_hand_fixture(spark):
     assert m["revenue"] == 70.0
     assert abs(m["discounted_revenue"] - round(10 * 0.85 + 20 * 0.85 ** 2 + 40 * 0.85, 4)) < 1e-9
     g = ev.discounted_gain(recs.withColumn("relevance", F.lit(1.0)), k=2).first()[0]
-    assert abs(g - round(((1 + 0.85) + (1 + 0.85) + 1) / 3, 6)) < 1e-9
+    assert abs(g - ((1 + 0.85) + (1 + 0.85) + 1) / 3) < 1e-12
+    assert abs(m["discounted_revenue"] - (10 * 0.85 + 20 * 0.85 ** 2 + 40 * 0.85)) < 1e-6
+
+
+def test_discounted_gain_of_tiny_relevances_and_deep_ranks(spark):
+    recs = spark.createDataFrame([(1, i, i + 1, 0.00004 if i == 0 else 0.00003) for i in range(12)],
+                                 "user_idx long, item_idx long, rank int, relevance double")
+    got = ev.discounted_gain(recs.where("rank <= 2"), k=10).first()[0]
+    assert abs(got - (0.00004 + 0.00003 * 0.85)) < 1e-15
+    got = ev.discounted_gain(recs, k=10).first()[0]
+    assert abs(got - (0.00004 + sum(0.00003 * 0.85 ** r for r in range(1, 10)))) < 1e-15
