@@ -83,7 +83,8 @@ def walk_forward_recs(log: DataFrame, items: DataFrame, plan: SlicePlan, alpha:
     """
     n = plan.n_iter
     sl = log.withColumn("s", plan.slice_of("ts"))
-    hist = sl.withColumn("s", F.greatest(F.col("s"), F.lit(-1))).where(F.col("s") <= n - 2)
+    # without retraining every iteration uses the history before slice 0
+    hist = sl.withColumn("s", F.greatest(F.col("s"), F.lit(-1))).where(F.col("s") <= (n - 2 if plan.retrain else -1))
 
     def cumulative(df: DataFrame, key_cols, aggs) -> DataFrame:
         per = df.groupBy(*key_cols, "s").agg(*aggs)
@@ -119,8 +120,8 @@ def walk_forward_recs(log: DataFrame, items: DataFrame, plan: SlicePlan, alpha:
     truth = sl.where((F.col("s") >= 0) & (F.col("s") < n)).withColumnRenamed("s", "iter")
     eval_users = plan.sample_users(truth.select("iter", "user_idx").distinct())
     first = sl.groupBy("user_idx", "item_idx").agg(F.min("s").alias("s"))
-    seen = (first.where(F.col("s") <= n - 2)
-            .withColumn("iter", F.explode(F.sequence(F.greatest(F.col("s") + 1, F.lit(0)), F.lit(n - 1))))
-            .join(eval_users, ["iter", "user_idx"], "left_semi"))
-    recs = top_k_unseen_global(ranked, eval_users, seen, plan.k, keys=["iter"])
+    # only the iterations in which the user is evaluated, never all later ones
+    seen = (first.where(F.col("s") <= n - 2).join(eval_users, "user_idx").where(F.col("s") < F.col("iter"))
+            .select("iter", "user_idx", "item_idx"))
+    recs = top_k_unseen_global(ranked, eval_users, seen if plan.filter_seen else None, plan.k, keys=["iter"])
     return recs.select("iter", "user_idx", "item_idx", "rank", r6("er").alias("relevance"))

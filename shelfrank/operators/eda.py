@@ -69,9 +69,10 @@ def enrich_log(log_df: DataFrame, users_df: DataFrame, items_df: DataFrame) -> D
             .join(items_df.select("item_idx", "category"), "item_idx"))
 
 
-def segment_category_pivot(enriched: DataFrame) -> DataFrame:
-    """Segment rows x category columns, missing combinations -> 0."""
-    return enriched.groupBy("segment").pivot("category").count().na.fill(0)
+def segment_category_pivot(enriched: DataFrame, categories) -> DataFrame:
+    """Segment rows x category columns, missing combinations -> 0. The columns are the given
+    ``categories``: the levels of the dimension, whether the log holds them or not."""
+    return enriched.groupBy("segment").pivot("category", list(categories)).count().na.fill(0)
 
 
 def _bins(x, lo, hi, n_bins: int):

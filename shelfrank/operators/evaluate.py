@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from shelfrank.functions.exprs import DISCOUNT, position_discount, r6
 
+HALF_UP = 1e-9
 METRICS = ["precision_at_k", "ndcg_at_k", "mrr", "hit_rate", "revenue", "discounted_revenue"]
 
 
@@ -37,6 +38,7 @@ class SlicePlan:
     user_frac: float = 1.0
     seed: int = 42
     retrain: bool = True
+    filter_seen: bool = True
 
     @property
     def n_iter(self) -> int:
@@ -104,7 +106,10 @@ def ranking_metrics(recs: DataFrame, truth: DataFrame, items_df: DataFrame, k: i
         F.avg((F.col("n_hits") > 0).cast("double")).alias("hit_rate"),
         F.coalesce(F.sum("rev"), F.lit(0.0)).alias("revenue"),
         F.coalesce(F.sum("drev"), F.lit(0.0)).alias("discounted_revenue"))
-    return agg.select(*keys, "n_users", *[r6(m).alias(m) for m in METRICS])
+    # prices have two decimals and discounts up to eight, so an exact half of the last reported digit
+    # does occur; the tiny summand rounds it up whatever the order of summation was
+    return agg.select(*keys, "n_users", *[
+        r6(F.col(m) + HALF_UP if m == "discounted_revenue" else m).alias(m) for m in METRICS])
 
 
 def discounted_gain(recs: DataFrame, k: int = 5, discount: float = DISCOUNT, keys=()) -> DataFrame:
@@ -131,9 +136,9 @@ def phase_means(metrics_long: DataFrame) -> DataFrame:
 
     Input (model, phase, iter, metric, value); output one row per model.
     """
-    m = metrics_long.groupBy("model", "phase", "metric").agg(F.avg("value").alias("v"))
-    m = m.withColumn("col", F.concat_ws("_", "phase", "metric"))
-    return m.groupBy("model").pivot("col").agg(F.first("v"))
+    return metrics_long.groupBy("model").agg(*[
+        F.avg(F.when((F.col("phase") == p) & (F.col("metric") == m), F.col("value"))).alias(f"{p}_{m}")
+        for p in ("train", "test") for m in METRICS])
 
 
 def to_long(metrics: DataFrame, id_cols) -> DataFrame:
@@ -163,8 +168,9 @@ def backtest(make_model, log: DataFrame, users: DataFrame, items: DataFrame, pla
     """E9 for any recommender with the fit/predict protocol: a driver loop of Spark jobs.
 
     Iteration i fits on everything before slice i (``retrain``) or on the
-    history before slice 0, recommends for the users active in slice i and
-    scores against that slice.  Returns (iter, phase, n_users, metrics...).
+    history before slice 0; either way it recommends to the users active in
+    slice i what they have not seen before slice i, and scores against that
+    slice.  Returns (iter, phase, n_users, metrics...).
     """
     from pyspark.storagelevel import StorageLevel
     # every iteration refits on a prefix of the same log: read and tag it once
@@ -175,13 +181,14 @@ def backtest(make_model, log: DataFrame, users: DataFrame, items: DataFrame, pla
     rows = []
     model = None
     for i in range(plan.n_iter):
-        past = sl.where(F.col("_s") < (i if plan.retrain else 0)).drop("_s")
+        past = sl.where(F.col("_s") < i).drop("_s")          # what users have seen by then
         if model is None or plan.retrain:
-            model = make_model().fit(past, user_features if user_features is not None else users,
+            fitted = past if plan.retrain else sl.where(F.col("_s") < 0).drop("_s")
+            model = make_model().fit(fitted, user_features if user_features is not None else users,
                                      item_features if item_features is not None else items)
         t_i = truth.where(F.col("iter") == i)
         eval_users = t_i.select("user_idx").distinct()
-        recs = model.predict(past, plan.k, eval_users, items)
+        recs = model.predict(past, plan.k, eval_users, items, filter_seen_items=plan.filter_seen)
         m = ranking_metrics(recs.withColumn("iter", F.lit(i)), t_i, items, plan.k, keys=["iter"])
         rows += m.collect()          # one row per iteration
         if plan.retrain and hasattr(model, "release"):
@@ -209,5 +216,5 @@ def summary_table(metrics_long: DataFrame) -> DataFrame:
     """Revenue totals/averages/change plus the per-phase metric means, by test revenue."""
     rev = revenue_summary(metrics_long.where(F.col("metric") == "revenue")
                           .select("model", "phase", "iter", F.col("value").alias("revenue")))
-    means = phase_means(metrics_long.where(~F.col("metric").endswith("revenue")))
+    means = phase_means(metrics_long).drop("train_revenue", "test_revenue")
     return rev.join(means, "model").orderBy(F.col("test_total_revenue").desc())

@@ -118,14 +118,17 @@ def a07_segment_category(spark, sf):
     return eda.counts_by(eda.enrich_log(r.log, r.users, r.items), "segment", "category")
 
 
-@query("a08_segment_category_pivot", """
-PIVOT (SELECT c_mktsegment AS segment, p_type AS category
-       FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-       JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey)
-ON category USING count(*) GROUP BY segment""")
+# fixed values: the levels of the category column
+_CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+_PIVOT = ", ".join(f"count(*) FILTER (WHERE i.category = '{c}') AS {c}" for c in _CATEGORIES)
+
+
+@query("a08_segment_category_pivot", with_roles(f"""
+SELECT u.segment, {_PIVOT}
+FROM log JOIN users u USING (user_idx) JOIN items i USING (item_idx) GROUP BY u.segment"""))
 def a08_pivot(spark, sf):
     r = roles.load(spark, sf)
-    return eda.segment_category_pivot(eda.enrich_log(r.log, r.users, r.items))
+    return eda.segment_category_pivot(eda.enrich_log(r.log, r.users, r.items), _CATEGORIES)
 
 
 # ---------------------------------------------------------------- A9-A10

@@ -113,6 +113,8 @@ def e08_compare(spark, sf):
 
 
 _PHASE_COLS = [f"{p}_{m}" for p in ("train", "test") for m in ev.METRICS]
+# the summary prints the discounted revenue too; plain revenue stands there as totals and averages
+_SUMMARY_COLS = [c for c in _PHASE_COLS if c not in ("train_revenue", "test_revenue")]
 
 
 @query("a16_phase_means", with_roles(
@@ -149,10 +151,10 @@ def a17_revenue(spark, sf):
 
 
 @query("s03_summary_table", with_roles(
-    "SELECT s.*, " + ", ".join(f"p.{c}" for c in _PHASE_COLS if not c.endswith("revenue"))
+    "SELECT s.*, " + ", ".join(f"p.{c}" for c in _SUMMARY_COLS)
     + " FROM (" + _REV_SQL + ") s JOIN (SELECT model, " + ", ".join(
         f"round(avg(CASE WHEN phase = '{c.split('_', 1)[0]}' AND metric = '{c.split('_', 1)[1]}' "
-        f"THEN value END), 6) AS {c}" for c in _PHASE_COLS if not c.endswith("revenue"))
+        f"THEN value END), 6) AS {c}" for c in _SUMMARY_COLS)
     + " FROM lng GROUP BY model) p USING (model) ORDER BY test_total_revenue DESC",
     _compare_sql_ctes()))
 def s03_summary(spark, sf):
@@ -160,9 +162,7 @@ def s03_summary(spark, sf):
     lng = _compare_long(spark, sf)
     rev = ev.revenue_summary(lng.where(F.col("metric") == "revenue")
                              .select("model", "phase", "iter", F.col("value").alias("revenue")))
-    cols = [c for c in _PHASE_COLS if not c.endswith("revenue")]
-    w = ev.phase_means(lng.where(~F.col("metric").endswith("revenue")))
-    w = w.select("model", *[r6(c).alias(c) for c in cols])
+    w = ev.phase_means(lng).select("model", *[r6(c).alias(c) for c in _SUMMARY_COLS])
     return rev.join(w, "model").orderBy(F.col("test_total_revenue").desc())
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from shelfrank.functions.exprs import DEFAULT_PRICE, r6
+from shelfrank.operators.sequences import training_windows
 from shelfrank.operators.scoring import block_topk, neg_sq_l2, sigmoid_dot_price
 from shelfrank.plans.registry import query
 from shelfrank.sources import roles
@@ -150,37 +151,22 @@ def m15_content(spark, sf):
     return m.predict(r.log, K, r.users, r.items)
 
 
-# ---------------------------------------------------------------- M7 / M8 recurrent models
-from shelfrank.models.sequence_nn import SequenceRecommender  # noqa: E402
-
-
-@query("m07_rnn_training_history")
-def m07_rnn_history(spark, sf):
-    """M6/M7: RNN trained 10 epochs by parameter averaging; per-epoch train/val loss, val accuracy."""
-    r = roles.load(spark, sf)
-    m = SequenceRecommender(cell="rnn", epochs=10).fit(r.log, r.users, r.items)
-    return m.training_history(spark)
-
-
-def _seq_query(cell):
-    def run(spark, sf):
-        r = roles.load(spark, sf)
-        m = SequenceRecommender(cell=cell, epochs=10).fit(r.log, r.users, r.items)
-        return m.predict(None, K, r.users, r.items)
-    run.__doc__ = f"M7/M8 ({cell}): next-item softmax x price over the last 20 items, seen removed, top 5."
-    return run
-
-
-for _cell in ("rnn", "gru", "lstm"):
-    query(f"m08_{_cell}_topk")(_seq_query(_cell))
-
-
 @query("u06_holdout_split")
 def u06_split(spark, sf):
     """Seeded 90/10 hash split of the sequence windows (partition-independent)."""
-    r = roles.load(spark, sf)
-    w = SequenceRecommender().windows(r.log)
-    return w.select("user_idx", "pos", "target", "is_val")
+    return training_windows(roles.log(spark, sf)).select("user_idx", "pos", "target", "is_val")
+
+
+@query("u06_split_invariants", with_roles("""
+SELECT CAST(sum(n - 1) AS BIGINT) AS windows, CAST(0 AS BIGINT) AS in_both, true AS share_ok
+FROM (SELECT user_idx, count(*) AS n FROM log GROUP BY user_idx)"""))
+def u06_invariants(spark, sf):
+    """Every window is on one side, and the held-out share is 10 % within four standard errors."""
+    w = u06_split(spark, sf).groupBy("user_idx", "pos").agg(F.count("*").alias("n"), F.countDistinct("is_val").alias("sides"),
+                                                             F.max(F.col("is_val").cast("int")).alias("v"))
+    n = F.sum("n")
+    return w.agg(n.cast("long").alias("windows"), F.count(F.when(F.col("sides") > 1, 1)).alias("in_both"),
+                 (F.abs(F.avg("v") - 0.1) <= 4 * F.sqrt(F.lit(0.09) / n)).alias("share_ok"))
 
 
 @query("u07_fold_assignment")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from shelfrank.operators.evaluate import SlicePlan
+from shelfrank.operators.evaluate import HALF_UP, SlicePlan
 
 D = "CAST({} AS DOUBLE)".format
 
@@ -110,5 +110,5 @@ m{tag} AS (
          round(avg(coalesce(1.0 / first_hit, 0.0)), 6) AS mrr,
          round(avg(CASE WHEN n_hits > 0 THEN 1.0 ELSE 0.0 END), 6) AS hit_rate,
          round(coalesce(sum(rev), 0.0), 6) AS revenue,
-         round(coalesce(sum(drev), 0.0), 6) AS discounted_revenue
+         round(coalesce(sum(drev), 0.0) + {D(HALF_UP)}, 6) AS discounted_revenue
   FROM u{tag} GROUP BY iter)"""
