@@ -4,12 +4,12 @@ A line is the set of its distinct lower-case words. A line goes if an earlier li
 or same document, smaller line number) has a set of Jaccard similarity ``percent`` / 100 or more.
 
 Lines with equal sets are one set, named by its first line. Words become 64-bit codes whose upper
-bits are a frequency class (counted over all words of all texts in 16,384 hash buckets, a table of
+bits are a frequency class (counted over all words of all texts in 262,144 hash buckets, a table of
 fixed size) and whose lower 48 bits are a hash, so that sorting codes orders words by rarity. Two
 sets of n and m words can only reach the similarity if they share a code among their n - ceil(t n)
 + 1 rarest ones (prefix filter), if min(n, m) >= t max(n, m) (length filter), and if the words left
-behind the shared one suffice (positional filter). A 64-bit parity of each set then rules out pairs
-that provably differ in too many words, and the pairs that pass are verified on all codes.
+behind the shared one suffice (positional filter). A parity of each set then rules out pairs that
+provably differ in too many words, and the pairs that pass are verified on all codes.
 
 A cluster of variants is not paired up: in a first round every set meets only the earliest set that
 has the same rarest word; sets for which that proves an earlier match need no further partner.
@@ -26,13 +26,13 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from shelfrank.llm.common import table, written
 from shelfrank.llm.registry import query
 
-CLASSES = 1 << 14          # hash buckets of the word counts
+CLASSES = 1 << 18          # hash buckets of the word counts
 HASH_BITS = 48
-LAST = (1 << 63) - 1       # place of documents without doc_id
 FEW = 400_000              # rows that are broadcast at most
 
 
@@ -44,37 +44,62 @@ def _words(line: Column) -> Column:
 
 
 def frequency_classes(docs: DataFrame, text: str) -> Column:
-    """array literal: class of each hash bucket, shifted above the hash bits; 16 classes per doubling
-    of the number of words in the bucket."""
-    lines = docs.select(F.explode(F.split(F.col(text), "\n")).alias("l"))
-    counts = (lines.select(F.explode(_words(F.col("l"))).alias("w"))
+    """array literal: frequency class of each hash bucket, four classes per doubling of the number of
+    words in the bucket."""
+    counts = (docs.select(F.explode(_words(F.col(text))).alias("w"))
               .groupBy(F.xxhash64("w").bitwiseAND(CLASSES - 1).alias("b")).agg(F.count("*").alias("n")).collect())
     out = [0] * CLASSES
     for b, n in counts:
-        out[b] = int(16 * math.log2(n + 1)) << HASH_BITS
-    return F.split(F.lit(",".join(map(str, out))), ",").cast("array<long>")
+        out[b] = min(255, int(4 * math.log2(n + 1)))
+    return F.split(F.lit(",".join(map(str, out))), ",").cast("array<int>")
 
 
 def codes(line: Column, classes: Column) -> Column:
     """Sorted distinct codes of the line's words, rarest first."""
-    hashes = F.array_distinct(F.transform(_words(line), lambda w: F.xxhash64(w)))
-    return F.sort_array(F.transform(hashes, lambda h: F.get(classes, h.bitwiseAND(CLASSES - 1)).bitwiseOR(
-        F.shiftrightunsigned(h, 64 - HASH_BITS))))
+    def code(w: Column) -> Column:
+        h = F.xxhash64(w)
+        return F.shiftleft(F.get(classes, h.bitwiseAND(CLASSES - 1)).cast("long"), HASH_BITS).bitwiseOR(
+            F.shiftrightunsigned(h, 64 - HASH_BITS))
 
+    return F.sort_array(F.array_distinct(F.transform(_words(line), code)))
 
-def _parity(codes: str) -> Column:
-    """64 bits, each flipped once per code that hashes to it. Two sets differ in at least as many
-    codes as their parities differ in bits."""
+
+def _parity(codes_: str) -> Column:
+    """64 bits, each flipped once per code that falls on it. Two sets differ in at least as many codes
+    as their parities differ in bits."""
     bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))
-    return F.aggregate(codes, F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(bit(x)))
+    return F.aggregate(codes_, F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(bit(x)))
+
 
+class _Places:
+    """A line's place (document, line) as one comparable column ``at``: a long if both numbers fit
+    into 63 bits, else a struct. Documents without doc_id get the number after the largest."""
 
-def _place(key: str) -> Column:
-    return F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc")
+    def __init__(self, docs: DataFrame, text: str, key: str):
+        low, high, lines, repeated = docs.agg(
+            F.min(F.col(key).cast("long")), F.max(F.col(key).cast("long")),
+            F.max(F.coalesce(F.char_length(text), F.lit(0))),
+            F.count("*") - F.count_distinct(F.coalesce(F.col(key).cast("string"), F.lit("")))).first()
+        self.key, self.none = key, (-1 if high is None else high) + 1
+        self.bits = (int(lines or 0) + 1).bit_length()          # a text has at most one line more than characters
+        self.packed = (low is None or low >= 0) and self.none.bit_length() + self.bits <= 63
+        self.repeated = bool(repeated)
+        if self.none >= 1 << 63:
+            raise ValueError("doc_id leaves no number for documents without one")
 
+    def doc(self) -> Column:
+        return F.coalesce(F.col(self.key).cast("long"), F.lit(self.none).cast("long")).alias("doc")
 
-def _lines(docs: DataFrame, text: str, key: str) -> DataFrame:
-    return docs.select(_place(key), F.posexplode(F.split(F.col(text), "\n")).alias("line", "words"))
+    def at(self, doc, line) -> Column:
+        if self.packed:
+            return (F.shiftleft(doc, self.bits) + line.cast("long")).alias("at")
+        return F.struct(doc.alias("doc"), line.cast("int").alias("line")).alias("at")
+
+    def split(self, at: str) -> tuple[Column, Column]:
+        if self.packed:
+            return (F.shiftright(at, self.bits).alias("doc"),
+                    F.col(at).bitwiseAND((1 << self.bits) - 1).cast("int").alias("line"))
+        return F.col(f"{at}.doc").alias("doc"), F.col(f"{at}.line").alias("line")
 
 
 def _few(df: DataFrame, weight: str | None = None) -> DataFrame:
@@ -83,77 +108,88 @@ def _few(df: DataFrame, weight: str | None = None) -> DataFrame:
     return F.broadcast(df) if n <= FEW and (w or 0) <= 5 * FEW else df
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: Column, percent: int, text: str, key: str) -> DataFrame:
-    """Of the pairs (doc, line, doc2, line2): those whose full sets reach the similarity."""
+def _verified(pairs: DataFrame, docs: DataFrame, classes: Column, percent: int, text: str, places: _Places) -> DataFrame:
+    """Of the pairs (at, at2): those whose full sets reach the similarity. Their lines are read again."""
     pairs = written(pairs, "line-pairs")
-    need = (pairs.select("doc", "line").union(pairs.select("doc2", "line2")).distinct()
-            .groupBy("doc").agg(F.collect_set("line").alias("need"), F.count("*").alias("n")))
-    need = _few(written(need, "line-needs"), "n")
-    chosen = (docs.select(_place(key), F.col(text).alias("t")).join(need, "doc")
+    need = pairs.select("at").union(pairs.select(F.col("at2").alias("at"))).distinct().select(*places.split("at"))
+    need = _few(written(need.groupBy("doc").agg(F.collect_set("line").alias("need"), F.count("*").alias("n")),
+                        "line-needs"), "n")
+    chosen = (docs.select(places.doc(), F.col(text).alias("t")).join(need, "doc")
               .select("doc", F.explode("need").alias("line"), F.split("t", "\n").alias("ls"))
-              .select("doc", "line", codes(F.get("ls", F.col("line")), classes).alias("codes")))
-    chosen = written(chosen.dropDuplicates(["doc", "line"]), "line-codes")
-    both = (pairs.join(chosen, ["doc", "line"])
-            .join(chosen.select(F.col("doc").alias("doc2"), F.col("line").alias("line2"), F.col("codes").alias("codes2")),
-                  ["doc2", "line2"]))
+              .select(places.at(F.col("doc"), F.col("line")), codes(F.get("ls", F.col("line")), classes).alias("codes")))
+    if places.repeated:
+        chosen = chosen.dropDuplicates(["at"])
+    chosen = written(chosen, "line-codes")
+    both = pairs.join(chosen, "at").join(chosen.toDF("at2", "codes2"), "at2")
     common = F.size(F.array_intersect("codes", "codes2"))
-    return both.where(100 * common >= percent * (F.size("codes") + F.size("codes2") - common)).select(
-        "doc", "line", "doc2", "line2")
+    return both.where(100 * common >= percent * (F.size("codes") + F.size("codes2") - common)).select("at", "at2")
 
 
-def removed_lines(docs: DataFrame, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(doc, line) of every line with an earlier match; ``doc`` is the key, LAST where it is null,
-    and ``line`` counts from 0."""
+def removed_lines(docs: DataFrame, percent: int = 80, text: str = "text", key: str = "doc_id",
+                  near: int = 64) -> tuple[DataFrame, int]:
+    """((doc, line) of every line with an earlier match, number of documents without key): ``doc`` is
+    the key, or that number where the key is null; ``line`` counts from 0."""
+    places = _Places(docs, text, key)
     classes = frequency_classes(docs, text)
-    c = codes(F.col("words"), classes)
     n = F.size("codes")
     keep = (n - F.ceil(F.lit(percent) * n / 100) + 1).cast("int")
-    lines = written(_lines(docs, text, key).select("doc", "line", c.alias("codes")).where("size(codes) > 0").select(
-        "doc", "line", n.alias("n"), F.xxhash64("codes").alias("k1"), F.hash("codes").alias("k2"),
-        _parity("codes").alias("parity"),
-        F.slice("codes", F.lit(1), keep).alias("prefix")), "lines")
+    short = F.transform(F.slice("codes", F.lit(1), keep), lambda c: c.bitwiseAND((1 << 31) - 1).cast("int"))
+    rows = docs.select(places.doc(), F.posexplode(F.split(F.col(text), "\n")).alias("line", "words"))
+    lines = written(rows.select(places.at(F.col("doc"), F.col("line")), codes(F.col("words"), classes).alias("codes"))
+                    .where("size(codes) > 0")
+                    .select("at", n.alias("n"), F.xxhash64("codes").alias("k1"), F.hash("codes").alias("k2"),
+                            _parity("codes").alias("parity"), short.alias("prefix")), "lines")
     same = ["k1", "k2", "n"]
-    sets = written(lines.groupBy(*same).agg(F.min(F.struct("doc", "line")).alias("at"), F.first("parity").alias("parity"),
-                                             F.first("prefix").alias("prefix"))
-                   .select(*same, "at.doc", "at.line", "parity", "prefix"), "line-sets")
+    sets = written(lines.groupBy(*same).agg(F.min("at").alias("at"), F.first("parity").alias("parity"),
+                                            F.first("prefix").alias("prefix")), "line-sets")
     # a set of n words can only match a different set if n >= t (n + 1)
-    able = sets.where(F.lit(percent) * (F.col("n") + 1) <= 100 * F.col("n"))
-    size_ok = "100 * least(n, n2) >= {0} * greatest(n, n2)".format(percent)
-    marks = sets.select("doc", "line", "n", "parity")
-
-    def possible(pairs: DataFrame) -> DataFrame:
-        """Pairs whose parities do not prove too many differing words."""
-        both = pairs.join(marks, ["doc", "line"]).join(marks.toDF("doc2", "line2", "n2", "parity2"), ["doc2", "line2"])
-        differ = F.bit_count(F.col("parity").bitwiseXOR(F.col("parity2")))
-        return both.where((100 + percent) * differ <= (100 - percent) * (F.col("n") + F.col("n2"))).select(
-            "doc", "line", "doc2", "line2")
+    able = sets.where(F.lit(percent) * (F.col("n") + 1) <= 100 * F.col("n")).select("at", "n", "parity", "prefix")
 
-    earlier = "(doc2 < doc or (doc2 = doc and line2 < line))"
+    def fits(x, y) -> Column:
+        """Sizes and parities allow the similarity."""
+        differ = F.bit_count(x["parity"].bitwiseXOR(y["parity"]))
+        return ((100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"]))
+                & ((100 + percent) * differ <= (100 - percent) * (x["n"] + y["n"])))
 
     # round 1: every set against the earliest one with the same rarest word
-    rare = able.select(F.col("prefix")[0].alias("code"), "n", "doc", "line")
-    lead = (rare.groupBy("code").agg(F.min(F.struct("doc", "line", "n")).alias("l"), F.count("*").alias("c")).where("c > 1")
-            .select("code", F.col("l.doc").alias("doc2"), F.col("l.line").alias("line2"), F.col("l.n").alias("n2")))
-    first = rare.join(lead, "code").where(f"{size_ok} and {earlier}").select("doc", "line", "doc2", "line2")
-    matched = written(_verified(possible(first), docs, classes, percent, text, key).select("doc", "line").distinct(), "line-matched")
-
-    # round 2: the sets that have no match yet against all earlier sets that share a prefix word
-    short = lambda c: c.bitwiseAND((1 << 31) - 1).cast("int")  # noqa: E731  half the bytes; verified anyway
-    posting = lambda s: s.select("doc", "line", "n", F.posexplode("prefix").alias("pos", "code")).select(
-        short(F.col("code")).alias("code"), "pos", "n", "doc", "line")
-    probe = posting(able.join(matched, ["doc", "line"], "left_anti"))
-    index = posting(able).toDF("code", "pos2", "n2", "doc2", "line2")
-    enough = f"(100 + {percent}) * (least(n - pos, n2 - pos2)) >= {percent} * (n + n2)"
-    second = (probe.join(index, "code").where(f"{size_ok} and {enough} and {earlier}")
-              .select("doc", "line", "doc2", "line2").distinct())
-    more = _verified(possible(second), docs, classes, percent, text, key).select("doc", "line")
-    matched = matched.union(more).distinct()
-
-    gone = (sets.select(*same, F.col("doc").alias("first_doc"), F.col("line").alias("first_line"))
-            .join(matched.select(F.col("doc").alias("first_doc"), F.col("line").alias("first_line"),
-                                 F.lit(True).alias("hit")), ["first_doc", "first_line"], "left"))
-    return (lines.select("doc", "line", *same).join(gone, same)
-            .where("hit or doc <> first_doc or line <> first_line").select("doc", "line").distinct())
+    rare = able.select(F.col("prefix")[0].alias("code"), F.struct("at", "n", "parity").alias("x"))
+    lead = rare.groupBy("code").agg(F.min("x").alias("y"), F.count("*").alias("c")).where("c > 1").select("code", "y")
+    first = rare.join(lead, "code").where(fits(F.col("x"), F.col("y")) & F.expr("y.at < x.at")).select(
+        F.col("x.at").alias("at"), F.col("y.at").alias("at2"))
+    matched = written(_verified(first, docs, classes, percent, text, places).select("at").distinct(), "line-matched")
+
+    # round 2: the sets that have no match yet against all earlier sets that share a prefix word; a
+    # frame over the ``near`` sets before, and a join for the sets further back under frequent words
+    posting = (able.join(matched.withColumn("hit", F.lit(True)), "at", "left")
+               .select("at", "n", "parity", F.col("hit").isNull().alias("open"), F.posexplode("prefix").alias("pos", "code"))
+               .select("code", "at", "n", "parity", (F.col("n") - F.col("pos")).alias("rest"), "open"))
+    order = Window.partitionBy("code").orderBy("at")
+    parts = F.struct("at", "n", "parity", "rest")
+
+    def possible(x: Column, y: Column) -> Column:
+        return fits(x, y) & ((100 + percent) * F.least(x["rest"], y["rest"]) >= percent * (x["n"] + y["n"]))
+
+    framed = posting.select("code", parts.alias("x"), "open", F.row_number().over(order).alias("i"),
+                            F.collect_list(parts).over(order.rowsBetween(-near, -1)).alias("ys"))
+    found = written(framed.where("open").select(
+        F.col("x.at").alias("at"), F.when(F.col("i") > near + 1, F.col("code")).alias("code"),
+        F.transform(F.filter("ys", lambda y: possible(F.col("x"), y)), lambda y: y["at"]).alias("at2s"))
+        .where("size(at2s) > 0 or code is not null"), "line-near")
+    second = found.select("at", F.explode("at2s").alias("at2"))
+    frequent = written(found.where("code is not null").select("code").distinct(), "line-frequent")
+    if not frequent.isEmpty():
+        ranked = posting.join(_few(frequent), "code").select(
+            "code", parts.alias("x"), "open", F.row_number().over(order).alias("i"))
+        back = ranked.select("code", F.col("x").alias("y"), F.col("i").alias("j"))
+        second = second.union(ranked.where("open").join(back, "code").where(
+            (F.col("j") < F.col("i") - near) & possible(F.col("x"), F.col("y"))).select("x.at", "y.at"))
+    second = second.distinct()
+    matched = matched.union(_verified(second, docs, classes, percent, text, places).select("at")).distinct()
+
+    gone = (sets.select(*same, F.col("at").alias("first"))
+            .join(matched.select(F.col("at").alias("first"), F.lit(True).alias("hit")), "first", "left"))
+    return (lines.select("at", *same).join(gone, same).where("hit or at <> first")
+            .select(*places.split("at")).distinct()), places.none
 
 
 def _by_document(gone: DataFrame) -> DataFrame:
@@ -163,10 +199,10 @@ def _by_document(gone: DataFrame) -> DataFrame:
 
 def without_repeated_lines(docs: DataFrame, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with the remaining lines as text; a document whose lines are all removed goes."""
-    gone = _by_document(removed_lines(docs, percent, text, key)).withColumnsRenamed(
-        {"doc": "_doc", "lines": "_gone", "n": "_n"})
+    removed, none = removed_lines(docs, percent, text, key)
+    gone = _by_document(removed).withColumnsRenamed({"doc": "_doc", "lines": "_gone", "n": "_n"})
     left = F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains("_gone", i))
-    marked = docs.join(_few(gone, "_n"), F.coalesce(docs[key].cast("long"), F.lit(LAST)) == gone["_doc"], "left")
+    marked = docs.join(_few(gone, "_n"), F.coalesce(docs[key].cast("long"), F.lit(none).cast("long")) == gone["_doc"], "left")
     blank = F.col("_gone").isNotNull() & ~F.exists(left, lambda x: F.trim(x) != "")
     return marked.where(~blank).select(*[
         F.when(F.col("_gone").isNull(), docs[c]).otherwise(F.array_join(left, "\n")).alias(c) if c == text else docs[c]
@@ -197,8 +233,10 @@ FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n, string_agg(CAST(line A
 @query("op9_line_dedup", ORACLE)
 def op9_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    gone = _by_document(removed_lines(docs))
-    counted = docs.select("doc_id", _place("doc_id"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"))
+    removed, none = removed_lines(docs)
+    gone = _by_document(removed)
+    counted = docs.select("doc_id", F.coalesce("doc_id", F.lit(none).cast("long")).alias("doc"),
+                          F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"))
     return counted.join(gone, "doc", "left").select(
         "doc_id", "n_lines", F.coalesce("n", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce(F.array_join(F.col("lines").cast("array<string>"), ","), F.lit("")).alias("removed"))
