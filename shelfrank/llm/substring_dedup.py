@@ -40,7 +40,8 @@ from shelfrank.llm.registry import query
 
 ANCHOR = 20                  # bytes of an anchor
 LAST = (1 << 63) - 1         # document number of a null doc_id
-FEW = 400_000                # rows broadcast at most
+FEW = 500_000                # rows broadcast at most
+SLICE = 250_000              # bytes of text handled at once: the arrays then stay in the CPU caches
 _IDX = 28                    # bits of a position within a slice
 _ODD = U64(0x9E3779B97F4A7C15 | 1)
 _INV = U64(pow(int(_ODD), -1, 1 << 64))
@@ -64,15 +65,15 @@ class Powers:
 
     def grow(self, n: int):
         if len(self.up) < n:
-            n = max(n, 1 << 20)
+            n = max(n, 2 * SLICE)
             self.up = np.concatenate([np.ones(1, U64), np.cumprod(np.full(n, _ODD))])
             self.down = np.concatenate([np.ones(1, U64), np.cumprod(np.full(n, _INV))])
         return self.up[:n], self.down[:n]
 
 
-def cells(raws: list[bytes], least: int, powers: Powers):
+def cells(raws: list[bytes], least: int, powers: Powers | None):
     """Arrays (document number in the list, start in the document, windows, anchor hash, content
-    hash) of the cells of some texts."""
+    hash) of the cells of some texts; without ``powers`` the content hashes are left out (0)."""
     sizes = np.array([len(r) for r in raws], np.int64)
     buf = np.frombuffer(b"".join(raws), np.uint8)
     n = len(buf)
@@ -99,9 +100,12 @@ def cells(raws: list[bytes], least: int, powers: Powers):
     anchor = (low[at] & U64((1 << _IDX) - 1)).astype(np.int64)
     first = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1)])
     lo, count = at[first], np.diff(np.r_[first, len(at)])
-    up, down = powers.grow(n + 1)
-    sums = np.concatenate([np.zeros(1, U64), np.cumsum(mixed * up[:n], dtype=U64)])
-    content = mix64((sums[lo + count + least - 9 + 1] - sums[lo]) * down[lo] + count.astype(U64))
+    if powers is None:
+        content = np.zeros(len(lo), U64)
+    else:
+        up, down = powers.grow(n + 1)
+        sums = np.concatenate([np.zeros(1, U64), np.cumsum(mixed * up[:n], dtype=U64)])
+        content = mix64((sums[lo + count + least - 9 + 1] - sums[lo]) * down[lo] + count.astype(U64))
     doc = np.searchsorted(starts, lo, side="right") - 1
     while len(doc) and (sizes[doc] == 0).any():                                # empty texts share a start
         doc = np.where(sizes[doc] == 0, doc - 1, doc)
@@ -114,22 +118,25 @@ def _with_bytes(docs: DataFrame, make, schema: str, extra: list[str], text: str
         for batch in batches:
             docnos = batch.column("doc")
             more = {c: batch.column(c) for c in extra}
-            for at, texts in text_slices(batch, text):
+            for at, texts in text_slices(batch, text, SLICE):
                 raws = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
                 yield from make(docnos.slice(at, len(raws)), raws, powers,
                                 {c: v.slice(at, len(raws)) for c, v in more.items()})
     return docs.mapInArrow(run, schema)
 
 
-def _find_cells(docs: DataFrame, least: int) -> DataFrame:
+def _find_cells(docs: DataFrame, least: int, anchors_only: bool = False) -> DataFrame:
     def make(docnos, raws, powers, _):
-        doc, lo, n, h, c = cells(raws, least, powers)
+        doc, lo, n, h, c = cells(raws, least, None if anchors_only else powers)
+        if anchors_only:
+            yield pa.RecordBatch.from_arrays([pa.array(h)], names=["h"])
+            return
         yield pa.RecordBatch.from_arrays(
             [docnos.take(pa.array(doc)), pa.array(lo * 256 + n), pa.array(h), pa.array(c)], names=["doc", "at", "h", "c"])
 
     if least - ANCHOR + 1 > 255:
         raise ValueError("least is at most 274")
-    return _with_bytes(docs, make, "doc long, at long, h long, c long", [])
+    return _with_bytes(docs, make, "h long" if anchors_only else "doc long, at long, h long, c long", [])
 
 
 def _few(df: DataFrame, weight: str) -> DataFrame:
@@ -279,7 +286,7 @@ def repeats(docs: DataFrame, least: int = 100, text: str = "text", key: str = "d
     """
     docs = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), F.col(text).alias("text"))
     found = _find_cells(docs, least)
-    often = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    often = _find_cells(docs, least, anchors_only=True).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
     cell = written(found.join(often, "h"), "cells")
     classes = written(cell.groupBy("h", "c").agg(F.min(F.struct("doc", "at")).alias("first"))
                       .select("h", "c", F.col("first.doc").alias("doc0"), F.col("first.at").alias("at0")), "cell-classes")
@@ -288,23 +295,27 @@ def repeats(docs: DataFrame, least: int = 100, text: str = "text", key: str = "d
               .select("doc", start.alias("start"), size.alias("length"), F.col("doc0").alias("low"),
                       F.shiftright("at0", 8).alias("high")))
     several = classes.groupBy("h").agg(F.count("*").alias("m")).where("m > 1")
-    open_ = written(classes.join(several, "h").select("h", "m", F.col("doc0").alias("doc"), F.col("at0").alias("at")), "open-cells")
-    need = written(open_.groupBy("doc").agg(F.collect_list(F.struct("h", "m", "at")).alias("need"), F.count("*").alias("n")), "needs")
-    with_need = docs.join(_few(need, "n"), "doc").select("doc", "text", "need")
+    # at: place and size as before, and a last bit for anchors of more than ``hot`` classes
+    open_ = classes.join(several, "h").select("h", F.col("doc0").alias("doc"),
+                                              (F.col("at0") * 2 + (F.col("m") > hot).cast("long")).alias("at"))
+    need = written(open_.groupBy("doc").agg(F.collect_list("h").alias("hs"), F.collect_list("at").alias("ats"),
+                                            F.count("*").alias("n")), "needs")
+    with_need = docs.join(_few(need, "n"), "doc").select("doc", "text", "hs", "ats")
 
     def cut(docnos, raws, powers, more):
         d, s, h, m, b = [], [], [], [], []
-        for doc, raw, wanted in zip(docnos.to_pylist(), raws, more["need"].to_pylist(), strict=True):
-            for x in wanted:
-                a, k = x["at"] >> 8, (x["at"] & 255) + least - 1
+        for doc, raw, hs, ats in zip(docnos.to_pylist(), raws, more["hs"].to_pylist(), more["ats"].to_pylist(), strict=True):
+            for x, at in zip(hs, ats, strict=True):
+                a, k = at >> 9, (at >> 1 & 255) + least - 1
                 if a + k <= len(raw):
-                    d.append(doc), s.append(a), h.append(x["h"]), m.append(x["m"]), b.append(raw[a:a + k])
+                    d.append(doc), s.append(a), h.append(x), m.append(bool(at & 1)), b.append(raw[a:a + k])
         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(
-            (h, m, d, s, b), (*[pa.int64()] * 4, pa.binary()), strict=True)], names=["h", "m", "doc", "start", "bytes"])
+            (h, m, d, s, b), (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
+            names=["h", "frequent", "doc", "start", "bytes"])
 
-    gathered = _with_bytes(with_need, cut, "h long, m long, doc long, start long, bytes binary", ["need"])
+    gathered = _with_bytes(with_need, cut, "h long, frequent boolean, doc long, start long, bytes binary", ["hs", "ats"])
     schema = "kind string, chunk long, doc long, start long, length long, low long, high long"
-    common = gathered.where(F.col("m") <= hot).select("h", "doc", "start", "bytes")
+    common = gathered.where("not frequent").select("h", "doc", "start", "bytes")
     grouped = common.repartition("h").sortWithinPartitions("h", "doc", "start")
 
     def scan(batches):
@@ -322,7 +333,7 @@ def repeats(docs: DataFrame, least: int = 100, text: str = "text", key: str = "d
 
     out = grouped.mapInPandas(scan, schema)
     if several.where(F.col("m") > hot).limit(1).count():
-        out = out.unionByName(_hot_spans(gathered.where(F.col("m") > hot), least).selectExpr(
+        out = out.unionByName(_hot_spans(gathered.where("frequent"), least).selectExpr(
             "'span' as kind", "cast(null as bigint) as chunk", "doc", "start", f"cast({least} as bigint) as length",
             "cast(null as bigint) as low", "cast(null as bigint) as high"))
     none = F.lit(None).cast("long")
@@ -380,19 +391,30 @@ def without_repeats(docs: DataFrame, spans: DataFrame, text: str = "text", key:
     """Per row: key, n_bytes, n_removed, n_spans and the remaining bytes (``kept``), or their sha256
     with ``digest``."""
     at = spans.where("kind = 'span'").groupBy("doc").agg(
-        F.collect_list(F.struct("start", "length")).alias("spans"), F.count("*").alias("n"))
-    at = written(at, "spans-of-documents")
+        F.collect_list("start").alias("starts"), F.collect_list("length").alias("lengths"))
+
+    def merge(batches):
+        """A document's spans, merged where they touch or overlap."""
+        for batch in batches:
+            starts, lengths = [], []
+            for a, b in zip(batch.column("starts"), batch.column("lengths"), strict=True):
+                a, b = a.values.to_numpy(), b.values.to_numpy()
+                _, x, y = merged(np.zeros(len(a), np.int64), a, b)
+                starts.append(x), lengths.append(y)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc"), pa.array(starts, pa.list_(pa.int64())), pa.array(lengths, pa.list_(pa.int64())),
+                 pa.array([len(x) for x in starts], pa.int64())], names=["doc", "starts", "lengths", "n"])
+
+    at = written(at.mapInArrow(merge, "doc long, starts array<long>, lengths array<long>, n long"), "spans-of-documents")
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), F.col(key).cast("long").alias("id"),
-                       F.col(text).alias("text")).join(_few(at, "n"), "doc", "left").select("doc", "id", "text", "spans")
+                       F.col(text).alias("text")).join(_few(at, "n"), "doc", "left").select("doc", "id", "text", "starts", "lengths")
     last = "kept_sha256 string" if digest else "kept binary"
 
     def make(docnos, raws, powers, more):
         out = [[] for _ in range(4)]
-        for raw, spans_ in zip(raws, more["spans"].to_pylist(), strict=True):
-            a = np.array([(0, x["start"], x["length"]) for x in spans_ or []], np.int64).reshape(-1, 3)
-            _, start, length = merged(a[:, 0], a[:, 1], a[:, 2])
-            kept, i = [], 0
-            for s, n in zip(start.tolist(), length.tolist(), strict=True):
+        for raw, start, length in zip(raws, more["starts"].to_pylist(), more["lengths"].to_pylist(), strict=True):
+            start, kept, i = start or [], [], 0
+            for s, n in zip(start, length or [], strict=True):
                 kept.append(raw[i:s])
                 i = s + n
             kept = b"".join([*kept, raw[i:]])
@@ -403,7 +425,7 @@ def without_repeats(docs: DataFrame, spans: DataFrame, text: str = "text", key:
         yield pa.RecordBatch.from_arrays([more["id"], *[pa.array(o, t) for o, t in zip(out, types, strict=True)]],
                                          names=[key, "n_bytes", "n_removed", "n_spans", last.split()[0]])
 
-    return _with_bytes(rows, make, f"{key} long, n_bytes long, n_removed long, n_spans long, {last}", ["id", "spans"])
+    return _with_bytes(rows, make, f"{key} long, n_bytes long, n_removed long, n_spans long, {last}", ["id", "starts", "lengths"])
 
 
 @query("op2_interval_tree")
