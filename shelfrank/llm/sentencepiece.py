@@ -174,7 +174,9 @@ class Encoder:
         self.m = model
         self.base, self.check, self.value = model.trie.lists()
         self.units = re.compile(model.unit_pattern).findall
-        self.limit, self.cache = remembered, {}
+        # ids of units, with the marker before the key in ``marked``, as they stand in ``cache``
+        self.limit, self.cache, self.marked = remembered, {}, {}
+        self.by_line = "\n" in model.unit_pattern and model.dummy_prefix and not model.squeeze
         self.surface = [(MARKER if t != NORMAL and t != USER_DEFINED and t != BYTE else p).replace(MARKER, " ").encode()
                         for p, t in zip(model.pieces, model.types, strict=True)]
         for i, t in enumerate(model.types):
@@ -226,11 +228,17 @@ class Encoder:
         return out[::-1]
 
     def _remember(self, unit: str) -> bytes:
-        if len(self.cache) >= self.limit:
-            self.cache.clear()
+        return self._learn(self.cache, unit, unit)
+
+    def _remember_marked(self, word: str) -> bytes:
+        return self._learn(self.marked, word, MARKER + word)
+
+    def _learn(self, cache: dict, key: str, unit: str) -> bytes:
+        if len(cache) >= self.limit:
+            cache.clear()
         ids = np.array(self.viterbi(unit), self.m.width).tobytes()
         if len(unit) <= 64:
-            self.cache[unit] = ids
+            cache[key] = ids
         return ids
 
     def normalized(self, text: str) -> str:
@@ -243,6 +251,18 @@ class Encoder:
         if not text:
             return np.zeros(0, self.m.width)
         get, make = self.cache.get, self._remember
+        if self.by_line and text[0] != " " and "  " not in text and MARKER not in text:
+            # single blanks: a word is a unit with its marker, a line's first word one without
+            marked, learn, parts = self.marked.get, self._remember_marked, []
+            for i, line in enumerate(text.split("\n")):
+                words = line.split(" ")
+                if i:
+                    first = words.pop(0)
+                    parts.append(get("\n") or make("\n"))
+                    if first:
+                        parts.append(get(first) or make(first))
+                parts += [marked(w) or learn(w) for w in words]
+            return np.frombuffer(b"".join(parts), self.m.width)
         return np.frombuffer(b"".join([get(u) or make(u) for u in self.units(self.normalized(text))]), self.m.width)
 
     def decode(self, ids) -> str:
@@ -253,8 +273,8 @@ class Encoder:
 
 def encode(docs: DataFrame, model: UnigramModel, text: str = "text", name: str = "ids") -> DataFrame:
     """``docs`` without its text, with the id list ``name`` and ``round_trip``: whether decoding
-    the ids gives the text again."""
-    keep = [c for c in docs.columns if c != text]
+    the ids gives the text again. Columns of these names are replaced."""
+    keep = [c for c in docs.columns if c not in (text, name, "round_trip")]
     schema = T.StructType([docs.schema[c] for c in keep] + [
         T.StructField(name, T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType())])
     shipped = docs.sparkSession.sparkContext.broadcast(model)
@@ -276,7 +296,7 @@ def encode(docs: DataFrame, model: UnigramModel, text: str = "text", name: str =
 
 def decode(encoded: DataFrame, model: UnigramModel, ids: str = "ids", name: str = "text") -> DataFrame:
     """``encoded`` with the id list replaced by the decoded text; null ids give a null text."""
-    keep = [c for c in encoded.columns if c != ids]
+    keep = [c for c in encoded.columns if c not in (ids, name)]
     schema = T.StructType([encoded.schema[c] for c in keep] + [T.StructField(name, T.StringType())])
     shipped = encoded.sparkSession.sparkContext.broadcast(model)
 
