@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm.common import small_side, table, written
+from shelfrank.llm.common import free_name, small_side, table, written
 from shelfrank.llm.decontaminate import contaminated
 from shelfrank.llm.line_dedup import without_repeated_lines
 from shelfrank.llm.near_dedup import near_duplicates
@@ -34,9 +34,7 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = train(docs, table(spark, sf_dir, "labels"))
-    name = "_quality"
-    while name in docs.columns:
-        name += "_"
+    name = free_name(docs, "_quality")
     return score(docs, model, name=name, keep_text=True).where(F.col(name) >= ACCEPT).select(*docs.columns)
 
 

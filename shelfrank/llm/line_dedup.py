@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from shelfrank.llm.common import table, written
+from shelfrank.llm.common import free_name, table, written
 from shelfrank.llm.registry import query
 
 CLASSES = 1 << 18          # hash buckets of the word counts
@@ -200,12 +200,13 @@ def _by_document(gone: DataFrame) -> DataFrame:
 def without_repeated_lines(docs: DataFrame, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with the remaining lines as text; a document whose lines are all removed goes."""
     removed, none = removed_lines(docs, percent, text, key)
-    gone = _by_document(removed).withColumnsRenamed({"doc": "_doc", "lines": "_gone", "n": "_n"})
-    left = F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains("_gone", i))
-    marked = docs.join(_few(gone, "_n"), F.coalesce(docs[key].cast("long"), F.lit(none).cast("long")) == gone["_doc"], "left")
-    blank = F.col("_gone").isNotNull() & ~F.exists(left, lambda x: F.trim(x) != "")
+    doc, lines, n = (free_name(docs, c) for c in ("_doc", "_gone", "_n"))
+    gone = _by_document(removed).withColumnsRenamed({"doc": doc, "lines": lines, "n": n})
+    left = F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains(lines, i))
+    marked = docs.join(_few(gone, n), F.coalesce(docs[key].cast("long"), F.lit(none).cast("long")) == gone[doc], "left")
+    blank = F.col(lines).isNotNull() & ~F.exists(left, lambda x: F.trim(x) != "")
     return marked.where(~blank).select(*[
-        F.when(F.col("_gone").isNull(), docs[c]).otherwise(F.array_join(left, "\n")).alias(c) if c == text else docs[c]
+        F.when(F.col(lines).isNull(), docs[c]).otherwise(F.array_join(left, "\n")).alias(c) if c == text else docs[c]
         for c in docs.columns])
 
 

@@ -61,8 +61,8 @@ def statistics(text: str | None) -> np.ndarray:
 
 
 def with_statistics(docs: DataFrame, text: str = "text", name: str = "features") -> DataFrame:
-    """``docs`` without its text, with the array column ``name``."""
-    keep = [c for c in docs.columns if c != text]
+    """``docs`` without its text, with the array column ``name`` (a column of that name is replaced)."""
+    keep = [c for c in docs.columns if c not in (text, name)]
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(name, T.ArrayType(T.DoubleType()))])
 
     def run(batches):
@@ -179,8 +179,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows:
 
 def score(docs: DataFrame, model: BoostedTrees, text: str = "text", name: str = "score",
           keep_text: bool = False) -> DataFrame:
-    """``docs`` (with its text only if ``keep_text``) with the column ``name``."""
-    keep = [c for c in docs.columns if keep_text or c != text]
+    """``docs`` (with its text only if ``keep_text``) with the column ``name`` (a column of that name
+    is replaced)."""
+    keep = [c for c in docs.columns if c != name and (keep_text or c != text)]
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(name, T.DoubleType())])
 
     def run(batches):

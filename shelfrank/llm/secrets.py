@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.llm.common import table
+from shelfrank.llm.common import free_name, table
 from shelfrank.llm.registry import query
 
 ASSIGN = ("(?i:(password|passwd|secret|token|api_?key))[\"']?\\x20*[:=]\\x20*[\"']?"
@@ -73,8 +73,8 @@ def train(docs: DataFrame, text: str = "text", key: str = "doc_id", sample_docs:
           sample_values: int = 20_000) -> list[float]:
     """Log-likelihood ratios random / ordinary, by state * STATES + next state.
 
-    Fitted on the documents with the ``sample_docs`` lowest key hashes: all words there are the
-    ordinary sample, and of the rules' values the ``sample_values`` with the lowest hashes are the
+    Fitted on the documents with the ``sample_docs`` lowest key hashes: all words of 4 to 19
+    characters there are the ordinary sample, and of the rules' values the ``sample_values`` with the lowest hashes are the
     random sample. Only the (at most STATES^2) counts reach the driver.
     """
     ids = docs.select(key).orderBy(F.xxhash64(key), key).limit(sample_docs).distinct()
@@ -86,19 +86,25 @@ def train(docs: DataFrame, text: str = "text", key: str = "doc_id", sample_docs:
     plain = F.col("t")
     for p in (ASSIGN, ACCESS, HEX):
         plain = F.regexp_replace(plain, p, " ")
-    words = sample.select(F.explode(F.regexp_extract_all(plain, F.lit("[A-Za-z0-9+/_=-]{4,}"), F.lit(0))).alias("word"))
+    words = sample.select(F.explode(F.regexp_extract_all(plain, F.lit("(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{4,19}(?![A-Za-z0-9+/_=-])"),
+                                                           F.lit(0))).alias("word"))
     random, ordinary = _bigram_counts(secrets), _bigram_counts(words)
 
-    def log_probs(counts: dict, smooth: float) -> list[list[float]]:
+    def log_probs(counts: dict, weight: float, prior: list[float]) -> list[list[float]]:
+        """Transitions, each row drawn towards ``prior`` with ``weight`` pseudo-counts."""
         out = []
         for a in range(STATES):
-            row = [counts.get((a, b), 0) + smooth for b in range(1, STATES)]
-            total = sum(row)
-            out.append([0.0] + [math.log(x / total) for x in row])
+            total = sum(counts.get((a, b), 0) for b in range(1, STATES)) + weight
+            out.append([0.0] + [math.log((counts.get((a, b), 0) + weight * prior[b]) / total) for b in range(1, STATES)])
         return out
 
-    # a flat random model needs many pseudo-counts: a random string may hold any character next
-    r, o = log_probs(random, 5.0), log_probs(ordinary, 0.1)
+    # a random string may hold any character next; ordinary words fall back to their character frequencies
+    flat = [0.0] + [1 / (STATES - 1)] * (STATES - 1)
+    single = [0.0] + [sum(n for (_, b), n in ordinary.items() if b == c) + 0.1 for c in range(1, STATES)]
+    for c in "/_-":      # they join ordinary words into long identifiers, of which short words show none
+        single[KEY_CHARS.index(c) + 1] = max(single[KEY_CHARS.index(c) + 1], 0.02 * sum(single))
+    r = log_probs(random, 5.0 * STATES, flat)
+    o = log_probs(ordinary, 5.0, [x / sum(single) for x in single])
     return [round(r[a][b] - o[a][b], 6) for a in range(STATES) for b in range(STATES)]
 
 
@@ -116,12 +122,13 @@ def likelihood_ratio(word: Column, model: list[float]) -> Column:
 def scan(docs: DataFrame, model: list[float], text: str = "text", least_run: int = 20,
          least_mean: float = 0.7) -> DataFrame:
     """``docs`` with ``base`` (spans of the rules) and ``added`` (runs of at least ``least_run`` key
-    characters apart from them whose mean log-likelihood ratio per character is ``least_mean``)."""
+    characters apart from them whose mean log-likelihood ratio per character is ``least_mean``). Columns of these names are replaced."""
     t = F.coalesce(F.col(text), F.lit(""))
-    found = docs.withColumn("base", base_spans(t)).withColumn("_runs", _places(t, RUN % least_run, "markov"))
-    return found.withColumn("added", F.filter("_runs", lambda r: ~F.exists(
+    runs = free_name(docs, "_runs")
+    found = docs.withColumn("base", base_spans(t)).withColumn(runs, _places(t, RUN % least_run, "markov"))
+    return found.withColumn("added", F.filter(runs, lambda r: ~F.exists(
         "base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
-        & (likelihood_ratio(r["value"], model) >= least_mean * F.char_length(r["value"])))).drop("_runs")
+        & (likelihood_ratio(r["value"], model) >= least_mean * F.char_length(r["value"])))).drop(runs)
 
 
 def joined(spans: Column) -> Column:

@@ -65,14 +65,14 @@ def jump_shards(key: Column, n_shards: int) -> Column:
 
 def shard(df: DataFrame, key: str, n_shards: int, blocks: int = 256) -> DataFrame:
     """``df`` with ``shard``, ``grown_shard`` (with one shard more) and ``slot`` (0, 1, ... inside
-    each shard).
+    each shard). Columns of these names, and of the helper names that start with _, are replaced.
 
     Slots are numbered per (shard, block) with block = a hash of the row; the start of a block is
     the running sum over at most ``n_shards * blocks`` counts, which alone is broadcast. No task
     sorts a whole shard.
     """
-    cols = df.columns
-    j = df.withColumn("_j", jump_shards(F.col(key), n_shards))
+    cols = [c for c in df.columns if c not in ("shard", "grown_shard", "slot", "_block", "_rank", "_start", "_n", "_j")]
+    j = df.select(*cols).withColumn("_j", jump_shards(F.col(key), n_shards))
     j = j.select(*[j[c] for c in cols], F.col("_j.shard").alias("shard"), F.col("_j.grown").alias("grown_shard"),
                  F.pmod(F.xxhash64(*[j[c] for c in cols]), F.lit(blocks)).alias("_block"))
     counts = j.groupBy("shard", "_block").agg(F.count("*").alias("_n"))
