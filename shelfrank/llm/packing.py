@@ -1,6 +1,6 @@
 """Token ids in binary form: best-fit-decreasing packing of documents into fixed-length rows.
 
-Texts become SentencePiece ids. A document longer than a row is split into whole rows and a rest,
+Texts become ids of a public vocabulary (byte-level BPE, or SentencePiece pieces). A document longer than a row is split into whole rows and a rest,
 without loss. Inside blocks of about ``block_tokens`` ids a task places the pieces longest first,
 each into the fullest row that still has room; a segment tree over free capacities finds that row
 in log2(row length) steps. Each block becomes one matrix of ids (rows x length, little-endian,
@@ -17,6 +17,8 @@ gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import base64
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -25,9 +27,41 @@ from pyspark.sql import functions as F
 
 from shelfrank.llm.common import table, text_slices
 from shelfrank.llm.registry import query
-from shelfrank.llm.sentencepiece import MODEL_FILE, Encoder, UnigramModel
+from shelfrank.llm.sentencepiece import file_bytes
 
 ROW_LENGTH, BLOCK_TOKENS = 2048, 1_000_000
+RANKS_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"   # default of the parameter ``ranks_file``
+# fixed value: how the vocabulary's makers split a text before merging
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+class ByteBpe:
+    """Byte-level BPE ranks; plain data that is shipped to the tasks once. Any text can be encoded
+    and comes back byte for byte."""
+
+    def __init__(self, raw: bytes, pattern: str = PATTERN):
+        self.raw, self.pattern = raw, pattern
+
+    @classmethod
+    def load(cls, spark, ranks_file: str = RANKS_FILE) -> ByteBpe:
+        return cls(file_bytes(spark, ranks_file))
+
+    def open(self) -> ByteBpeEncoder:
+        return ByteBpeEncoder(self)
+
+
+class ByteBpeEncoder:
+    def __init__(self, model: ByteBpe):
+        import tiktoken
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, model.raw.splitlines())}
+        self.bpe = tiktoken.Encoding("ranks", pat_str=model.pattern, mergeable_ranks=ranks, special_tokens={})
+        self.width = "<u2" if max(ranks.values()) < 65536 else "<i4"
+
+    def encode(self, text: str | None) -> np.ndarray:
+        return np.array(self.bpe.encode_ordinary(text or ""), self.width)
+
+    def decode(self, ids) -> str:
+        return self.bpe.decode(list(ids))
 
 
 class FreeCapacity:
@@ -110,18 +144,19 @@ _ARROW = pa.schema([("partition", pa.int32()), ("block", pa.int32()), ("n_rows",
                                                      ("start", pa.int32()), ("length", pa.int32())])))])
 
 
-def pack(docs: DataFrame, model: UnigramModel, row_length: int = ROW_LENGTH, block_tokens: int = BLOCK_TOKENS,
+def pack(docs: DataFrame, model, row_length: int = ROW_LENGTH, block_tokens: int = BLOCK_TOKENS,
          pad: int = 0, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per matrix; ``unpack`` gives the documents' ids again."""
+    """One row per matrix; ``unpack`` gives the documents' ids again. ``model`` is plain data whose
+    ``open()`` gives a task its encoder (``encode`` and ``width``)."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        e = Encoder(shipped.value)
+        e = shipped.value.open()
         part, block, held, size = TaskContext.get().partitionId(), 0, [], 0
 
         def out():
             return pa.RecordBatch.from_pylist(
-                [{"partition": part, "block": block, **pack_block(held, row_length, pad, e.m.width)}], _ARROW)
+                [{"partition": part, "block": block, **pack_block(held, row_length, pad, e.width)}], _ARROW)
 
         for batch in batches:
             keys = batch.column(key).to_pylist()
@@ -163,5 +198,5 @@ def write(packed: DataFrame, path: str) -> None:
 
 
 @query("op5_packed_tokens")
-def op5_packed_tokens(spark, sf_dir, model_file: str = MODEL_FILE):
-    return pack(table(spark, sf_dir, "documents"), UnigramModel.load(spark, model_file))
+def op5_packed_tokens(spark, sf_dir, ranks_file: str = RANKS_FILE):
+    return pack(table(spark, sf_dir, "documents"), ByteBpe.load(spark, ranks_file))

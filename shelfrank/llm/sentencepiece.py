@@ -129,6 +129,14 @@ class DoubleArray:
         return self.base.tolist(), self.check.tolist(), self.value.tolist()
 
 
+def file_bytes(spark, path: str) -> bytes:
+    """A vocabulary file: a path of the driver's machine, or a URL of any store that Spark reaches."""
+    if "://" in path:
+        return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
+    with open(path, "rb") as f:
+        return f.read()
+
+
 class UnigramModel:
     """Pieces, scores and trie of a model file; plain data that is shipped to the tasks once."""
 
@@ -157,21 +165,18 @@ class UnigramModel:
 
     @classmethod
     def load(cls, spark, model_file: str = MODEL_FILE) -> UnigramModel:
-        """Read through Spark, so the file may lie in any store that Spark reaches."""
-        path = model_file if "://" in model_file else f"file://{model_file}"
-        try:
-            raw = bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
-        except Exception:   # a file of the driver's machine that executors do not have
-            with open(model_file, "rb") as f:
-                raw = f.read()
-        return cls(raw)
+        return cls(file_bytes(spark, model_file))
+
+    def open(self) -> Encoder:
+        """Encoder of one task."""
+        return Encoder(self)
 
 
 class Encoder:
     """Encoder and decoder of one task."""
 
     def __init__(self, model: UnigramModel, remembered: int = 150_000):
-        self.m = model
+        self.m, self.width = model, model.width
         self.base, self.check, self.value = model.trie.lists()
         self.units = re.compile(model.unit_pattern).findall
         # ids of units, with the marker before the key in ``marked``, as they stand in ``cache``
