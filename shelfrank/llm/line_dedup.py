@@ -15,8 +15,8 @@ A cluster of variants is not paired up: in a first round every set meets only th
 has the same rarest word; sets for which that proves an earlier match need no further partner.
 
 Defined cases: a null or empty text has no lines to remove; a line without words is never removed
-and matches nothing; a line that consists of one very long word is a set of one; rows that repeat a
-doc_id are the same document; a null doc_id comes after all others; an empty table gives an empty
+and matches nothing; a line that consists of one very long word is a set of one; rows that repeat doc_id and
+text are the same document; a null doc_id comes after all others; an empty table gives an empty
 result; other columns pass through, whatever their names.
 """
 
@@ -73,7 +73,9 @@ def _parity(codes_: str) -> Column:
 
 class _Places:
     """A line's place (document, line) as one comparable column ``at``: a long if both numbers fit
-    into 63 bits, else a struct. Documents without doc_id get the number after the largest."""
+    into 63 bits, else a struct. Documents without doc_id get the number after the largest. If any
+    doc_id repeats, a document is its number and the hash of its text, so that different texts under
+    one doc_id (or without any) stay apart."""
 
     def __init__(self, docs: DataFrame, text: str, key: str):
         low, high, lines, repeated = docs.agg(
@@ -82,13 +84,17 @@ class _Places:
             F.count("*") - F.count_distinct(F.coalesce(F.col(key).cast("string"), F.lit("")))).first()
         self.key, self.none = key, (-1 if high is None else high) + 1
         self.bits = (int(lines or 0) + 1).bit_length()          # a text has at most one line more than characters
-        self.packed = (low is None or low >= 0) and self.none.bit_length() + self.bits <= 63
-        self.repeated = bool(repeated)
+        self.repeated, self.text = bool(repeated), text
+        self.packed = (not repeated and (low is None or low >= 0)
+                       and self.none.bit_length() + self.bits <= 63)
         if self.none >= 1 << 63:
             raise ValueError("doc_id leaves no number for documents without one")
 
     def doc(self) -> Column:
-        return F.coalesce(F.col(self.key).cast("long"), F.lit(self.none).cast("long")).alias("doc")
+        number = F.coalesce(F.col(self.key).cast("long"), F.lit(self.none).cast("long"))
+        if self.repeated:
+            return F.struct(number.alias("number"), F.xxhash64(self.text).alias("hash")).alias("doc")
+        return number.alias("doc")
 
     def at(self, doc, line) -> Column:
         if self.packed:
@@ -126,9 +132,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: Column, percent: int,
 
 
 def removed_lines(docs: DataFrame, percent: int = 80, text: str = "text", key: str = "doc_id",
-                  near: int = 64) -> tuple[DataFrame, int]:
-    """((doc, line) of every line with an earlier match, number of documents without key): ``doc`` is
-    the key, or that number where the key is null; ``line`` counts from 0."""
+                  near: int = 64) -> tuple[DataFrame, _Places]:
+    """((doc, line) of every line with an earlier match, places): ``places.doc()`` gives the ``doc``
+    of a row of ``docs``; ``line`` counts from 0."""
     places = _Places(docs, text, key)
     classes = frequency_classes(docs, text)
     n = F.size("codes")
@@ -189,7 +195,7 @@ def removed_lines(docs: DataFrame, percent: int = 80, text: str = "text", key: s
     gone = (sets.select(*same, F.col("at").alias("first"))
             .join(matched.select(F.col("at").alias("first"), F.lit(True).alias("hit")), "first", "left"))
     return (lines.select("at", *same).join(gone, same).where("hit or at <> first")
-            .select(*places.split("at")).distinct()), places.none
+            .select(*places.split("at")).distinct()), places
 
 
 def _by_document(gone: DataFrame) -> DataFrame:
@@ -199,12 +205,12 @@ def _by_document(gone: DataFrame) -> DataFrame:
 
 def without_repeated_lines(docs: DataFrame, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with the remaining lines as text; a document whose lines are all removed goes."""
-    removed, none = removed_lines(docs, percent, text, key)
+    removed, places = removed_lines(docs, percent, text, key)
     doc, lines, n = (free_name(docs, c) for c in ("_doc", "_gone", "_n"))
     gone = _by_document(removed).withColumnsRenamed({"doc": doc, "lines": lines, "n": n})
     left = F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains(lines, i))
-    marked = docs.join(_few(gone, n), F.coalesce(docs[key].cast("long"), F.lit(none).cast("long")) == gone[doc], "left")
-    blank = F.col(lines).isNotNull() & ~F.exists(left, lambda x: F.trim(x) != "")
+    marked = docs.join(_few(gone, n), places.doc() == gone[doc], "left")
+    blank = F.col(lines).isNotNull() & ~F.coalesce(F.exists(left, lambda x: F.trim(x) != ""), F.lit(True))
     return marked.where(~blank).select(*[
         F.when(F.col(lines).isNull(), docs[c]).otherwise(F.array_join(left, "\n")).alias(c) if c == text else docs[c]
         for c in docs.columns])
@@ -234,10 +240,9 @@ FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n, string_agg(CAST(line A
 @query("op9_line_dedup", ORACLE)
 def op9_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    removed, none = removed_lines(docs)
+    removed, places = removed_lines(docs)
     gone = _by_document(removed)
-    counted = docs.select("doc_id", F.coalesce("doc_id", F.lit(none).cast("long")).alias("doc"),
-                          F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"))
+    counted = docs.select("doc_id", places.doc(), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"))
     return counted.join(gone, "doc", "left").select(
         "doc_id", "n_lines", F.coalesce("n", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce(F.array_join(F.col("lines").cast("array<string>"), ","), F.lit("")).alias("removed"))

@@ -80,7 +80,7 @@ class BoostedTrees:
     """Histogram gradient boosting for a 0/1 label, logistic loss."""
 
     def __init__(self, rounds: int = 80, depth: int = 4, rate: float = 0.15, bins: int = 64,
-                 l2: float = 2.0, least: int = 20):
+                 l2: float = 2.0, least: int | None = None):
         self.rounds, self.depth, self.rate, self.bins, self.l2, self.least = rounds, depth, rate, bins, l2, least
         self.base = 0.0
         nodes = (1 << (depth + 1)) - 1
@@ -94,6 +94,7 @@ class BoostedTrees:
             self.base = 0.0 if not len(y) else float(np.clip(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)), -8, 8))
             return self
         n, d = x.shape
+        least = self.least or min(20, max(2, n // 50))      # rows on either side of a split
         cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, self.bins + 1)[1:-1])) for j in range(d)]
         binned = np.stack([np.searchsorted(c, x[:, j], side="left") for j, c in enumerate(cuts)], axis=1)
         self.base = float(np.log(y.mean() / (1 - y.mean())))
@@ -124,7 +125,7 @@ class BoostedTrees:
                     gr, hr, cr = gl[:, -1:] - gl, hl[:, -1:] - hl, cl[:, -1:] - cl
                     gain = (gl ** 2 / (hl + self.l2) + gr ** 2 / (hr + self.l2)
                             - gl[:, -1:] ** 2 / (hl[:, -1:] + self.l2))
-                    gain[(cl < self.least) | (cr < self.least)] = -1
+                    gain[(cl < least) | (cr < least)] = -1
                     gain[:, len(cuts[j]):] = -1
                     b = gain.argmax(1)
                     top = gain[np.arange(size), b]

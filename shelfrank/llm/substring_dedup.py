@@ -21,8 +21,8 @@ Anchors with more than ``hot`` classes are not gathered: their windows are group
 with a pre-aggregated minimum, which gives the same removals at any size.
 
 Defined cases: a null or empty text has no bytes; long texts are read whole; rows that repeat a
-doc_id are one document (their texts are expected to be equal); a null doc_id comes after all
-others; an empty table gives an empty result; other columns are not read.
+doc_id are one document (their texts are expected to be equal); rows without doc_id come after
+all others, equal texts among them being one document; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from shelfrank.llm.common import U64, mix64, table, text_slices, written
 from shelfrank.llm.registry import query
 
 ANCHOR = 20                  # bytes of an anchor
-LAST = (1 << 63) - 1         # document number of a null doc_id
+LAST = (1 << 63) - 1         # rows without doc_id get numbers below this one, by their texts
 FEW = 500_000                # rows broadcast at most
 SLICE = 250_000              # bytes of text handled at once: the arrays then stay in the CPU caches
 _IDX = 28                    # bits of a position within a slice
@@ -139,6 +139,12 @@ def _find_cells(docs: DataFrame, least: int, anchors_only: bool = False) -> Data
     return _with_bytes(docs, make, "h long" if anchors_only else "doc long, at long, h long, c long", [])
 
 
+def _document(key: str, text: str):
+    """Number of a row's document: its key, or for rows without key one beyond all others."""
+    none = F.lit(LAST) - F.coalesce(F.xxhash64(text), F.lit(0)).bitwiseAND((1 << 44) - 1)
+    return F.coalesce(F.col(key).cast("long"), none)
+
+
 def _few(df: DataFrame, weight: str) -> DataFrame:
     n, w = df.agg(F.count("*"), F.sum(weight)).first()
     return F.broadcast(df) if n <= FEW and (w or 0) <= 5 * FEW else df
@@ -284,7 +290,7 @@ def repeats(docs: DataFrame, least: int = 100, text: str = "text", key: str = "d
     With ``groups`` false only the spans are written. Groups reach at most to the end of their cell
     (``least`` + 80 bytes or fewer); a longer repeat is a chain of overlapping groups.
     """
-    docs = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), F.col(text).alias("text"))
+    docs = docs.select(_document(key, text).alias("doc"), F.col(text).alias("text"))
     found = _find_cells(docs, least)
     often = _find_cells(docs, least, anchors_only=True).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
     cell = written(found.join(often, "h"), "cells")
@@ -406,7 +412,7 @@ def without_repeats(docs: DataFrame, spans: DataFrame, text: str = "text", key:
                  pa.array([len(x) for x in starts], pa.int64())], names=["doc", "starts", "lengths", "n"])
 
     at = written(at.mapInArrow(merge, "doc long, starts array<long>, lengths array<long>, n long"), "spans-of-documents")
-    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), F.col(key).cast("long").alias("id"),
+    rows = docs.select(_document(key, text).alias("doc"), F.col(key).cast("long").alias("id"),
                        F.col(text).alias("text")).join(_few(at, "n"), "doc", "left").select("doc", "id", "text", "starts", "lengths")
     last = "kept_sha256 string" if digest else "kept binary"
 
