@@ -72,18 +72,12 @@ def rank_items(scored: DataFrame, score_col: str, keys=(), rank_col: str = "gran
     if not keys:
         return g.withColumn(rank_col, F.col("_gi") + 1).drop("_gi")
     off = g.groupBy(*keys).agg(F.min("_gi").alias("_off"))
-    return (g.join(off, keys)
+    return (g.join(F.broadcast(off) if keys == ["iter"] else off, keys)   # one row per iteration
             .withColumn(rank_col, F.col("_gi") - F.col("_off") + 1).drop("_gi", "_off"))
 
 
-def drop_seen(pairs: DataFrame, seen: DataFrame, keys=()) -> DataFrame:
-    """Remove already-seen (user, item) pairs; duplicates in seen are harmless."""
-    cols = list(keys) + ["user_idx", "item_idx"]
-    return pairs.join(seen.select(*cols).distinct(), cols, "left_anti")
-
-
 def top_k_unseen_global(ranked: DataFrame, users_df: DataFrame, seen: DataFrame | None,
-                        k: int, keys=(), rank_col: str = "grank") -> DataFrame:
+                        k: int, keys=(), rank_col: str = "grank", copies: int = 64) -> DataFrame:
     """Top k of a user-independent ranking per (keys, user), seen items skipped.
 
     ``ranked``: (keys..., item_idx, <rank_col> 1-based dense, ...).
@@ -97,7 +91,7 @@ def top_k_unseen_global(ranked: DataFrame, users_df: DataFrame, seen: DataFrame
     u = users_df.select(*keys, "user_idx").distinct()
     if keys:
         n = ranked.groupBy(*keys).agg(F.max(rank_col).alias("_n"))
-        u = u.join(n, keys)
+        u = u.join(F.broadcast(n) if keys == ["iter"] else n, keys)   # one row per iteration
     else:
         # one scalar: the ranking's length (the ranked frame is cached)
         u = u.withColumn("_n", F.lit(ranked.count()).cast("long"))
@@ -118,4 +112,8 @@ def top_k_unseen_global(ranked: DataFrame, users_df: DataFrame, seen: DataFrame
     if seen_r is not None:
         cand = cand.join(seen_r, keys + ["user_idx", rank_col], "left_anti")
     best = top_k(cand, k, keys + ["user_idx"], [F.col(rank_col)], "rank")
-    return best.join(ranked, keys + [rank_col])
+    # nearly all users meet on the first ranks: spread those over ``copies`` copies of their few rows
+    head = F.when(F.col(rank_col) <= 4 * k + 64, F.lit(copies)).otherwise(F.lit(1))
+    spread = ranked.withColumn("_copy", F.explode(F.sequence(F.lit(0), head - 1)))
+    dealt = best.withColumn("_copy", F.pmod(F.xxhash64("user_idx"), head).cast("int"))
+    return dealt.join(spread, keys + [rank_col, "_copy"]).drop("_copy")

@@ -55,7 +55,7 @@ def expected_revenue(Q, T, price):
 
 class LinearRecommender:
     def __init__(self, kind: str = "lr", variant: str = "default", strategy: str | None = None,
-                 max_iter: int = 100, seed: int | None = None):
+                 max_iter: int = 1000, seed: int | None = None):
         self.kind, self.variant, self.max_iter, self.seed = kind, variant, max_iter, seed
         self.strategy = strategy or ("shaped" if kind == "lr" else "margin")
 

@@ -1,21 +1,14 @@
 """Blocked exact top-k scorer for dense users x items scores.
 
-The product is never materialised as rows.  Two physical paths:
-
-* broadcast path - the target matrix (n x d doubles) is below
-  ``max_broadcast_bytes`` (a checked bound: row count x width x 8): it is
-  shipped once per executor and every query partition scores its rows
-  against it in numpy chunks inside ``mapInPandas``;
-* block path - otherwise the targets are cut into blocks of at most
-  ``block_rows`` rows (a bounded ``collect_list`` per block); each query row
-  is paired with every block id (an equi-join on the block id) and a task
-  scores one (query batch, block) pair, keeping only the best rows.
-
-Each query emits at most ``k + m`` candidates (``m`` = its number of
-excluded targets, so exclusion after scoring stays exact); the final top k is
-a windowed ``row_number`` with a partial limit before the shuffle.  Ties are
-broken by the target id, also inside numpy (all rows tied with the cut-off
-score are kept before sorting).
+The product is never materialised as rows, and one algorithm serves every size: queries and targets
+are packed into blocks (one row each: ids and a matrix), every (query block, target block) is one
+task's matrix product, and of it each query keeps only its best rows. A pair's task holds two
+blocks; nothing is broadcast and nothing goes through the driver but two counts.
+
+Each query emits at most ``k + m`` candidates per target block (``m`` = its number of excluded
+targets, so exclusion after scoring stays exact); the final top k is a windowed ``row_number`` with
+a partial limit before the shuffle.  Ties are broken by the target id, also inside numpy (all rows
+tied with the cut-off score are kept before sorting).
 """
 
 from __future__ import annotations
@@ -29,7 +22,7 @@ from pyspark.sql import functions as F
 
 from shelfrank.functions.ranks import top_k
 
-DEFAULT_BROADCAST_BYTES = 256 << 20
+QUERY_ROWS, TARGET_ROWS = 512, 4096   # rows of a block
 
 
 def _select_top(S: np.ndarray, tids: np.ndarray, m: np.ndarray):
@@ -74,66 +67,53 @@ def _score_batches(q_ids, Q, m, tids, T, extra, score_fn, batch_rows):
     return out
 
 
+def _pack(rows: DataFrame, n_rows: int, block_rows: int, name: str, extra: str) -> tuple[DataFrame, int]:
+    """(name, ids, vecs, extra) with one row per block of about ``block_rows`` rows, and the number
+    of blocks."""
+    blocks = max(1, -(-n_rows // block_rows))
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id")
+        return pd.DataFrame({name: pdf[name].iloc[:1].to_numpy(), f"{name}_ids": [pdf["id"].to_numpy(np.int64).tobytes()],
+                             f"{name}_vecs": [np.stack(pdf["vec"].to_numpy()).astype(np.float64).tobytes()],
+                             f"{name}_{extra}": [pdf[extra].to_numpy(np.float64).tobytes()]})
+
+    dealt = rows.withColumn(name, F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    return dealt.groupBy(name).applyInPandas(
+        pack, f"{name} int, {name}_ids binary, {name}_vecs binary, {name}_{extra} binary"), blocks
+
+
 def block_topk(queries: DataFrame, q_id: str, q_vec: str, targets: DataFrame, t_id: str, t_vec: str,
                k: int, score_fn: Callable, t_extra: str | None = None,
-               exclude: DataFrame | None = None, max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-               block_rows: int = 4096, batch_rows: int = 128, force_blocks: bool = False) -> DataFrame:
+               exclude: DataFrame | None = None, query_rows: int = QUERY_ROWS, target_rows: int = TARGET_ROWS,
+               batch_rows: int = 128) -> DataFrame:
     """Top k targets per query by ``score_fn(Qbatch, T, extra) -> scores``.
 
     ``exclude`` (q_id, t_id) pairs are removed exactly.  Returns
     (q_id, t_id, score, rank).
     """
-    spark = queries.sparkSession
-    q = queries.select(F.col(q_id).alias("qid"), F.col(q_vec).cast("array<double>").alias("qv"))
+    q = queries.select(F.col(q_id).cast("long").alias("id"), F.col(q_vec).cast("array<double>").alias("vec"))
     if exclude is not None:
         ex = exclude.select(F.col(q_id).alias("qid"), F.col(t_id).alias("tid")).distinct()
-        cnt = ex.groupBy("qid").agg(F.count(F.lit(1)).alias("m"))
-        q = q.join(cnt, "qid", "left").withColumn("m", F.coalesce("m", F.lit(0)) + k)
+        cnt = ex.groupBy(F.col("qid").alias("id")).agg(F.count(F.lit(1)).alias("m"))
+        q = q.join(cnt, "id", "left").withColumn("m", (F.coalesce("m", F.lit(0)) + k).cast("double"))
     else:
-        q = q.withColumn("m", F.lit(k).cast("long"))
-    t = targets.select(F.col(t_id).alias("tid"), F.col(t_vec).cast("array<double>").alias("tv"),
-                       (F.col(t_extra).cast("double") if t_extra else F.lit(0.0)).alias("tx"))
-    schema = "qid long, tid long, score double"
-
-    n_t = t.count()
-    width = len(t.select("tv").first()[0]) if n_t else 0
-    if not force_blocks and n_t * (width + 2) * 8 <= max_broadcast_bytes:
-        pdf = t.toPandas()  # bounded by the check above
-        tids = pdf["tid"].to_numpy(np.int64)
-        T = np.stack(pdf["tv"].to_numpy()) if n_t else np.zeros((0, width))
-        bc = spark.sparkContext.broadcast((tids, T, pdf["tx"].to_numpy(np.float64)))
-
-        def run(it):
-            tids_, T_, X_ = bc.value
-            for b in it:
-                if b.empty:
-                    continue
-                Q = np.stack(b["qv"].to_numpy())
-                for part in _score_batches(b["qid"].to_numpy(np.int64), Q, b["m"].to_numpy(np.int64),
-                                           tids_, T_, X_, score_fn, batch_rows):
-                    yield part
-
-        cand = q.mapInPandas(run, schema)
-    else:
-        n_blocks = max(1, -(-n_t // block_rows))
-        tb = (t.withColumn("blk", F.pmod(F.xxhash64("tid"), F.lit(n_blocks)))
-              .groupBy("blk").agg(F.collect_list(F.struct("tid", "tv", "tx")).alias("rows")))
-        qb = q.withColumn("blk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
-        pairs = qb.join(tb, "blk")
-
-        def run_blocks(it):
-            for b in it:
-                for blk, g in b.groupby("blk"):
-                    rows = g["rows"].iloc[0]
-                    tids_ = np.array([r["tid"] for r in rows], dtype=np.int64)
-                    T_ = np.stack([np.asarray(r["tv"], dtype=np.float64) for r in rows])
-                    X_ = np.array([r["tx"] for r in rows], dtype=np.float64)
-                    Q = np.stack(g["qv"].to_numpy())
-                    for part in _score_batches(g["qid"].to_numpy(np.int64), Q, g["m"].to_numpy(np.int64),
-                                               tids_, T_, X_, score_fn, batch_rows):
-                        yield part
-
-        cand = pairs.mapInPandas(run_blocks, schema)
+        q = q.withColumn("m", F.lit(float(k)))
+    t = targets.select(F.col(t_id).cast("long").alias("id"), F.col(t_vec).cast("array<double>").alias("vec"),
+                       (F.col(t_extra).cast("double") if t_extra else F.lit(0.0)).alias("x"))
+    qb, n_qb = _pack(q, queries.count(), query_rows, "qb", "m")
+    tb, n_tb = _pack(t, targets.count(), target_rows, "tb", "x")
+    qb = qb.withColumn("tb", F.explode(F.sequence(F.lit(0), F.lit(n_tb - 1))))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        r = pdf.iloc[0]
+        qids, tids = np.frombuffer(r.qb_ids, np.int64), np.frombuffer(r.tb_ids, np.int64)
+        Q = np.frombuffer(r.qb_vecs).reshape(len(qids), -1)
+        T_ = np.frombuffer(r.tb_vecs).reshape(len(tids), -1)
+        m = np.frombuffer(r.qb_m).astype(np.int64)
+        return pd.concat(_score_batches(qids, Q, m, tids, T_, np.frombuffer(r.tb_x), score_fn, batch_rows))
+
+    cand = qb.join(tb, "tb").groupBy("qb", "tb").applyInPandas(run, "qid long, tid long, score double")
     if exclude is not None:
         cand = cand.join(ex, ["qid", "tid"], "left_anti")
     best = top_k(cand, k, ["qid"], [F.col("score").desc(), F.col("tid").asc()])
@@ -141,19 +121,15 @@ def block_topk(queries: DataFrame, q_id: str, q_vec: str, targets: DataFrame, t_
 
 
 # ------------------------------------------------------------------ score functions
-def dot_score(Q, T, extra):
-    return Q @ T.T
-
-
 def sigmoid_dot_price(Q, T, extra):
     """sigmoid(u . v) * price."""
     return (1.0 / (1.0 + np.exp(-(Q @ T.T)))) * extra[None, :]
 
 
-def neg_sq_l2(Q, T, extra):
-    """Nearest neighbours: larger is closer (exact differences, no expansion)."""
+def neg_sq_l2(Q, T, extra, chunk: int = 32):
+    """Nearest neighbours: larger is closer (exact differences, ``chunk`` targets at a time)."""
     out = np.empty((Q.shape[0], T.shape[0]))
-    for i in range(Q.shape[0]):
-        d = T - Q[i]
-        out[i] = -np.einsum("ij,ij->i", d, d)
+    for i in range(0, T.shape[0], chunk):
+        d = Q[:, None, :] - T[None, i:i + chunk, :]
+        out[:, i:i + chunk] = -np.einsum("ijk,ijk->ij", d, d)
     return out

@@ -93,7 +93,7 @@ for _v in LR_VARIANTS:
 def m12_svm(spark, sf):
     """Linear SVM, raw margin (user-independent order) -> global ranking minus seen."""
     r = roles.load(spark, sf)
-    m = LinearRecommender("svm", max_iter=50).fit(r.log, r.users, r.items)
+    m = LinearRecommender("svm").fit(r.log, r.users, r.items)
     return m.predict(r.log, K, r.users, r.items)
 
 
