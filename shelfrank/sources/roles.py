@@ -24,6 +24,16 @@ from pyspark.sql import Window
 ORDER_COLS = ["ts", "l_orderkey", "l_linenumber", "item_idx"]
 
 
+def order_of(log_df: DataFrame) -> list[str]:
+    """Total order of a history: the default columns as far as the log has them, then all others.
+
+    A log without any time column (user, item, relevance) is ordered by its own values: a Spark
+    table has no row index, so a caller with a meaningful order passes it as a column ``ts``.
+    """
+    first = [c for c in ORDER_COLS if c in log_df.columns]
+    return first + [c for c in log_df.columns if c not in first and c != "user_idx"]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -84,19 +94,9 @@ def load(spark: SparkSession, sf_dir: str) -> Roles:
     return Roles(users(spark, sf_dir), items(spark, sf_dir), log(spark, sf_dir))
 
 
-def drop_ids(df: DataFrame) -> DataFrame:
-    """Drop id and bookkeeping columns before building features."""
-    return df.drop("user_idx", "item_idx", "__iter", "l_orderkey", "l_linenumber", "ts")
-
-
-def restrict_to_items(scores: DataFrame, items_df: DataFrame) -> DataFrame:
-    """Keep only candidates that exist in the given items frame."""
-    return scores.join(items_df.select("item_idx"), "item_idx", "left_semi")
-
-
 def with_position(log_df: DataFrame, order_cols=None) -> DataFrame:
     """1-based position of each interaction in its user's history."""
-    order_cols = order_cols or ORDER_COLS
+    order_cols = order_cols or order_of(log_df)
     w = Window.partitionBy("user_idx").orderBy(*order_cols)
     return log_df.withColumn("pos", F.row_number().over(w))
 
@@ -110,7 +110,7 @@ def append_after(old: DataFrame, new: DataFrame, order_cols=None) -> DataFrame:
     """
     from shelfrank.functions.ranks import global_index
 
-    order_cols = order_cols or ORDER_COLS
+    order_cols = order_cols or order_of(old)
     o = global_index(old, order_cols, "tindex")
     # one scalar: the old log's size (= max index + 1)
     base = o.count()

@@ -1,0 +1,36 @@
+"""The recommenders work on any log with user_idx, item_idx and relevance."""
+import pytest
+
+from shelfrank.models.graph import GraphRecommender
+from shelfrank.models.ngram import NgramRecommender
+from shelfrank.models.popularity import PopularityRecommender
+
+
+@pytest.fixture(scope="module")
+def frames(spark):
+    log = spark.createDataFrame([(u, (u * 7 + j * 3) % 11, (u + j) % 2) for u in range(8) for j in range(4)],
+                                "user_idx long, item_idx long, relevance int")
+    users = spark.createDataFrame([(u,) for u in range(10)], "user_idx long")          # two without history
+    items = spark.createDataFrame([(i, 1.0 + i) for i in range(13)], "item_idx long, price double")
+    return log, users, items
+
+
+@pytest.mark.parametrize("make", [lambda: NgramRecommender(order=2), lambda: PopularityRecommender(),
+                                  lambda: GraphRecommender(propagate=False, epochs=1),
+                                  lambda: GraphRecommender(propagate=True, epochs=1)])
+@pytest.mark.parametrize("unseen", [True, False])
+def test_every_user_gets_recommendations(frames, make, unseen):
+    log, users, items = frames
+    recs = make().fit(log, users, items).predict(log, 3, users, items, filter_seen_items=unseen).collect()
+    seen = {(r.user_idx, r.item_idx) for r in log.collect()}
+    assert sorted({r.user_idx for r in recs}) == list(range(10))
+    assert all(sorted(r.rank for r in recs if r.user_idx == u) == [1, 2, 3] for u in range(10))
+    assert not unseen or not seen & {(r.user_idx, r.item_idx) for r in recs}
+
+
+def test_log_appended_twice_keeps_its_repeats(spark):
+    from shelfrank.operators.sequences import union_history
+    old = spark.createDataFrame([(1, 5), (1, 5), (2, 6)], "user_idx long, item_idx long")
+    new = spark.createDataFrame([(1, 5), (1, 5), (1, 5), (3, 7), (3, 7)], "user_idx long, item_idx long")
+    got = sorted(tuple(r) for r in union_history(old, new, ["user_idx", "item_idx"]).collect())
+    assert got == [(1, 5)] * 3 + [(2, 6)] + [(3, 7)] * 2
