@@ -4,15 +4,15 @@ A line is the set of its distinct lower-case words. A line goes if an earlier li
 or same document, smaller line number) has a set of Jaccard similarity ``percent`` / 100 or more.
 
 Lines with equal sets are one set, named by its first line. Words become 64-bit codes whose upper
-bits are a frequency class (counted over all words of all texts in 262,144 hash buckets, a table of
+bits are a frequency class (counted over all words of all texts in 65,536 hash buckets, a table of
 fixed size) and whose lower 48 bits are a hash, so that sorting codes orders words by rarity. Two
-sets of n and m words can only reach the similarity if they share a code among their n - ceil(t n)
-+ 1 rarest ones (prefix filter), if min(n, m) >= t max(n, m) (length filter), and if the words left
-behind the shared one suffice (positional filter). A parity of each set then rules out pairs that
+sets of n and m words can only reach the similarity if they share two codes among their n - ceil(t n)
++ 2 rarest ones (prefix filter), if min(n, m) >= t max(n, m) (length filter), and if the words left
+behind the shared ones suffice (positional filter). A 64-bit parity of each set rules out pairs that
 provably differ in too many words, and the pairs that pass are verified on all codes.
 
-A cluster of variants is not paired up: in a first round every set meets only the earliest set that
-has the same rarest word; sets for which that proves an earlier match need no further partner.
+A cluster of variants is not paired up: in a first round every set meets only the earliest set under
+each of its prefix words; sets for which that proves an earlier match need no further partner.
 
 Defined cases: a null or empty text has no lines to remove; a line without words is never removed
 and matches nothing; a line that consists of one very long word is a set of one; rows that repeat doc_id and
@@ -31,7 +31,8 @@ from pyspark.sql import Window
 from shelfrank.llm.common import free_name, table, written
 from shelfrank.llm.registry import query
 
-CLASSES = 1 << 18          # hash buckets of the word counts
+CLASSES = 1 << 16          # hash buckets of the word counts
+SHARED = 2                 # prefix words that two similar sets share at least
 HASH_BITS = 48
 FEW = 400_000              # rows that are broadcast at most
 
@@ -138,7 +139,9 @@ def removed_lines(docs: DataFrame, percent: int = 80, text: str = "text", key: s
     places = _Places(docs, text, key)
     classes = frequency_classes(docs, text)
     n = F.size("codes")
-    keep = (n - F.ceil(F.lit(percent) * n / 100) + 1).cast("int")
+    # n - ceil(t n) + SHARED rarest words: two similar sets share at least SHARED of them (or, in a
+    # set as short as that, of all words)
+    keep = F.least(n, n - F.ceil(F.lit(percent) * n / 100) + SHARED).cast("int")
     short = F.transform(F.slice("codes", F.lit(1), keep), lambda c: c.bitwiseAND((1 << 31) - 1).cast("int"))
     rows = docs.select(places.doc(), F.posexplode(F.split(F.col(text), "\n")).alias("line", "words"))
     lines = written(rows.select(places.at(F.col("doc"), F.col("line")), codes(F.col("words"), classes).alias("codes"))
@@ -157,39 +160,42 @@ def removed_lines(docs: DataFrame, percent: int = 80, text: str = "text", key: s
         return ((100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"]))
                 & ((100 + percent) * differ <= (100 - percent) * (x["n"] + y["n"])))
 
-    # round 1: every set against the earliest one with the same rarest word
-    rare = able.select(F.col("prefix")[0].alias("code"), F.struct("at", "n", "parity").alias("x"))
-    lead = rare.groupBy("code").agg(F.min("x").alias("y"), F.count("*").alias("c")).where("c > 1").select("code", "y")
-    first = rare.join(lead, "code").where(fits(F.col("x"), F.col("y")) & F.expr("y.at < x.at")).select(
-        F.col("x.at").alias("at"), F.col("y.at").alias("at2"))
-    matched = written(_verified(first, docs, classes, percent, text, places).select("at").distinct(), "line-matched")
-
-    # round 2: the sets that have no match yet against all earlier sets that share a prefix word; a
-    # frame over the ``near`` sets before, and a join for the sets further back under frequent words
-    posting = (able.join(matched.withColumn("hit", F.lit(True)), "at", "left")
-               .select("at", "n", "parity", F.col("hit").isNull().alias("open"), F.posexplode("prefix").alias("pos", "code"))
-               .select("code", "at", "n", "parity", (F.col("n") - F.col("pos")).alias("rest"), "open"))
+    posting = (able.select("at", "n", "parity", F.posexplode("prefix").alias("pos", "code"))
+               .select("code", "at", "n", "parity", (F.col("n") - F.col("pos")).alias("rest")))
     order = Window.partitionBy("code").orderBy("at")
     parts = F.struct("at", "n", "parity", "rest")
 
-    def possible(x: Column, y: Column) -> Column:
-        return fits(x, y) & ((100 + percent) * F.least(x["rest"], y["rest"]) >= percent * (x["n"] + y["n"]))
+    def possible(x, y) -> Column:
+        """Sizes, parities and the words left behind a shared word (the first or a second one) allow
+        the similarity."""
+        return fits(x, y) & ((100 + percent) * (F.least(x["rest"], y["rest"]) + SHARED - 1) >= percent * (x["n"] + y["n"]))
 
-    framed = posting.select("code", parts.alias("x"), "open", F.row_number().over(order).alias("i"),
+    framed = posting.select("code", parts.alias("x"), F.row_number().over(order).alias("i"),
+                            F.first(parts).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("lead"),
                             F.collect_list(parts).over(order.rowsBetween(-near, -1)).alias("ys"))
-    found = written(framed.where("open").select(
+    found = written(framed.where("i > 1").select(
         F.col("x.at").alias("at"), F.when(F.col("i") > near + 1, F.col("code")).alias("code"),
+        F.when(possible(F.col("x"), F.col("lead")), F.col("lead.at")).alias("lead"),
         F.transform(F.filter("ys", lambda y: possible(F.col("x"), y)), lambda y: y["at"]).alias("at2s"))
-        .where("size(at2s) > 0 or code is not null"), "line-near")
-    second = found.select("at", F.explode("at2s").alias("at2"))
-    frequent = written(found.where("code is not null").select("code").distinct(), "line-frequent")
+        .where("size(at2s) > 0 or lead is not null or code is not null"), "line-near")
+
+    # round 1: every set against the earliest one under each of its prefix words
+    first = found.where("lead is not null").select("at", F.col("lead").alias("at2")).distinct()
+    matched = written(_verified(first, docs, classes, percent, text, places).select("at").distinct(), "line-matched")
+
+    # round 2: the sets that have no match yet against all earlier sets; the ``near`` ones before
+    # under each word, and by a join the sets further back under frequent words
+    rest = written(found.join(matched, "at", "left_anti").select("at", "code", "at2s"), "line-open")
+    second = rest.select("at", F.explode("at2s").alias("at2"))
+    frequent = written(rest.where("code is not null").select("code").distinct(), "line-frequent")
     if not frequent.isEmpty():
-        ranked = posting.join(_few(frequent), "code").select(
-            "code", parts.alias("x"), "open", F.row_number().over(order).alias("i"))
+        ranked = posting.join(_few(frequent), "code").select("code", parts.alias("x"), F.row_number().over(order).alias("i"))
         back = ranked.select("code", F.col("x").alias("y"), F.col("i").alias("j"))
-        second = second.union(ranked.where("open").join(back, "code").where(
+        late = (ranked.withColumn("at", F.col("x.at"))
+                .join(rest.where("code is not null").select("at", "code").distinct(), ["at", "code"], "left_semi"))
+        second = second.union(late.join(back, "code").where(
             (F.col("j") < F.col("i") - near) & possible(F.col("x"), F.col("y"))).select("x.at", "y.at"))
-    second = second.distinct()
+    second = second.groupBy("at", "at2").agg(F.count("*").alias("c")).where(F.col("c") >= SHARED).select("at", "at2")
     matched = matched.union(_verified(second, docs, classes, percent, text, places).select("at")).distinct()
 
     gone = (sets.select(*same, F.col("at").alias("first"))
