@@ -176,3 +176,53 @@ def u07_folds(spark, sf):
     r = roles.load(spark, sf)
     j = r.log.select("user_idx", "item_idx", "relevance")
     return fold_column(j, 3, 42, ["user_idx", "item_idx"]).groupBy("relevance", "fold").count()
+
+
+@query("u07_fold_invariants", with_roles("SELECT count(*) AS n, 3 AS folds, true AS balanced FROM log"))
+def u07_invariants(spark, sf):
+    """Every training row is in one of three folds, each with a third of either label within four
+    standard errors."""
+    c = u07_folds(spark, sf)
+    size = c.groupBy("relevance").agg(F.sum("count").alias("t"))
+    third = F.abs(F.col("count") / F.col("t") - 1 / 3) <= 4 * F.sqrt(F.lit(2 / 9) / F.col("t"))
+    return c.join(F.broadcast(size), "relevance").agg(
+        F.sum("count").alias("n"), F.countDistinct("fold").cast("int").alias("folds"), F.every(third).alias("balanced"))
+
+
+@query("m13_random_invariants", with_roles(f"""
+SELECT count(*) AS users, count(*) * {K} AS recs, CAST(0 AS BIGINT) AS seen, true AS spread FROM users"""))
+def m13_invariants(spark, sf):
+    """Every user gets k unseen items, and no item is recommended ten times as often as on average."""
+    r = roles.load(spark, sf)
+    recs = RandomRecommender(seed=42).predict(r.log, K, r.users, r.items)
+    seen = recs.join(r.log.select("user_idx", "item_idx").distinct(), ["user_idx", "item_idx"], "left_semi").count()
+    most = recs.groupBy("item_idx").count().agg(F.max("count")).first()[0]
+    average = r.users.count() * K / r.items.count()
+    return recs.agg(F.countDistinct("user_idx").alias("users"), F.count("*").alias("recs"),
+                    F.lit(seen).cast("long").alias("seen"), F.lit(most <= max(10, 10 * average)).alias("spread"))
+
+
+_FIXED = """
+SELECT u.user_idx, i.item_idx, i.price,
+       1.0 / (1.0 + exp(-((CASE WHEN u.segment = 'BUILDING' THEN 0.3::DOUBLE ELSE 0.1::DOUBLE END + 0.0001::DOUBLE * u.user_attr_0)
+                          + (CASE WHEN i.brand < 'Brand#3' THEN -0.2::DOUBLE ELSE 0.4::DOUBLE END + 0.01::DOUBLE * i.item_attr_0)))) AS p
+FROM users u, items i"""
+
+
+@query("m01_fixed_weights_topk", with_roles(f"""
+SELECT user_idx, item_idx, round(er, 6) AS relevance, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_idx ORDER BY er DESC, item_idx) AS rank FROM (
+    SELECT user_idx, item_idx, (sin(p) + 1) * exp(p - 1) * ln(1 + price) * cos(price / 100.0::DOUBLE)
+           * (1 + tan(p * {3.141592653589793 / 4}::DOUBLE)) AS er
+    FROM ({_FIXED}) x WHERE NOT EXISTS (SELECT 1 FROM log l WHERE l.user_idx = x.user_idx AND l.item_idx = x.item_idx)))
+WHERE rank <= {K}"""))
+def m01_fixed(spark, sf):
+    """M1/R4 scoring with given weights: user term plus item term, shaped revenue, seen removed, top 5."""
+    from shelfrank.models.linear import shaped_revenue
+    r = roles.load(spark, sf)
+    a = F.when(F.col("segment") == "BUILDING", F.lit(0.3)).otherwise(F.lit(0.1)) + F.lit(0.0001) * F.col("user_attr_0")
+    b = F.when(F.col("brand") < "Brand#3", F.lit(-0.2)).otherwise(F.lit(0.4)) + F.lit(0.01) * F.col("item_attr_0")
+    top = block_topk(r.users.select("user_idx", F.array(a).alias("a")), "user_idx", "a",
+                     r.items.select("item_idx", "price", F.array(b).alias("b")), "item_idx", "b", K, shaped_revenue,
+                     t_extra="price", exclude=r.log.select("user_idx", "item_idx"))
+    return top.select("user_idx", "item_idx", r6("score").alias("relevance"), F.col("rank").cast("int"))
