@@ -174,10 +174,10 @@ def removed_lines(docs: DataFrame, percent: int = 80, text: str = "text", key: s
                             F.first(parts).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("lead"),
                             F.collect_list(parts).over(order.rowsBetween(-near, -1)).alias("ys"))
     found = written(framed.where("i > 1").select(
-        F.col("x.at").alias("at"), F.when(F.col("i") > near + 1, F.col("code")).alias("code"),
+        F.col("x.at").alias("at"), "code", F.when(F.col("i") > near + 1, F.col("x")).alias("far"),
         F.when(possible(F.col("x"), F.col("lead")), F.col("lead.at")).alias("lead"),
         F.transform(F.filter("ys", lambda y: possible(F.col("x"), y)), lambda y: y["at"]).alias("at2s"))
-        .where("size(at2s) > 0 or lead is not null or code is not null"), "line-near")
+        .where("size(at2s) > 0 or lead is not null or far is not null"), "line-near")
 
     # round 1: every set against the earliest one under each of its prefix words
     first = found.where("lead is not null").select("at", F.col("lead").alias("at2")).distinct()
@@ -185,16 +185,14 @@ def removed_lines(docs: DataFrame, percent: int = 80, text: str = "text", key: s
 
     # round 2: the sets that have no match yet against all earlier sets; the ``near`` ones before
     # under each word, and by a join the sets further back under frequent words
-    rest = written(found.join(matched, "at", "left_anti").select("at", "code", "at2s"), "line-open")
-    second = rest.select("at", F.explode("at2s").alias("at2"))
-    frequent = written(rest.where("code is not null").select("code").distinct(), "line-frequent")
+    rest = written(found.join(matched, "at", "left_anti").select("at", "code", "far", "at2s"), "line-open")
+    second = rest.select("code", "at", F.explode("at2s").alias("at2"))
+    frequent = written(rest.where("far is not null").select("code").distinct(), "line-frequent")
     if not frequent.isEmpty():
-        ranked = posting.join(_few(frequent), "code").select("code", parts.alias("x"), F.row_number().over(order).alias("i"))
-        back = ranked.select("code", F.col("x").alias("y"), F.col("i").alias("j"))
-        late = (ranked.withColumn("at", F.col("x.at"))
-                .join(rest.where("code is not null").select("at", "code").distinct(), ["at", "code"], "left_semi"))
+        back = posting.join(_few(frequent), "code").select("code", parts.alias("y"))
+        late = rest.where("far is not null").select("code", F.col("far").alias("x"))
         second = second.union(late.join(back, "code").where(
-            (F.col("j") < F.col("i") - near) & possible(F.col("x"), F.col("y"))).select("x.at", "y.at"))
+            F.expr("y.at < x.at") & possible(F.col("x"), F.col("y"))).select("code", "x.at", "y.at")).distinct()
     second = second.groupBy("at", "at2").agg(F.count("*").alias("c")).where(F.col("c") >= SHARED).select("at", "at2")
     matched = matched.union(_verified(second, docs, classes, percent, text, places).select("at")).distinct()
 
