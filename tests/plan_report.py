@@ -17,8 +17,8 @@ from contextlib import redirect_stdout
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 KEEP = re.compile(r"^\(\d+\) (Scan parquet|Exchange|BroadcastExchange|BroadcastHashJoin|SortMergeJoin|"
-                  r"ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct|Window|WindowGroupLimit|"
-                  r"MapInPandas|FlatMapGroupsInPandasWithState|ObjectHashAggregate|HashAggregate|"
+                  r"ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct|WindowGroupLimit|Window|"
+                  r"MapInPandas|MapInArrow|FlatMapGroupsInPandas|ObjectHashAggregate|HashAggregate|"
                   r"TakeOrderedAndProject|Generate|InMemoryTableScan)")
 
 
@@ -26,12 +26,13 @@ def main(sf_dir="/root/testdata/sf0.1"):
     import bench
     import __spark_entry__ as E
     from shelfrank.session import get_spark
-    spark = get_spark("local[8]")
+    spark = get_spark("local[4]")
     qs = E.queries()
     out = ["# Physical plans of the headline queries", "",
            f"Generated by `tests/plan_report.py` at `{sf_dir}` (AQE initial plans; `explain(\"formatted\")`).",
            "Operator counts per query, then the scans with the columns they read and the pushed filters.", ""]
     for name in bench.HEADLINE:
+        spark.catalog.clearCache()          # each query shows its own plan, not cached frames of the ones before
         buf = io.StringIO()
         with redirect_stdout(buf):
             qs[name](spark, sf_dir).explain("formatted")
