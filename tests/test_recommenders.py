@@ -34,3 +34,15 @@ def test_top_k_with_and_without_seen_items(loaded, name):
             assert [x[0] for x in rows] == list(range(1, len(rows) + 1)) and len({x[2] for x in rows}) == len(rows)
             assert all(a[1] >= b[1] for a, b in zip(rows, rows[1:]))
         assert not unseen or not seen & {(r.user_idx, r.item_idx) for r in recs}
+
+
+def test_registered_tree_queries_run_the_reference_search(spark, monkeypatch):
+    from shelfrank.plans import q_models
+    made = {}
+    monkeypatch.setattr(TreeRecommender, "fit", lambda self, *a: made.setdefault(self.kind, self))
+    monkeypatch.setattr(TreeRecommender, "predict", lambda self, *a: None)
+    q_models.m02_rf(spark, SF_SMALL)
+    q_models.m03_gbt(spark, SF_SMALL)
+    rf = made["rf"]
+    assert (rf.n_draws, rf.n_folds, made["gbt"].gbt_trees) == (10, 3, 1000)
+    assert rf.space == {"num_trees": (100, 300), "max_depth": (5, 30), "min_leaf": (1, 10), "features": ["sqrt", "log2", "all"]}
