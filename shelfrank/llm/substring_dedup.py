@@ -17,8 +17,17 @@ written as a group if its occurrences differ in the byte before them or stand at
 cell; other nodes are part of the group one byte to the left. Occurrences are places of the array,
 so that nested groups share them. Every occurrence that is not a group's first is removed.
 
-Anchors with more than ``hot`` classes are not gathered: their windows are grouped by 128-bit hash
-with a pre-aggregated minimum, which gives the same removals at any size.
+An anchor with more than ``hot`` classes is split first. A window that begins x to y bytes before its
+anchor holds x bytes before the anchor's start and ``least`` - y from there on, so the halves of that
+range are parted by these bytes: equal windows still meet. The parts' cells are gathered like others;
+equal ones are copies of the first, and a part that is still too large is halved again, down to
+single windows.
+
+Cells with equal bytes are found by hash (64-bit content hashes; parts of a split anchor by their
+bytes) and do not enter the arrays more than once. Their ``copy`` rows complete the groups: an
+occurrence in a cell with copies also stands, as far behind the cell's start, in every copy, and in
+copies of these. A cell with its copies is itself a repeat group; if no other cell holds its windows,
+there is no ``group`` row for it.
 
 Defined cases: a null or empty text has no bytes; long texts are read whole; rows that repeat a
 doc_id are one document (their texts are expected to be equal); rows without doc_id come after
@@ -27,6 +36,7 @@ all others, equal texts among them being one document; an empty table gives an e
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -71,6 +81,14 @@ class Powers:
         return self.up[:n], self.down[:n]
 
 
+def _anchor_hashes(buf: np.ndarray):
+    """Hashes of the ANCHOR bytes from every position on, and the mixed words of the buffer."""
+    w = _words(buf)
+    mixed = mix64(w)
+    m = len(buf) - ANCHOR + 1
+    return mix64(w[:m] * U64(0xD6E8FEB86659FD93) + mixed[8:m + 8] + w[12:m + 12] * U64(0xA0761D6478BD642F)), mixed
+
+
 def cells(raws: list[bytes], least: int, powers: Powers | None):
     """Arrays (document number in the list, start in the document, windows, anchor hash, content
     hash) of the cells of some texts; without ``powers`` the content hashes are left out (0)."""
@@ -81,10 +99,8 @@ def cells(raws: list[bytes], least: int, powers: Powers | None):
     none = np.zeros(0, np.int64)
     if n < least:
         return none, none, none, none, none
-    w = _words(buf)
-    mixed = mix64(w)
-    m = n - ANCHOR + 1
-    h = mix64(w[:m] * U64(0xD6E8FEB86659FD93) + mixed[8:m + 8] + w[12:m + 12] * U64(0xA0761D6478BD642F))
+    h, mixed = _anchor_hashes(buf)
+    m = len(h)
     key = ((h >> U64(_IDX)) << U64(_IDX)) | np.arange(m, dtype=U64)
     width = least - ANCHOR + 1
     low, span = key, 1
@@ -284,11 +300,12 @@ def repeats(docs: DataFrame, least: int = 100, text: str = "text", key: str = "d
 
     - ``group``: a maximal repeat group: its length and the places low..high of its chunk's array
     - ``place``: place low of the array stands for (doc, start)
-    - ``copy``: a cell of length bytes at (doc, start) equal to the one at (low = doc, high = start)
+    - ``copy``: a cell of length bytes at (doc, start) equal to the one at (low = doc, high = start);
+      copies complete the groups, as the module says
     - ``span``: bytes covered by an occurrence that is not its group's first
 
     With ``groups`` false only the spans are written. Groups reach at most to the end of their cell
-    (``least`` + 80 bytes or fewer); a longer repeat is a chain of overlapping groups.
+    (``least`` + 80 bytes or fewer, less in a split anchor); a longer repeat is a chain of overlapping groups.
     """
     docs = docs.select(_document(key, text).alias("doc"), F.col(text).alias("text"))
     found = _find_cells(docs, least)
@@ -322,6 +339,9 @@ def repeats(docs: DataFrame, least: int = 100, text: str = "text", key: str = "d
     gathered = _with_bytes(with_need, cut, "h long, frequent boolean, doc long, start long, bytes binary", ["hs", "ats"])
     schema = "kind string, chunk long, doc long, start long, length long, low long, high long"
     common = gathered.where("not frequent").select("h", "doc", "start", "bytes")
+    if several.where(F.col("m") > hot).limit(1).count():
+        parts, equal = _split_anchors(gathered.where("frequent").select("h", "doc", "start", "bytes"), least, hot)
+        common, copies = common.unionByName(parts), copies.unionByName(equal)
     grouped = common.repartition("h").sortWithinPartitions("h", "doc", "start")
 
     def scan(batches):
@@ -338,10 +358,6 @@ def repeats(docs: DataFrame, least: int = 100, text: str = "text", key: str = "d
                 dict.fromkeys(["doc", "start", "length", "low", "high"], "Int64"))
 
     out = grouped.mapInPandas(scan, schema)
-    if several.where(F.col("m") > hot).limit(1).count():
-        out = out.unionByName(_hot_spans(gathered.where("frequent"), least).selectExpr(
-            "'span' as kind", "cast(null as bigint) as chunk", "doc", "start", f"cast({least} as bigint) as length",
-            "cast(null as bigint) as low", "cast(null as bigint) as high"))
     none = F.lit(None).cast("long")
     if groups:
         out = out.unionByName(copies.select(F.lit("copy").alias("kind"), none.alias("chunk"), "doc", "start", "length", "low", "high"))
@@ -375,21 +391,52 @@ def _chunks(batches, chunk_bytes: int):
         yield pd.concat(held, ignore_index=True)
 
 
-def _hot_spans(rows: DataFrame, least: int) -> DataFrame:
-    """(doc, start) of every window that also starts earlier, by 128-bit window hashes."""
-    def run(batches):
+def _anchor_offsets(blocks: list[bytes], least: int) -> np.ndarray:
+    """Where each cell's anchor stands: the first of the lowest keys in its first window."""
+    sizes = np.array([len(b) for b in blocks], np.int64)
+    h, _ = _anchor_hashes(np.frombuffer(b"".join(blocks), np.uint8))
+    inside = (np.cumsum(sizes) - sizes)[:, None] + np.arange(least - ANCHOR + 1)
+    return (h >> U64(_IDX))[inside].argmin(1)
+
+
+def _split_anchors(rows: DataFrame, least: int, hot: int) -> tuple[DataFrame, DataFrame]:
+    """(cells, copies) of the parts of some anchors' cells. The cells (h, doc, start, bytes) differ
+    within their part, named h, and are at most ``hot`` there; copies as in ``repeats``."""
+    def halves(batches):
         for batch in batches:
-            out = []
-            for d, s, b in zip(*(batch.column(c).to_pylist() for c in ("doc", "start", "bytes")), strict=True):
-                for i in range(len(b) - least + 1):
-                    x = hashlib.blake2b(b[i:i + least], digest_size=16).digest()
-                    out.append((x, d, s + i))
-            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(
-                (pa.binary(), pa.int64(), pa.int64()))], names=["x", "doc", "start"])
-
-    windows = written(rows.select("doc", "start", "bytes").mapInArrow(run, "x binary, doc long, start long"), "hot-windows")
-    first = windows.groupBy("x").agg(F.min(F.struct("doc", "start")).alias("f"), F.count("*").alias("n")).where("n > 1")
-    return windows.join(first, "x").where("doc <> f.doc or start <> f.start").select("doc", "start")
+            if not batch.num_rows:
+                continue
+            out = [[] for _ in range(6)]
+            names = ("h", "doc", "start", "bytes", "x", "y")
+            columns = [batch.column(c).to_pylist() for c in names]
+            for h, doc, start, b, low, high, p in zip(*columns, _anchor_offsets(columns[3], least).tolist(), strict=True):
+                middle = (low + high) // 2
+                for x, y in ((low, middle), (middle + 1, high)):
+                    i, j = max(0, p - y), min(len(b) - least, p - x)      # windows x to y bytes before the anchor
+                    if i <= j:
+                        part = hashlib.blake2b(b"%d %d %d " % (h, x, y) + b[p - x:p - y + least], digest_size=6).digest()
+                        for o, v in zip(out, (int.from_bytes(part, "little"), doc, start + i,
+                                              b[i:j + least], x, y), strict=True):
+                            o.append(v)
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, types, strict=True)], names=list(names))
+
+    rows = rows.select("*", F.lit(0).alias("x"), F.lit(least - ANCHOR).alias("y"))
+    done, copies, part = [], [], ["h", "x", "y"]
+    while True:
+        pieces = written(rows.mapInArrow(halves, "h long, doc long, start long, bytes binary, x int, y int"), "hot-pieces")
+        classes = written(pieces.groupBy(*part, "bytes").agg(F.min(F.struct("doc", "start")).alias("first")), "hot-classes")
+        copies.append(pieces.join(classes, [*part, "bytes"]).where("doc <> first.doc or start <> first.start")
+                      .select("doc", "start", F.octet_length("bytes").cast("long").alias("length"),
+                              F.col("first.doc").alias("low"), F.col("first.start").alias("high")))
+        many = classes.groupBy(*part).agg(F.count("*").alias("m")).where("m > 1")
+        sized = written(classes.join(many, part).select("h", F.col("first.doc").alias("doc"), F.col("first.start").alias("start"),
+                                                        "bytes", "x", "y", "m"), "hot-parts")
+        large = (F.col("m") > hot) & (F.col("x") < F.col("y"))
+        done.append(sized.where(~large).select("h", "doc", "start", "bytes"))
+        rows = sized.where(large).drop("m")
+        if rows.isEmpty():
+            return functools.reduce(DataFrame.unionByName, done), functools.reduce(DataFrame.unionByName, copies)
 
 
 def without_repeats(docs: DataFrame, spans: DataFrame, text: str = "text", key: str = "doc_id",

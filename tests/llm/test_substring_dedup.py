@@ -77,3 +77,50 @@ def test_edges(edges, nothing):
     assert got[6][0][0] - got[6][0][1] == 3                      # LONG + 'end': all but the end starts earlier
     assert len(got[1]) == 2 and len(got[None]) == 2
     assert R.without_repeats(nothing, R.repeats(nothing)).count() == 0
+
+
+@pytest.mark.parametrize("hot", [2, 100_000])
+def test_groups_completed_by_copies_hold_all_occurrences(spark, hot):
+    """Of every repeated window, in split anchors and in exact copies of a document too."""
+    rnd = random.Random(5)
+    passage, whole = ("".join(rnd.choices("abcdefgh ", k=n)) for n in (130, 500))
+    rows = texts(3, 20) + [(300 + i, f"{''.join(rnd.choices('xyz', k=40))}{passage}{''.join(rnd.choices('xyz', k=40))}")
+                           for i in range(12)] + [(400 + i, whole) for i in range(3)]
+    every = {}
+    for d, t in rows:
+        b = t.encode()
+        for i in range(len(b) - 99):
+            every.setdefault(b[i:i + 100], set()).add((d, i))
+    every = {w: at for w, at in every.items() if len(at) > 1}
+    raw = {d: t.encode() for d, t in rows}
+    out = R.repeats(documents(spark, rows), hot=hot).toPandas()
+    assert not out[out.kind == "place"].duplicated(["chunk", "low"]).any()
+    copies, places, found = {}, {}, {}
+    for c in out[out.kind == "copy"].itertuples():
+        for o in range(int(c.length) - 99):
+            copies.setdefault((c.low, c.high + o), set()).add((c.doc, c.start + o))
+    for r in out[out.kind == "place"].itertuples():
+        places[r.chunk, r.low] = r.doc, r.start
+
+    def completed(at):
+        at = new = set(at)
+        while new:
+            new = {y for x in new for y in copies.get(x, ())} - at
+            at = at | new
+        return at
+
+    for g in out[out.kind == "group"].itertuples():
+        at = [places[g.chunk, k] for k in range(int(g.low), int(g.high) + 1)]
+        for o in range(int(g.length) - 99):
+            d, i = at[0][0], int(at[0][1]) + o
+            found.setdefault(raw[d][i:i + 100], []).append(completed((x, y + o) for x, y in at))
+    in_passage = {passage.encode()[i:i + 100] for i in range(31)}
+    assert in_passage <= every.keys()
+    for w, at in every.items():
+        if w in found:
+            assert at in found[w] and all(f <= at for f in found[w])
+        else:                                                    # only in copies of one cell
+            assert completed([min(at)]) == at
+    if hot > 2:
+        assert in_passage <= found.keys()                        # in different cells or their common part
+    assert found.keys() & every.keys()
