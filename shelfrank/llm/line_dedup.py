@@ -170,13 +170,17 @@ def removed_lines(docs: DataFrame, percent: int = 80, text: str = "text", key: s
         the similarity."""
         return fits(x, y) & ((100 + percent) * (F.least(x["rest"], y["rest"]) + SHARED - 1) >= percent * (x["n"] + y["n"]))
 
+    def earlier(y) -> Column:
+        """A possible match of x in another set: two words of one set can have the same cut code."""
+        return (y["at"] < F.col("x.at")) & possible(F.col("x"), y)
+
     framed = posting.select("code", parts.alias("x"), F.row_number().over(order).alias("i"),
                             F.first(parts).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("lead"),
                             F.collect_list(parts).over(order.rowsBetween(-near, -1)).alias("ys"))
     found = written(framed.where("i > 1").select(
-        F.col("x.at").alias("at"), "code", F.when(F.col("i") > near + 1, F.col("x")).alias("far"),
-        F.when(possible(F.col("x"), F.col("lead")), F.col("lead.at")).alias("lead"),
-        F.transform(F.filter("ys", lambda y: possible(F.col("x"), y)), lambda y: y["at"]).alias("at2s"))
+        F.col("x.at").alias("at"), "code", F.col("x.rest").alias("rest"), F.when(F.col("i") > near + 1, F.col("x")).alias("far"),
+        F.when(earlier(F.col("lead")), F.col("lead.at")).alias("lead"),
+        F.transform(F.filter("ys", earlier), lambda y: y["at"]).alias("at2s"))
         .where("size(at2s) > 0 or lead is not null or far is not null"), "line-near")
 
     # round 1: every set against the earliest one under each of its prefix words
@@ -185,14 +189,14 @@ def removed_lines(docs: DataFrame, percent: int = 80, text: str = "text", key: s
 
     # round 2: the sets that have no match yet against all earlier sets; the ``near`` ones before
     # under each word, and by a join the sets further back under frequent words
-    rest = written(found.join(matched, "at", "left_anti").select("at", "code", "far", "at2s"), "line-open")
-    second = rest.select("code", "at", F.explode("at2s").alias("at2"))
+    rest = written(found.join(matched, "at", "left_anti").select("at", "code", "rest", "far", "at2s"), "line-open")
+    second = rest.select("code", "rest", "at", F.explode("at2s").alias("at2"))   # rest: the posting, if codes coincide
     frequent = written(rest.where("far is not null").select("code").distinct(), "line-frequent")
     if not frequent.isEmpty():
         back = posting.join(_few(frequent), "code").select("code", parts.alias("y"))
         late = rest.where("far is not null").select("code", F.col("far").alias("x"))
         second = second.union(late.join(back, "code").where(
-            F.expr("y.at < x.at") & possible(F.col("x"), F.col("y"))).select("code", "x.at", "y.at")).distinct()
+            F.expr("y.at < x.at") & possible(F.col("x"), F.col("y"))).select("code", "x.rest", "x.at", "y.at")).distinct()
     second = second.groupBy("at", "at2").agg(F.count("*").alias("c")).where(F.col("c") >= SHARED).select("at", "at2")
     matched = matched.union(_verified(second, docs, classes, percent, text, places).select("at")).distinct()
 

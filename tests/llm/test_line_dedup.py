@@ -77,3 +77,13 @@ def test_remaining_text_and_edges(spark, edges, nothing):
     got = [r.text for r in L.without_repeated_lines(documents(spark, rows)).collect()]
     assert sum("a b c d" in t for t in got) == 1 and sum("x y z" in t for t in got) == 1
     assert sum("other line" in t for t in got) == 1 and sum("p q r" in t for t in got) == 1
+
+
+@pytest.mark.parametrize("near", [64, 2])
+def test_colliding_prefix_codes_change_nothing(spark, monkeypatch, near):
+    """All prefix words cut to one code: no line matches itself, no similar pair is lost."""
+    codes = L.codes
+    monkeypatch.setattr(L, "codes", lambda line, classes: L.F.sort_array(L.F.transform(
+        codes(line, classes), lambda c: L.F.shiftleft(L.F.shiftright(c, 31), 31))))
+    rows = near_lines()
+    assert removed(documents(spark, rows), near=near) == brute(rows, 80)
