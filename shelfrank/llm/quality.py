@@ -172,7 +172,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows:
     statistics come to the driver, about 3 MB)."""
     sample = labelled(labels, label, max_rows, key)
     rows = with_statistics(docs.select(key, text).join(F.broadcast(sample), key), text).drop(key)
-    got = rows.groupBy("_y", "features").agg(F.count("*").alias("n")).orderBy("_y", "features").limit(max_rows).collect()
+    # the bound does not depend on the label: rows with the lowest hashes stay
+    got = rows.groupBy("_y", "features").agg(F.count("*").alias("n")).orderBy(
+        F.xxhash64("features"), "features", "_y").limit(max_rows).collect()
+    got.sort(key=lambda r: (r["_y"], r["features"]))
     x = np.array([r["features"] for r in got], float).reshape(len(got), len(FEATURES))
     y = np.array([r["_y"] for r in got], float)
     return BoostedTrees(**params).fit(x, y)

@@ -45,3 +45,14 @@ def test_edges(spark, edges, nothing):
     assert Q.score(nothing, Q.train(nothing, labels)).count() == 0
     none = Q.train(edges, labels.limit(0))
     assert {r.score for r in Q.score(edges, none).select("score").collect()} == {0.5}
+
+
+def test_bound_of_training_rows_does_not_depend_on_the_label(spark, monkeypatch):
+    kept = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5]
+    docs = spark.createDataFrame([(kept[0], "bad words " * (i + 1)) for i in range(60)]
+                                 + [(i, "A good sentence. " * (k + 1)) for k, i in enumerate(kept[1:31])], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i != kept[0])) for i in kept[:31]], "doc_id long, quality int")
+    seen = {}
+    monkeypatch.setattr(Q.BoostedTrees, "fit", lambda self, x, y: seen.update(y=y) or self)
+    Q.train(docs, labels, max_rows=40)
+    assert len(seen["y"]) == 40 and 5 <= seen["y"].sum() <= 25
