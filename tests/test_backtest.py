@@ -3,7 +3,7 @@ from shelfrank.models.popularity import PopularityRecommender, walk_forward_recs
 from shelfrank.operators import evaluate as ev
 from shelfrank.sources import roles
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_vectorised_backtest_equals_loop(spark):

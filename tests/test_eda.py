@@ -5,7 +5,7 @@ import pandas as pd
 from shelfrank.operators import eda
 from shelfrank.sources import roles
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_constant_column_histogram_uses_unit_range(spark):

@@ -8,7 +8,7 @@ from shelfrank.models.baselines import RandomRecommender
 from shelfrank.models.popularity import PopularityRecommender
 from shelfrank.sources import roles
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _brute_topk(scores: pd.DataFrame, users, seen: set, k: int):

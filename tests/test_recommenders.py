@@ -6,7 +6,7 @@ from shelfrank.models.linear import LinearRecommender
 from shelfrank.models.trees import TreeRecommender
 from shelfrank.sources import roles
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 MODELS = {"lr": lambda: LinearRecommender("lr", "l2", max_iter=20), "svm": lambda: LinearRecommender("svm", max_iter=5),
           "trees": lambda: TreeRecommender("gbt", gbt_trees=2), "content": lambda: ContentBasedRecommender(0.0),

@@ -7,7 +7,7 @@ from shelfrank.operators import evaluate as ev
 from shelfrank.operators.scoring import block_topk, sigmoid_dot_price
 from shelfrank.sources import roles
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_small_blocks_equal_large_ones_and_brute_force(spark):
