@@ -1,12 +1,5 @@
-import os
-import sys
-
 import pytest
-
-HERE = os.path.dirname(os.path.abspath(__file__))
-sys.path[:0] = [HERE, os.path.dirname(os.path.dirname(HERE))]
-
-from edge_data import EXTRA, documents  # noqa: E402
+from edge_data import EXTRA, documents
 
 
 @pytest.fixture(scope="session")
