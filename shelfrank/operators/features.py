@@ -24,11 +24,14 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-USER_CATS = ["segment"]
-USER_NUMS = ["user_attr_0", "user_attr_1"]
-ITEM_CATS = ["category", "brand"]
-ITEM_NUMS = ["item_attr_0"]
+
+def columns_of(df: DataFrame, without) -> tuple[list[str], list[str]]:
+    """(string columns, numeric columns) of a feature table but for ``without``, in its order."""
+    fields = [f for f in df.schema.fields if f.name not in without]
+    return ([f.name for f in fields if isinstance(f.dataType, T.StringType)],
+            [f.name for f in fields if isinstance(f.dataType, (T.NumericType, T.BooleanType))])
 
 
 def onehot_pipeline(cols):
@@ -54,19 +57,28 @@ def onehot_slots(model, df: DataFrame, cols) -> DataFrame:
 
 @dataclass
 class FeatureSpace:
+    """Fitted encoders of two feature tables. All their string columns are one-hot encoded and all
+    numeric ones are numbers, whatever their names; ``price`` is standardised."""
+
     user_model: object
     item_model: object
     price_mean: float
     price_std: float
+    user_cats: list
+    user_nums: list
+    item_cats: list
+    item_nums: list
 
     @staticmethod
     def fit(users: DataFrame, items: DataFrame, train_log: DataFrame | None = None) -> "FeatureSpace":
-        um = onehot_pipeline(USER_CATS).fit(users)
-        im = onehot_pipeline(ITEM_CATS).fit(items)
+        user_cats, user_nums = columns_of(users, ["user_idx"])
+        item_cats, item_nums = columns_of(items, ["item_idx", "price"])
+        um = onehot_pipeline(user_cats).fit(users)
+        im = onehot_pipeline(item_cats).fit(items)
         src = items if train_log is None else train_log.join(items.select("item_idx", "price"), "item_idx")
         st = src.agg(F.avg("price").alias("m"), F.stddev_pop("price").alias("s")).first()
         std = st["s"] if st["s"] else 1.0   # constant price: scale by 1 (as sklearn)
-        return FeatureSpace(um, im, float(st["m"]), float(std))
+        return FeatureSpace(um, im, float(st["m"] or 0.0), float(std), user_cats, user_nums, item_cats, item_nums)
 
     def scaled_price(self, col="price"):
         return (F.col(col) - F.lit(self.price_mean)) / F.lit(self.price_std)
@@ -74,18 +86,37 @@ class FeatureSpace:
     def user_vectors(self, users: DataFrame) -> DataFrame:
         """(user_idx, uvec array<double>) = one-hot(segment) ++ numeric attributes."""
         t = self.user_model.transform(users)
-        parts = [vector_to_array(F.col(f"{c}_oh")) for c in USER_CATS] + \
-                [F.array(*[F.col(c).cast("double") for c in USER_NUMS])]
+        parts = [vector_to_array(F.col(f"{c}_oh")) for c in self.user_cats] + \
+                [F.array(*[F.col(c).cast("double") for c in self.user_nums]).cast("array<double>")]
         return t.select("user_idx", F.concat(*parts).alias("uvec"))
 
     def item_vectors(self, items: DataFrame) -> DataFrame:
         """(item_idx, ivec, price, scaled_price); ivec = one-hots ++ attributes ++ scaled price."""
         t = self.item_model.transform(items)
-        parts = [vector_to_array(F.col(f"{c}_oh")) for c in ITEM_CATS] + \
-                [F.array(*[F.col(c).cast("double") for c in ITEM_NUMS] + [self.scaled_price()])]
+        parts = [vector_to_array(F.col(f"{c}_oh")) for c in self.item_cats] + \
+                [F.array(*[F.col(c).cast("double") for c in self.item_nums] + [self.scaled_price()])]
         return t.select("item_idx", F.concat(*parts).alias("ivec"), "price",
                         self.scaled_price().alias("scaled_price"))
 
+    def user_parts(self, users: DataFrame) -> DataFrame:
+        """(user_idx, numbers array<double>, levels array<int>): the same features without one-hot
+        vectors; a level is its index, -1 if it is null or unknown."""
+        t = self.user_model.transform(users)
+        return t.select("user_idx", F.array(*[F.col(c).cast("double") for c in self.user_nums]).cast("array<double>").alias("numbers"),
+                        self._levels(self.user_model, self.user_cats))
+
+    def item_parts(self, items: DataFrame) -> DataFrame:
+        """(item_idx, numbers array<double> with the standardised price last, levels array<int>)."""
+        t = self.item_model.transform(items)
+        return t.select("item_idx", F.array(*[F.col(c).cast("double") for c in self.item_nums] + [self.scaled_price()]).alias("numbers"),
+                        self._levels(self.item_model, self.item_cats))
+
+    @staticmethod
+    def _levels(model, cats):
+        known = [len(s.labels) for s in model.stages if hasattr(s, "labels")]
+        return F.array(*[F.when(F.col(f"{c}_ix") < n, F.col(f"{c}_ix")).otherwise(-1).cast("int")
+                         for c, n in zip(cats, known, strict=True)]).cast("array<int>").alias("levels")
+
     def training_frame(self, log: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
         """J1 + P1/P2/P4: log joined to both sides (inner), pair vector, label."""
         u = self.user_vectors(users)

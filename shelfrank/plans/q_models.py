@@ -72,6 +72,7 @@ def m04_knn_vectors(spark, sf):
 # ---------------------------------------------------------------- content models on the log roles
 from shelfrank.models.baselines import ContentBasedRecommender, RandomRecommender  # noqa: E402
 from shelfrank.models.linear import LR_VARIANTS, LinearRecommender  # noqa: E402
+from shelfrank.models.neighbors import KnnRecommender  # noqa: E402
 from shelfrank.models.trees import TreeRecommender  # noqa: E402
 from shelfrank.plans.registry import with_roles  # noqa: E402
 
@@ -97,6 +98,53 @@ def m12_svm(spark, sf):
     return m.predict(r.log, K, r.users, r.items)
 
 
+def _knn_sql(weight: str) -> str:
+    """Brute force over all pairs, but for one proven bound: a pair's three nearest rows lie within the third
+    nearest of the user's own rows, so only users that near are joined."""
+    return with_roles(f"""
+SELECT user_idx, item_idx, round(score, 6) AS relevance, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_idx ORDER BY score DESC, item_idx) AS rank FROM (
+    SELECT user_idx, item_idx, sum(hit) / 3.0 * any_value(w) AS score FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_idx, item_idx ORDER BY d, tie) AS r FROM cand) WHERE r <= 3
+    GROUP BY user_idx, item_idx)) WHERE rank <= {K}""", f"""
+lg AS (SELECT l.*, i.category, i.brand, i.item_attr_0, i.price FROM log l JOIN items i USING (item_idx)),
+st AS (SELECT avg(price) AS m, stddev_pop(price) AS s FROM lg),
+pt AS (SELECT user_idx AS u2, category, brand, item_attr_0, (price - m) / s AS sp, CAST(relevance > 0 AS INTEGER) AS hit,
+         row_number() OVER (ORDER BY ts, l_orderkey, l_linenumber) AS tie FROM lg, st),
+it AS (SELECT i.*, (i.price - m) / s AS sp FROM items i, st),
+q AS (SELECT u.user_idx, i.*, {weight} AS w FROM users u CROSS JOIN it i
+      WHERE NOT EXISTS (SELECT 1 FROM log l WHERE l.user_idx = u.user_idx AND l.item_idx = i.item_idx)),
+own AS (SELECT user_idx, item_idx, CASE WHEN count(*) >= 3 THEN list_sort(list(d))[3] ELSE 1e300 END AS r FROM (
+          SELECT q.user_idx, q.item_idx, round(pow(q.item_attr_0 - p.item_attr_0, 2) + pow(q.sp - p.sp, 2)
+            + CASE WHEN q.category = p.category THEN 0 ELSE 2 END + CASE WHEN q.brand = p.brand THEN 0 ELSE 2 END, 9) AS d
+          FROM q JOIN pt p ON p.u2 = q.user_idx) GROUP BY user_idx, item_idx),
+far AS (SELECT user_idx, max(coalesce(r, 1e300)) AS r FROM q LEFT JOIN own USING (user_idx, item_idx) GROUP BY user_idx),
+near AS (SELECT a.user_idx, b.user_idx AS u2, pow(a.user_attr_0 - b.user_attr_0, 2) + pow(a.user_attr_1 - b.user_attr_1, 2) AS d0,
+           CASE WHEN a.segment = b.segment THEN 0 ELSE 2 END AS d1
+         FROM users a JOIN far USING (user_idx) JOIN users b
+           ON pow(a.user_attr_0 - b.user_attr_0, 2) + pow(a.user_attr_1 - b.user_attr_1, 2) <= far.r + 1e-6),
+cand AS (SELECT * FROM (
+           SELECT q.user_idx, q.item_idx, q.w, p.tie, p.hit, coalesce(o.r, 1e300) AS lim,
+             round(n.d0 + (q.item_attr_0 - p.item_attr_0) * (q.item_attr_0 - p.item_attr_0) + (q.sp - p.sp) * (q.sp - p.sp) + n.d1
+               + CASE WHEN q.category = p.category THEN 0 ELSE 2 END + CASE WHEN q.brand = p.brand THEN 0 ELSE 2 END, 9) AS d
+           FROM q JOIN near n USING (user_idx) JOIN pt p ON p.u2 = n.u2 LEFT JOIN own o ON o.user_idx = q.user_idx AND o.item_idx = q.item_idx)
+         WHERE d <= lim)""")
+
+
+@query("m04_knn_topk", _knn_sql("i.price"))
+def m04_knn(spark, sf):
+    """M4 on the log (k = 3, mixed features), R3: probability x price, seen removed, top 5."""
+    r = roles.load(spark, sf)
+    return KnnRecommender(3).fit(r.log, r.users, r.items).predict(r.log, K, r.users, r.items)
+
+
+@query("m04_knn_scaled_price_topk", _knn_sql("i.sp"))
+def m04_knn_scaled(spark, sf):
+    """M4 under R2: probability x standardised price."""
+    r = roles.load(spark, sf)
+    return KnnRecommender(3, strategy="scaled_price").fit(r.log, r.users, r.items).predict(r.log, K, r.users, r.items)
+
+
 @query("m02_random_forest_topk")
 def m02_rf(spark, sf):
     """M2: random forest chosen by seeded randomized search (10 draws, 3 hash folds, accuracy), R3."""

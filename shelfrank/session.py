@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -54,6 +55,13 @@ def data_partitions(n_rows: int, rows_per_partition: int) -> int:
     return max(1, -(-int(n_rows) // rows_per_partition))
 
 
+def stored(df):
+    """Cut lineage: ``df`` as Parquet in the shared checkpoint folder, written once and read from there."""
+    path = f"{checkpoint_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df):
     """Cut lineage: write ``df`` to the shared checkpoint folder and read it from there.
 
