@@ -147,7 +147,7 @@ def m04_knn_scaled(spark, sf):
 
 @query("m02_random_forest_topk")
 def m02_rf(spark, sf):
-    """M2: random forest chosen by seeded randomized search (10 draws, 3 hash folds, accuracy), R3."""
+    """M2: random forest chosen by seeded randomized search (10 draws, 3 stratified folds, accuracy), R3."""
     r = roles.load(spark, sf)
     m = TreeRecommender("rf").fit(r.log, r.users, r.items)
     return m.predict(r.log, K, r.users, r.items)
@@ -155,7 +155,7 @@ def m02_rf(spark, sf):
 
 @query("m03_gradient_boosting_topk")
 def m03_gbt(spark, sf):
-    """M3: gradient-boosted trees (step 0.1, depth 10, 1000 rounds), R3."""
+    """M3: second-order boosted trees (step 0.1, depth 10, 1000 rounds, alpha 0.1, lambda 5), R3."""
     r = roles.load(spark, sf)
     m = TreeRecommender("gbt").fit(r.log, r.users, r.items)
     return m.predict(r.log, K, r.users, r.items)
@@ -220,6 +220,17 @@ def u07_folds(spark, sf):
     return fold_column(j, 3, 42, ["user_idx", "item_idx"]).groupBy("relevance", "fold").count()
 
 
+@query("u07_stratified_folds", with_roles("""
+SELECT relevance, CAST(f AS INTEGER) AS fold, CAST(n // 3 + CASE WHEN n % 3 > f THEN 1 ELSE 0 END AS BIGINT) AS n
+FROM (SELECT relevance, count(*) AS n FROM log GROUP BY relevance), (SELECT unnest([0, 1, 2]) AS f)"""))
+def u07_stratified(spark, sf):
+    """Three folds of the training rows, each with the same share of either label to one row."""
+    from shelfrank.models.trees import stratified_folds
+    rows = roles.log(spark, sf)
+    return stratified_folds(rows, "relevance", 3, 42, ["user_idx", "item_idx", "l_orderkey", "l_linenumber"]).groupBy(
+        "relevance", "fold").agg(F.count("*").alias("n"))
+
+
 @query("u07_fold_invariants", with_roles("SELECT count(*) AS n, 3 AS folds, true AS balanced FROM log"))
 def u07_invariants(spark, sf):
     """Every training row is in one of three folds, each with a third of either label within four

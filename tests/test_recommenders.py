@@ -45,4 +45,5 @@ def test_registered_tree_queries_run_the_reference_search(spark, monkeypatch):
     q_models.m03_gbt(spark, SF_SMALL)
     rf = made["rf"]
     assert (rf.n_draws, rf.n_folds, made["gbt"].gbt_trees) == (10, 3, 1000)
-    assert rf.space == {"num_trees": (100, 300), "max_depth": (5, 30), "min_leaf": (1, 10), "features": ["sqrt", "log2", "all"]}
+    assert rf.space == {"num_trees": (100, 300), "max_depth": (5, 30), "min_split": (2, 20), "min_leaf": (1, 10),
+                        "features": ["sqrt", "log2", "all"]}
