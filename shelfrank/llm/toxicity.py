@@ -347,13 +347,12 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", name: str =
     """``docs`` (with its text only if ``keep_text``) with the column ``name`` (a column of that name is replaced)."""
     keep = [c for c in docs.columns if c != name and (keep_text or c != text)]
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(name, T.DoubleType())])
-    shared = docs.sparkSession.sparkContext.broadcast(model)      # about 5 MB, whatever the corpus
 
     def run(batches):
         for batch in batches:
             for at, texts in text_slices(batch, text, 1_000_000):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).slice(at, len(texts)) for c in keep] + [pa.array(shared.value.score(texts), pa.float64())],
+                    [batch.column(c).slice(at, len(texts)) for c in keep] + [pa.array(model.score(texts), pa.float64())],
                     names=keep + [name])
 
     return docs.select(*keep, *([] if keep_text else [text])).mapInArrow(run, schema)
