@@ -3,7 +3,11 @@
 The product is never materialised as rows, and one algorithm serves every size: queries and targets
 are packed into blocks (one row each: ids and a matrix), every (query block, target block) is one
 task's matrix product, and of it each query keeps only its best rows. A pair's task holds two
-blocks; nothing is broadcast and nothing goes through the driver but two counts.
+blocks, dealt to the grid of pairs by one cogroup; nothing is broadcast and nothing goes through the
+driver but two counts.
+
+``softmax_topk`` (F3) adds each block's (maximum, sum of exponentials) per query; they merge into the
+softmax denominator over all targets, so probabilities hold before any target is filtered.
 
 Each query emits at most ``k + m`` candidates per target block (``m`` = its number of excluded
 targets, so exclusion after scoring stays exact); the final top k is a windowed ``row_number`` with
@@ -21,8 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfrank.functions.ranks import top_k
+from shelfrank.session import stored
 
-QUERY_ROWS, TARGET_ROWS = 512, 4096   # rows of a block
+QUERY_ROWS, TARGET_ROWS = 1024, 2048   # rows of a block
 
 
 def _select_top(S: np.ndarray, tids: np.ndarray, m: np.ndarray):
@@ -83,16 +88,13 @@ def _pack(rows: DataFrame, n_rows: int, block_rows: int, name: str, extra: str)
         pack, f"{name} int, {name}_ids binary, {name}_vecs binary, {name}_{extra} binary"), blocks
 
 
-def block_topk(queries: DataFrame, q_id: str, q_vec: str, targets: DataFrame, t_id: str, t_vec: str,
-               k: int, score_fn: Callable, t_extra: str | None = None,
-               exclude: DataFrame | None = None, query_rows: int = QUERY_ROWS, target_rows: int = TARGET_ROWS,
-               batch_rows: int = 128) -> DataFrame:
-    """Top k targets per query by ``score_fn(Qbatch, T, extra) -> scores``.
-
-    ``exclude`` (q_id, t_id) pairs are removed exactly.  Returns
-    (q_id, t_id, score, rank).
-    """
+def _grid(queries: DataFrame, q_id: str, q_vec: str, targets: DataFrame, t_id: str, t_vec: str, k: int,
+          t_extra: str | None, exclude: DataFrame | None, query_rows: int, target_rows: int, score_block: Callable,
+          schema: str) -> tuple[DataFrame, DataFrame | None]:
+    """``score_block(query ids, Q, m, target ids, T, extra)`` of every pair of blocks, and the excluded
+    pairs (qid, tid); ``m`` is k + the query's number of excluded targets."""
     q = queries.select(F.col(q_id).cast("long").alias("id"), F.col(q_vec).cast("array<double>").alias("vec"))
+    ex = None
     if exclude is not None:
         ex = exclude.select(F.col(q_id).alias("qid"), F.col(t_id).alias("tid")).distinct()
         cnt = ex.groupBy(F.col("qid").alias("id")).agg(F.count(F.lit(1)).alias("m"))
@@ -104,22 +106,71 @@ def block_topk(queries: DataFrame, q_id: str, q_vec: str, targets: DataFrame, t_
     qb, n_qb = _pack(q, queries.count(), query_rows, "qb", "m")
     tb, n_tb = _pack(t, targets.count(), target_rows, "tb", "x")
     qb = qb.withColumn("tb", F.explode(F.sequence(F.lit(0), F.lit(n_tb - 1))))
+    tb = tb.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1))))
+    names = [c.split()[0] for c in schema.split(",")]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        r = pdf.iloc[0]
-        qids, tids = np.frombuffer(r.qb_ids, np.int64), np.frombuffer(r.tb_ids, np.int64)
-        Q = np.frombuffer(r.qb_vecs).reshape(len(qids), -1)
-        T_ = np.frombuffer(r.tb_vecs).reshape(len(tids), -1)
-        m = np.frombuffer(r.qb_m).astype(np.int64)
-        return pd.concat(_score_batches(qids, Q, m, tids, T_, np.frombuffer(r.tb_x), score_fn, batch_rows))
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({c: [] for c in names})
+        a, b = left.iloc[0], right.iloc[0]
+        qids, tids = np.frombuffer(a.qb_ids, np.int64), np.frombuffer(b.tb_ids, np.int64)
+        return score_block(qids, np.frombuffer(a.qb_vecs).reshape(len(qids), -1), np.frombuffer(a.qb_m).astype(np.int64),
+                           tids, np.frombuffer(b.tb_vecs).reshape(len(tids), -1), np.frombuffer(b.tb_x))
 
-    cand = qb.join(tb, "tb").groupBy("qb", "tb").applyInPandas(run, "qid long, tid long, score double")
-    if exclude is not None:
+    return qb.groupBy("qb", "tb").cogroup(tb.groupBy("qb", "tb")).applyInPandas(run, schema), ex
+
+
+def block_topk(queries: DataFrame, q_id: str, q_vec: str, targets: DataFrame, t_id: str, t_vec: str,
+               k: int, score_fn: Callable, t_extra: str | None = None,
+               exclude: DataFrame | None = None, query_rows: int = QUERY_ROWS, target_rows: int = TARGET_ROWS,
+               batch_rows: int = 128) -> DataFrame:
+    """Top k targets per query by ``score_fn(Qbatch, T, extra) -> scores``.
+
+    ``exclude`` (q_id, t_id) pairs are removed exactly.  Returns
+    (q_id, t_id, score, rank).
+    """
+    def best(qids, Q, m, tids, T, extra):
+        return pd.concat(_score_batches(qids, Q, m, tids, T, extra, score_fn, batch_rows))
+
+    cand, ex = _grid(queries, q_id, q_vec, targets, t_id, t_vec, k, t_extra, exclude, query_rows, target_rows, best,
+                     "qid long, tid long, score double")
+    if ex is not None:
         cand = cand.join(ex, ["qid", "tid"], "left_anti")
     best = top_k(cand, k, ["qid"], [F.col("score").desc(), F.col("tid").asc()])
     return best.select(F.col("qid").alias(q_id), F.col("tid").alias(t_id), "score", "rank")
 
 
+def softmax_topk(queries: DataFrame, q_id: str, q_vec: str, targets: DataFrame, t_id: str, t_vec: str, k: int,
+                 weight: str, exclude: DataFrame | None = None, query_rows: int = QUERY_ROWS,
+                 target_rows: int = TARGET_ROWS) -> DataFrame:
+    """top k by softmax(u . v over all targets) x ``weight``: (q_id, t_id, prob, score, rank).
+
+    ``exclude`` pairs are removed afterwards: they keep their share of the probability.
+    """
+    def best(qids, Q, m, tids, T, weights):
+        s = Q @ T.T
+        top = s.max(1)
+        e = np.exp(s - top[:, None])
+        r, c, _ = _select_top(e * weights[None, :], tids, m)      # one query's scores share the denominator
+        pairs = pd.DataFrame({"qid": qids[r], "tid": tids[c], "logit": s[r, c], "weight": weights[c]})
+        sums = pd.DataFrame({"qid": qids, "tid": pd.NA, "logit": top, "weight": e.sum(1)})
+        return pd.concat([pairs, sums])
+
+    found, ex = _grid(queries, q_id, q_vec, targets, t_id, t_vec, k, weight, exclude, query_rows, target_rows, best,
+                      "qid long, tid long, logit double, weight double")
+    found = stored(found)
+    parts = found.where("tid is null").select("qid", F.col("logit").alias("m"), F.col("weight").alias("z"))
+    whole = parts.join(parts.groupBy("qid").agg(F.max("m").alias("top")), "qid").groupBy("qid", "top").agg(
+        F.sum(F.col("z") * F.exp(F.col("m") - F.col("top"))).alias("total"))
+    cand = found.where("tid is not null")
+    if ex is not None:
+        cand = cand.join(ex, ["qid", "tid"], "left_anti")
+    prob = F.exp(F.col("logit") - F.col("top")) / F.col("total")
+    scored = cand.join(whole, "qid").select("qid", "tid", prob.alias("prob"), (prob * F.col("weight")).alias("score"))
+    best = top_k(scored, k, ["qid"], [F.col("score").desc(), F.col("tid").asc()])
+    return best.select(F.col("qid").alias(q_id), F.col("tid").alias(t_id), "prob", "score", "rank")
+
+
 # ------------------------------------------------------------------ score functions
 def sigmoid_dot_price(Q, T, extra):
     """sigmoid(u . v) * price."""

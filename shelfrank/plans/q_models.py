@@ -7,7 +7,7 @@ from pyspark.sql import Window
 
 from shelfrank.functions.exprs import DEFAULT_PRICE, r6
 from shelfrank.operators.sequences import training_windows
-from shelfrank.operators.scoring import block_topk, neg_sq_l2, sigmoid_dot_price
+from shelfrank.operators.scoring import block_topk, neg_sq_l2, sigmoid_dot_price, softmax_topk
 from shelfrank.plans.registry import query
 from shelfrank.sources import roles
 
@@ -39,6 +39,30 @@ def m11_embedding_topk(spark, sf):
     return top.select("user_idx", "item_idx", r6("score").alias("relevance"), F.col("rank").cast("int"))
 
 
+@query("f03_softmax_topk", f"""
+WITH {_EMB},
+it AS (SELECT e.vec_id AS item_idx, e.v, coalesce(CAST(p.p_retailprice AS DOUBLE), 1.0) AS price
+       FROM e LEFT JOIN part p ON p.p_partkey = e.vec_id),
+sc AS (SELECT u.vec_id AS user_idx, i.item_idx, i.price, list_dot_product(u.v, i.v) AS s FROM e u CROSS JOIN it i),
+mx AS (SELECT user_idx, max(s) AS m FROM sc GROUP BY user_idx),
+pr AS (SELECT user_idx, item_idx, price, exp(s - m) / sum(exp(s - m)) OVER (PARTITION BY user_idx) AS prob
+       FROM sc JOIN mx USING (user_idx))
+SELECT user_idx, item_idx, round(prob, 9) AS prob, round(prob * price, 6) AS relevance, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_idx ORDER BY prob * price DESC, item_idx) AS rank
+  FROM pr WHERE user_idx <> item_idx) WHERE rank <= {K}""")
+def f03_softmax(spark, sf):
+    """softmax over all items' logits u . v, the own item dropped afterwards, times price, top 5."""
+    emb = roles.table(spark, sf, "embeddings")
+    price = roles.items(spark, sf).select(F.col("item_idx").alias("vec_id"), "price")
+    items = emb.join(price, "vec_id", "left").select(
+        F.col("vec_id").alias("item_idx"), "embedding", F.coalesce("price", F.lit(DEFAULT_PRICE)).alias("price"))
+    users = emb.select(F.col("vec_id").alias("user_idx"), "embedding")
+    own = emb.select(F.col("vec_id").alias("user_idx"), F.col("vec_id").alias("item_idx"))
+    top = softmax_topk(users, "user_idx", "embedding", items, "item_idx", "embedding", K, "price", own)
+    return top.select("user_idx", "item_idx", F.round("prob", 9).alias("prob"), r6("score").alias("relevance"),
+                      F.col("rank").cast("int"))
+
+
 @query("m04_knn_vectors", f"""
 WITH {_EMB},
 d AS (SELECT a.vec_id AS qid, b.vec_id AS tid, b.label AS tl, list_distance(a.v, b.v) AS dist

@@ -1,10 +1,11 @@
 """The blocked scorer agrees with brute force; E1-E7 on a hand-made hits fixture."""
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from shelfrank.operators import evaluate as ev
-from shelfrank.operators.scoring import block_topk, sigmoid_dot_price
+from shelfrank.operators.scoring import block_topk, sigmoid_dot_price, softmax_topk
 from shelfrank.sources import roles
 
 from paths import SF_SMALL
@@ -62,3 +63,22 @@ def test_discounted_gain_of_tiny_relevances_and_deep_ranks(spark):
     assert abs(got - (0.00004 + 0.00003 * 0.85)) < 1e-15
     got = ev.discounted_gain(recs, k=10).first()[0]
     assert abs(got - (0.00004 + sum(0.00003 * 0.85 ** r for r in range(1, 10)))) < 1e-15
+
+
+def test_softmax_over_all_blocks_before_filtering(spark):
+    rng = np.random.default_rng(4)
+    u, v, w = rng.normal(size=(23, 5)) * 9, rng.normal(size=(57, 5)) * 9, rng.integers(-2, 9, 57).astype(float)
+    gone = {(int(a), int(b)) for a, b in zip(rng.integers(0, 23, 80), rng.integers(0, 57, 80), strict=True)}
+    q = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(u)], "u long, e array<double>")
+    t = spark.createDataFrame([(i, x.tolist(), float(w[i])) for i, x in enumerate(v)], "i long, e array<double>, w double")
+    ex = spark.createDataFrame(sorted(gone), "u long, i long")
+    got = {}
+    for r in softmax_topk(q, "u", "e", t, "i", "e", 4, "w", ex, query_rows=6, target_rows=10).collect():
+        got.setdefault(r.u, []).append((r["rank"], r.i, r.prob, r.score))
+    s = u @ v.T
+    p = np.exp(s - s.max(1, keepdims=True))
+    p /= p.sum(1, keepdims=True)
+    for a in range(23):
+        want = sorted((-p[a, i] * w[i], i) for i in range(57) if (a, i) not in gone)[:4]
+        assert [x[1] for x in sorted(got[a])] == [i for _, i in want]
+        assert [x[2] for x in sorted(got[a])] == pytest.approx([p[a, i] for _, i in want], rel=1e-9)
