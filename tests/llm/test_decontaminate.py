@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 
 from shelfrank.llm import decontaminate as D
@@ -37,26 +38,52 @@ def test_planted_passages(spark):
     assert got == [(1, 10), (2, 10), (5, 11), (5, 11)]
 
 
-def test_window_scores_equal_full_scores():
-    """Skipped blocks hold nothing above the threshold."""
-    import numpy as np
+def test_wand_finds_every_entry_above_its_threshold():
     rng = np.random.default_rng(2)
-    texts = [" ".join(f"t{x}" for x in rng.zipf(1.4, 40) % 300) for _ in range(100)]
+    texts = [" ".join(f"t{x}" for x in rng.zipf(1.4, rng.integers(1, 60)) % 300) + ". t1" for _ in range(150)]
     df = {}
     for t in texts:
-        for w in set(D.words_of(t)):
+        for w in set(D.entry_of(t)):
             df[w] = df.get(w, 0) + 1
-    index = D.Index(list(enumerate(texts)), len(texts), 40.0, df)
-    for k in range(0, 100, 9):
-        words = D.words_of(texts[k] + " " + texts[(k + 1) % 100])
-        scores = np.zeros(len(index.item_of))
-        for w in set(words):
-            t = index.terms.get(w)
-            if t is not None:
-                s = slice(index.start[t], index.start[t + 1])
-                scores[index.entry[s]] += index.impact[s]
-        want = {int(index.item_of[e]): s for e, s in enumerate(scores) if s >= 0.5}
-        assert len(words) <= D.WINDOW and index.candidates(words, 0.5) == pytest.approx(want)
+    index = D.Index([(i, t, 1) for i, t in enumerate(texts)], len(texts), 30.0, df)
+    hits = 0
+    for k in range(0, 150, 3):
+        words = set(D.words_of(" ".join(texts[k:k + 1 + k % 4]))) - {f"t{k % 9}"}
+        want = {}
+        for e in range(150):
+            score = sum(i[es.index(e)] for w, (es, i) in index.postings.items() if w in words and e in es)
+            if score >= index.need[e]:
+                want[e] = score
+        assert index.candidates(words) == pytest.approx(want)
+        hits += len(want)
+    assert hits > 100
+
+
+def test_words_lack_no_more_than_shingles():
+    """However a set of shingles is taken away, at most as many words lose all their shingles."""
+    rng = np.random.default_rng(0)
+    for _ in range(3000):
+        words = [f"w{x}" for x in rng.integers(0, rng.integers(2, 30), rng.integers(9, 30))]
+        every = sorted(D.shingles(words))
+        lacking = int(0.2 * len(every) + 1e-9)
+        first = int(rng.integers(0, len(words)))
+        near = sorted(every, key=lambda s: (words[first] not in s, words[-1] not in s, rng.random()))
+        for gone in (set(near[:lacking]), set(map(tuple, rng.permutation(every)[:lacking]))):
+            left = {w for s in every if s not in gone for w in s}
+            assert len(set(words) - left) <= len(gone)
+
+
+def test_question_and_answer_far_apart(spark):
+    """Both parts at 82 to 85 % of their shingles, with 400 words between."""
+    rng = np.random.default_rng(7)
+    docs, items = [], []
+    for i in range(60):
+        q, a = ([f"x{v}" for v in rng.integers(0, 4000, 30)] for _ in range(2))
+        items.append((i, " ".join(q) + ". " + " ".join(a) + "."))
+        filler = [f"x{v}" for v in rng.integers(0, 4000, 400)]
+        docs.append((i, " ".join(q[i % 5:i % 5 + 26] + filler + a[(i + 2) % 5:(i + 2) % 5 + 26])))
+    found = D.contaminated(documents(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == brute(docs, items) == {(i, i) for i in range(60)}
 
 
 def test_edges(spark, edges, nothing):
