@@ -36,7 +36,7 @@ from shelfrank.llm.common import table, text_slices
 from shelfrank.llm.registry import query
 
 WORD = re.compile(r"\w+")
-ENTRY_BLOCK = 16
+ENTRY_BLOCK = 4
 SLACK = 1e-9
 K1, B = 1.2, 0.75
 
