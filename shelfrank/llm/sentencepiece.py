@@ -7,7 +7,8 @@ becomes the marker U+2581 and a marker goes before the text; decoding reverses b
 
 No piece holds a marker behind another character (this is checked when the model is loaded), so a
 path over the whole text is the concatenation of the paths of its units (markers and the characters
-up to the next marker). Units repeat, so their paths are remembered in a bounded table.
+up to the next marker). Units repeat, so their paths are remembered in a bounded table; the new units
+of a batch of texts walk the trie together, one byte a step.
 
 Defined cases: null and empty texts have no ids and decode to the empty text; texts are encoded
 whole; U+2581 in a text is a space afterwards, as the marker is the space (``round_trip`` is false
@@ -34,6 +35,7 @@ MARKER = "▁"
 # fixed values: piece types of the model format
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0                               # below the lowest piece score
+SHORT, TOGETHER = 64, 4096                           # characters of a remembered unit; units that step together
 
 
 def _fields(raw: bytes):
@@ -178,6 +180,9 @@ class Encoder:
     def __init__(self, model: UnigramModel, remembered: int = 150_000):
         self.m, self.width = model, model.width
         self.base, self.check, self.value = model.trie.lists()
+        self.trie, self.scores = model.trie, np.array(model.scores, float)
+        lead = np.arange(256)
+        self.char_bytes = np.where(lead < 0x80, 1, np.where(lead < 0xE0, 2, np.where(lead < 0xF0, 3, 4)))
         self.units = re.compile(model.unit_pattern).findall
         # ids of units, with the marker before the key in ``marked``, as they stand in ``cache``
         self.limit, self.cache, self.marked = remembered, {}, {}
@@ -232,6 +237,99 @@ class Encoder:
             j = i
         return out[::-1]
 
+    def viterbi_all(self, units: list[str]) -> list[bytes]:
+        """``viterbi`` of many short units at once: from every position all units that reach it step
+        through the trie side by side."""
+        raws = [u.encode("utf-8") for u in units]
+        order = sorted(range(len(units)), key=lambda u: len(raws[u]))
+        out: list = [None] * len(units)
+        for s in range(0, len(order), TOGETHER):
+            chosen = order[s:s + TOGETHER]
+            longest = len(raws[chosen[-1]])
+            data = np.frombuffer(b"".join(raws[u].ljust(longest, b"\0") for u in chosen), np.uint8).reshape(len(chosen), longest)
+            ends = np.array([len(raws[u]) for u in chosen])
+            best = np.full((len(chosen), longest + 1), -np.inf)
+            best[:, 0] = 0.0
+            start, piece = np.zeros(best.shape, np.int32), np.full(best.shape, -1, np.int32)
+
+            def reach(rows, to, score, i, v, best=best, start=start, piece=piece):
+                better = score > best[rows, to]
+                rows, to = rows[better], to[better] if hasattr(to, "shape") else to
+                best[rows, to], start[rows, to], piece[rows, to] = score[better], i, v[better] if hasattr(v, "shape") else v
+
+            for i in range(longest):
+                rows = np.flatnonzero((i < ends) & (data[:, i] & 0xC0 != 0x80))
+                if not len(rows):
+                    continue
+                here, after = best[rows, i], i + self.char_bytes[data[rows, i]]
+                single = np.zeros(len(rows), bool)
+                live, node = np.arange(len(rows)), np.zeros(len(rows), np.int32)
+                for j in range(i, longest):
+                    r = rows[live]
+                    to = self.trie.base[node] + data[r, j] + 1
+                    on = (self.trie.check[to] == node) & (j < ends[r])
+                    live, node = live[on], to[on]
+                    if not len(live):
+                        break
+                    v = self.trie.value[node]
+                    hit = np.flatnonzero(v >= 0)
+                    if len(hit):
+                        at, v = live[hit], v[hit]
+                        reach(rows[at], j + 1, here[at] + self.scores[v], i, v)
+                        single[at[after[at] == j + 1]] = True
+                lack = np.flatnonzero(~single)
+                if len(lack):
+                    reach(rows[lack], after[lack], here[lack] + self.m.unknown_score, i, -1)
+            # back from the ends: every piece's id at its last byte, byte pieces at their own bytes
+            ids = np.full(best.shape, -1, np.int32)
+            rows, j = np.flatnonzero(ends > 0), ends[ends > 0]
+            while len(rows):
+                i, v = start[rows, j], piece[rows, j]
+                ids[rows, j] = v
+                for r, x, y in zip(rows[v < 0], i[v < 0], j[v < 0], strict=True):
+                    own = [self.m.byte_ids[b] for b in data[r, x:y]]
+                    if min(own) >= 0:
+                        ids[r, x + 1:y + 1] = own
+                    else:
+                        ids[r, y] = self.m.unknown_id
+                rows, j = rows[i > 0], i[i > 0]
+            flat = ids[ids >= 0].astype(self.m.width).tobytes()
+            size = np.dtype(self.m.width).itemsize
+            last = (np.cumsum((ids >= 0).sum(1)) * size).tolist()
+            for u, x, y in zip(chosen, [0, *last[:-1]], last, strict=True):
+                out[u] = flat[x:y]
+        return out
+
+    def prepare(self, texts: list[str | None]):
+        """Remember the paths of all units of ``texts`` that are at most ``SHORT`` characters long."""
+        plain, marked = set(), set()
+        for text in texts:
+            if not text:
+                continue
+            if not self._simple(text):
+                plain.update(self.units(self.normalized(text)))
+                continue
+            lines = text.split("\n")
+            marked.update(lines[0].split(" "))
+            for line in lines[1:]:
+                words = line.split(" ")
+                plain.add(words[0])
+                marked.update(words[1:])
+        plain.add("\n")
+        plain.discard("")
+        for cache, keys, mark in ((self.cache, plain, ""), (self.marked, marked, MARKER)):
+            keys = [k for k in keys if len(k) <= SHORT]
+            new = [k for k in keys if k not in cache]
+            if len(cache) + len(new) > self.limit:
+                cache.clear()
+                new = keys
+            for k, ids in zip(new, self.viterbi_all([mark + k for k in new]), strict=True):
+                cache[k] = ids
+
+    def _simple(self, text: str) -> bool:
+        """Single blanks only: a word is a unit with its marker, a line's first word one without."""
+        return self.by_line and text[0] != " " and "  " not in text and MARKER not in text
+
     def _remember(self, unit: str) -> bytes:
         return self._learn(self.cache, unit, unit)
 
@@ -239,10 +337,10 @@ class Encoder:
         return self._learn(self.marked, word, MARKER + word)
 
     def _learn(self, cache: dict, key: str, unit: str) -> bytes:
-        if len(cache) >= self.limit:
-            cache.clear()
         ids = np.array(self.viterbi(unit), self.m.width).tobytes()
-        if len(unit) <= 64:
+        if len(key) <= SHORT:
+            if len(cache) >= self.limit:
+                cache.clear()
             cache[key] = ids
         return ids
 
@@ -256,8 +354,7 @@ class Encoder:
         if not text:
             return np.zeros(0, self.m.width)
         get, make = self.cache.get, self._remember
-        if self.by_line and text[0] != " " and "  " not in text and MARKER not in text:
-            # single blanks: a word is a unit with its marker, a line's first word one without
+        if self._simple(text):
             marked, learn, parts = self.marked.get, self._remember_marked, []
             for i, line in enumerate(text.split("\n")):
                 words = line.split(" ")
@@ -288,6 +385,7 @@ def encode(docs: DataFrame, model: UnigramModel, text: str = "text", name: str =
         e = Encoder(shipped.value)
         for batch in batches:
             for at, texts in text_slices(batch, text, 2_000_000):
+                e.prepare(texts)
                 ids = [e.encode(t) for t in texts]
                 same = [e.decode(i) == (t or "") for i, t in zip(ids, texts, strict=True)]
                 offsets = np.r_[0, np.cumsum([len(i) for i in ids])].astype(np.int32)

@@ -67,6 +67,22 @@ def test_whole_text_is_not_beaten_by_the_library(model, library):
         assert total(model, S.Encoder(model).encode(t).tolist()) >= total(model, library.encode(t)) - 1e-6 * len(t)
 
 
+def test_units_together_equal_one_by_one(model):
+    e = model.open()
+    rng = np.random.default_rng(3)
+    letters = list("abcdeinorst") + ["é", "日", "😀", "\x00", "ß", "\t", ".", "▁"]
+    units = ["".join(rng.choice(letters, rng.integers(1, 30))) for _ in range(3000)] + ["▁the", "the", "x" * 64, "ￂ"]
+    got = e.viterbi_all(units)
+    for u, ids in zip(units, got, strict=True):
+        assert np.frombuffer(ids, model.width).tolist() == e.viterbi(u), u
+    texts = [None, "", " a  b", "the cat\n\nsat on\n", "word " * 70, "y" * 500 + " z", "a ▁ b"]
+    plain = [e.encode(t).tolist() for t in texts]
+    f = model.open()
+    f.limit = 3
+    f.prepare(texts)
+    assert [f.encode(t).tolist() for t in texts] == plain
+
+
 def test_double_array_holds_exactly_its_keys():
     rnd = random.Random(4)
     keys = {bytes(rnd.choices(b"abc\xc3\xa9", k=rnd.randrange(1, 7))) for _ in range(400)}
