@@ -14,7 +14,7 @@ with it inside the block pair; link lists are never written out.
 
 Defined cases: a vector that is null, empty, all zero, or holds null or non-finite components, and
 a vector without label, links with nothing; vectors of different length do not link; equal vectors
-link with each other; rows that repeat a vec_id count as vectors; an empty table gives an empty
+link with each other; rows that repeat a vec_id count as vectors, each with links of its own; an empty table gives an empty
 result; other columns are not read.
 """
 
@@ -168,10 +168,11 @@ def links(vectors: DataFrame, least: float = 0.93, key: str = "vec_id", embeddin
         & F.exists(v, lambda x: x != 0), F.lit(False)))
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(embedding).alias("v"), F.col(label).alias("label"))
     good = rows.where(usable)
-    points = written(good.groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
-                     .withColumn("dim", F.size("v")), "points")
+    # a point is a vector of a label, numbered when it is written; a vec_id may stand on several
+    points = written(good.groupBy("label", "v").agg(F.min("id").alias("vec"), F.count("*").alias("copies"))
+                     .withColumn("dim", F.size("v")).withColumn("id", F.monotonically_increasing_id()), "points")
     chosen = [np.array(r["v"], float) for r in
-              points.orderBy(F.xxhash64("id"), "id").limit(pivots).select("v").collect()]
+              points.orderBy(F.xxhash64("vec", "v"), "vec").limit(pivots).select("v").collect()]
     by_dim = {d: np.stack([unit(c[None])[0] for c in chosen if len(c) == d]) for d in {len(c) for c in chosen}}
 
     def nearest(batches):
@@ -211,10 +212,11 @@ def links(vectors: DataFrame, least: float = 0.93, key: str = "vec_id", embeddin
     found = written(work.groupBy("block", "block2").applyInPandas(run, "id long, links long, low long"), "links")
     comp = components(found.select(F.col("id").alias("a"), F.col("low").alias("b")))
     total = found.groupBy("id").agg(F.sum("links").alias("links"))
-    per_point = (points.select("id", "label", "v", "copies").join(total, "id", "left")
-                 .join(comp.withColumnRenamed("node", "id"), "id", "left")
+    placed = points.join(comp.withColumnRenamed("node", "id"), "id", "left")
+    names = placed.where("component is not null").groupBy("component").agg(F.min("vec").alias("name"))
+    per_point = (placed.join(total, "id", "left").join(names, "component", "left")
                  .select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                         F.coalesce("component", "id").alias("component_id")))
+                         F.coalesce("name", "vec").alias("component_id")))
     linked = good.join(per_point, ["label", "v"]).select("id", "n_links", "component_id")
     alone = rows.where(~F.coalesce(usable, F.lit(False))).select(
         "id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))

@@ -306,9 +306,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     sets = written(_sets_of(docs, clusters.select("id"), words, text, key).dropDuplicates(["id", "hashes"])
                    .select("id", F.size("hashes").cast("long").alias("n_shingles"), "hashes"), "sets")
     more = written(_across(clusters, sets.withColumnRenamed("hashes", "body"), _sets_linked, percent), "links")
-    comp = components(links.union(more))
-
     # a doc_id on rows of several sets joins those sets, as it is one document
+    sets_of = F.struct("set_a", "set_b", "n_shingles")
+    several = named.groupBy(key).agg(F.min(sets_of).alias("lo"), F.max(sets_of).alias("hi")).where("lo <> hi").select(key)
+    touched = written(named.join(several, key, "left_semi").select(key, "set_a", "set_b", "n_shingles").distinct()
+                      .join(ids, ["set_a", "set_b", "n_shingles"]).select(F.col(key).alias("k"), "id"), "repeated-keys")
+    joined = touched.join(touched.groupBy("k").agg(F.min("id").alias("a")), "k").where("id <> a").select("a", F.col("id").alias("b"))
+    comp = components(links.union(more).union(joined))
+
     label = ids.join(comp.withColumnRenamed("node", "id"), "id", "left").select(
         "set_a", "set_b", "n_shingles", F.coalesce("component", "id").alias("component"))
     return (rows.select(key, "n_shingles", "set_a", "set_b")

@@ -29,9 +29,10 @@ occurrence in a cell with copies also stands, as far behind the cell's start, in
 copies of these. A cell with its copies is itself a repeat group; if no other cell holds its windows,
 there is no ``group`` row for it.
 
-Defined cases: a null or empty text has no bytes; long texts are read whole; rows that repeat a
-doc_id are one document (their texts are expected to be equal); rows without doc_id come after
-all others, equal texts among them being one document; an empty table gives an empty result; other columns are not read.
+Defined cases: a null or empty text has no bytes; long texts are read whole; rows that repeat doc_id
+and text are one document; different texts under one doc_id are documents of their own, in the order
+of a hash (``doc`` is then a number of (doc_id, text) in that order instead of the doc_id); rows without
+doc_id come after all others, equal texts among them being one document; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -45,6 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfrank.functions.ranks import global_index
 from shelfrank.llm.common import U64, mix64, table, text_slices, written
 from shelfrank.llm.registry import query
 
@@ -294,6 +296,22 @@ def merged(doc: np.ndarray, start: np.ndarray, length: np.ndarray):
     return np.array(out_doc), np.array(out_start), np.array(out_end) - np.array(out_start)
 
 
+def _numbered(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, text, doc): doc orders documents by doc_id and tells different texts under one doc_id apart."""
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    plain = rows.withColumn("doc", _document("id", "text"))
+    n, distinct = rows.where("id is not null").agg(F.count("*"), F.count_distinct("id")).first()
+    if n == distinct:
+        return plain
+    own = F.xxhash64(F.coalesce("text", F.lit("")))
+    places = written(rows.where("id is not null").select("id", own.alias("own")).distinct(), "documents-by-text")
+    if places.count() == distinct:
+        return plain
+    numbers = written(global_index(places, ["id", "own"], "number"), "document-numbers").withColumnRenamed("id", "id_")
+    return rows.join(numbers, (F.col("id") == F.col("id_")) & (own == F.col("own")), "left").select(
+        "id", "text", F.coalesce("number", _document("id", "text")).alias("doc"))
+
+
 def repeats(docs: DataFrame, least: int = 100, text: str = "text", key: str = "doc_id", hot: int = 100_000,
             chunk_bytes: int = 2_000_000, groups: bool = True) -> DataFrame:
     """Rows (kind, chunk, doc, start, length, low, high):
@@ -307,7 +325,7 @@ def repeats(docs: DataFrame, least: int = 100, text: str = "text", key: str = "d
     With ``groups`` false only the spans are written. Groups reach at most to the end of their cell
     (``least`` + 80 bytes or fewer, less in a split anchor); a longer repeat is a chain of overlapping groups.
     """
-    docs = docs.select(_document(key, text).alias("doc"), F.col(text).alias("text"))
+    docs = _numbered(docs, key, text).select("doc", "text")
     found = _find_cells(docs, least)
     often = _find_cells(docs, least, anchors_only=True).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
     cell = written(found.join(often, "h"), "cells")
@@ -459,8 +477,7 @@ def without_repeats(docs: DataFrame, spans: DataFrame, text: str = "text", key:
                  pa.array([len(x) for x in starts], pa.int64())], names=["doc", "starts", "lengths", "n"])
 
     at = written(at.mapInArrow(merge, "doc long, starts array<long>, lengths array<long>, n long"), "spans-of-documents")
-    rows = docs.select(_document(key, text).alias("doc"), F.col(key).cast("long").alias("id"),
-                       F.col(text).alias("text")).join(_few(at, "n"), "doc", "left").select("doc", "id", "text", "starts", "lengths")
+    rows = _numbered(docs, key, text).join(_few(at, "n"), "doc", "left").select("doc", "id", "text", "starts", "lengths")
     last = "kept_sha256 string" if digest else "kept binary"
 
     def make(docnos, raws, powers, more):

@@ -60,3 +60,10 @@ def test_edges(spark):
     assert got[1] == [(3, 1, True)] and got[2] == [(3, 1, False)] and got[3] == [(3, 1, False)] * 2
     assert all(got[k] == [(0, k, True)] for k in range(4, 13))
     assert E.links(df.limit(0)).count() == 0
+
+
+def test_one_vec_id_on_two_vectors(spark):
+    rows = [(3, [1.0, 0.0], 0), (3, [0.0, 1.0], 0), (4, [1.0, 0.01], 0), (5, [0.01, 1.0], 0), (6, [0.02, 1.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in E.links(df).collect())
+    assert got == [(3, 1, 3, True), (3, 2, 3, True), (4, 1, 3, False), (5, 2, 3, False), (6, 2, 3, False)]

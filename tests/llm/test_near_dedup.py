@@ -105,3 +105,13 @@ def test_edges(edges, nothing):
     assert got[6][0][1] == 5 and got[8] == [(1, 7, False)]
     assert sorted(got[None], key=str) == [(0, None, True), (8, 1, False)]
     assert N.near_duplicates(nothing).count() == 0
+
+
+def test_one_doc_id_on_several_texts(spark):
+    """A doc_id joins the sets of all its texts."""
+    a, b, c = ("one two three four five", "six seven eight nine ten", "other words that stand alone here")
+    rows = [(1, a), (5, a), (5, b), (7, b), (8, c), (9, b), (9, c)]
+    got = {(r.doc_id, r.component_id) for r in N.near_duplicates(documents(spark, rows), 2, 80).collect()}
+    assert got == {(d, 1) for d in (1, 5, 7, 8, 9)}
+    got = N.near_duplicates(documents(spark, [(5, a), (5, b), (7, c)]), 2, 80).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == [(5, 5, True), (5, 5, True), (7, 7, True)]

@@ -5,7 +5,7 @@ import corpus_pipeline as P
 from shelfrank.llm import decontaminate, line_dedup, near_dedup
 from shelfrank.llm.common import table, written
 
-from edge_data import SF
+from edge_data import SF, documents
 
 
 @pytest.fixture(scope="module")
@@ -74,4 +74,14 @@ def test_edges(spark, edges, nothing):
             assert out.columns == edges.columns
         assert stage(spark, nothing, SF).count() == 0
     kept = P.near_duplicate(spark, edges, SF)
-    assert sorted(r.doc_id for r in kept.where("doc_id is not null").select("doc_id").collect()) == [1, 2, 3, 4, 5, 7, 10]
+    assert sorted(r.doc_id or 0 for r in kept.select("doc_id").collect()) == [0, 1, 2, 3, 4, 5, 7, 10]
+
+
+def test_rows_are_judged_by_their_texts(spark):
+    """Rows without doc_id or with a repeated one: copies and benchmark items go, other texts stay."""
+    item = table(spark, SF, "benchmark").first().text
+    rows = [(1, "a b c d e f g h i j"), (None, "a b c d e f g h i j"), (2, "k l m n o p q r"), (2, "s t u v w x y z"),
+            (None, item), (3, item), (3, "one two three four five six")]
+    docs = documents(spark, rows)
+    assert sorted(r.text for r in P.near_duplicate(spark, docs, SF).collect()) == sorted({t for _, t in rows})
+    assert sorted(r.text for r in P.benchmark(spark, docs, SF).collect()) == sorted(t for _, t in rows if t != item)

@@ -124,3 +124,14 @@ def test_groups_completed_by_copies_hold_all_occurrences(spark, hot):
     if hot > 2:
         assert in_passage <= found.keys()                        # in different cells or their common part
     assert found.keys() & every.keys()
+
+
+def test_different_texts_of_one_doc_id(spark):
+    rnd = random.Random(8)
+    p, q, r = ("".join(rnd.choices("abcdefghij", k=300)) for _ in range(3))
+    docs = documents(spark, [(1, p), (2, p + q[:100]), (2, r + q[100:200]), (None, q), (1, p)])
+    got = [(x.doc_id, x.n_bytes, x.n_removed) for x in R.without_repeats(docs, R.repeats(docs, groups=False)).collect()]
+    assert sorted(got, key=str) == [(1, 300, 0), (1, 300, 0), (2, 400, 0), (2, 400, 300), (None, 300, 200)]
+    docs = documents(spark, [(1, p + q), (1, p + r)])
+    got = [x.n_removed for x in R.without_repeats(docs, R.repeats(docs, groups=False)).collect()]
+    assert sorted(got) == [0, 300]
