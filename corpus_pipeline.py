@@ -6,9 +6,9 @@
 4. benchmark: documents that hold a test item's question and answer go.
 5. pieces: the texts as SentencePiece ids, with the check that they decode to the text.
 
-Stages 1 to 4 return the columns of ``documents`` (n_chars follows the text). A document without
-doc_id is scored, cleaned and encoded like any other; rows that repeat a doc_id are judged alike,
-and stage 3 keeps one of them.
+Stages 1 to 4 return the columns of ``documents`` (n_chars follows the text). Every row is a document
+of its own, judged by its text: one without doc_id or with a repeated one like any other. In stage 3 the
+row with the smallest doc_id of a group stays, or, if doc_ids are missing or repeat, its first row.
 """
 
 from __future__ import annotations
@@ -23,13 +23,23 @@ from shelfrank.llm.near_dedup import near_duplicates
 from shelfrank.llm.quality import ACCEPT, score, train
 from shelfrank.llm.sentencepiece import UnigramModel, encode
 
-FEW_IDS = 1_000_000   # removed ids that are broadcast at most: 8 MB
+FEW_IDS = 1_000_000   # removed rows that are broadcast at most: 8 MB
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose doc_id is in ``ids``; rows without doc_id stay."""
-    ids = written(ids.select("doc_id").distinct(), "removed-ids")
-    return docs.join(small_side(ids, FEW_IDS), "doc_id", "left_anti").select(*docs.columns)
+def _by_row(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a number per row, and the number's name: the doc_id where all rows have one of their
+    own, else a number given when the rows are written."""
+    name = free_name(docs, "_row")
+    n, distinct = docs.agg(F.count("*"), F.count_distinct("doc_id")).first()
+    if n == distinct:
+        return docs.withColumn(name, F.col("doc_id").cast("long")), name
+    return written(docs.withColumn(name, F.monotonically_increasing_id()), "numbered-rows"), name
+
+
+def _without(numbered: DataFrame, found: DataFrame, name: str, columns: list[str]) -> DataFrame:
+    """``numbered`` without the rows whose number is in ``found``."""
+    ids = written(found.select(name).distinct(), "removed-rows")
+    return numbered.join(small_side(ids, FEW_IDS), name, "left_anti").select(*columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,21 +54,14 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = written(near_duplicates(docs, words=5, percent=80), "near-duplicates")
-    out = _without(docs, found.where("not kept"))
-    repeated = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    if repeated.isEmpty():
-        return out
-    # rows that repeat a doc_id: the first one by its columns stays
-    again = small_side(written(repeated.select("doc_id"), "repeated-ids"), FEW_IDS)
-    one = out.join(again, "doc_id", "left_semi").select(*docs.columns).groupBy("doc_id").agg(
-        F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("_row")).select(
-        *["doc_id" if c == "doc_id" else F.col("_row")[c].alias(c) for c in docs.columns])
-    return out.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(one)
+    numbered, name = _by_row(docs)
+    found = near_duplicates(numbered, words=5, percent=80, key=name)
+    return _without(numbered, found.where("not kept"), name, docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, contaminated(docs, table(spark, sf_dir, "benchmark")))
+    numbered, name = _by_row(docs)
+    return _without(numbered, contaminated(numbered, table(spark, sf_dir, "benchmark"), key=name), name, docs.columns)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
