@@ -17,7 +17,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 # Total order of a user's history: remaining ties share the item, so the
 # item sequence is well defined.
@@ -96,9 +95,9 @@ def load(spark: SparkSession, sf_dir: str) -> Roles:
 
 def with_position(log_df: DataFrame, order_cols=None) -> DataFrame:
     """1-based position of each interaction in its user's history."""
-    order_cols = order_cols or order_of(log_df)
-    w = Window.partitionBy("user_idx").orderBy(*order_cols)
-    return log_df.withColumn("pos", F.row_number().over(w))
+    from shelfrank.functions.histories import with_previous
+
+    return with_previous(log_df, 0, order_cols or order_of(log_df)).withColumnRenamed("_rn", "pos")
 
 
 def append_after(old: DataFrame, new: DataFrame, order_cols=None) -> DataFrame:
