@@ -15,7 +15,7 @@ All are grouped aggregations (no collect); keys such as the iteration ride along
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +40,14 @@ class SlicePlan:
     retrain: bool = True
     filter_seen: bool = True
 
+    @staticmethod
+    def ending_with(log: DataFrame, ts: str = "ts", **params) -> SlicePlan:
+        """A plan whose last slice ends with the log's last month, whatever years the log covers."""
+        last = log.agg(F.max(F.year(ts) * 12 + F.month(ts) - 1)).first()[0]
+        plan = SlicePlan(**params)
+        first = (plan.start_year * 12 + plan.start_month - 1) if last is None else last + 1 - plan.n_iter * plan.months
+        return replace(plan, start_year=first // 12, start_month=first % 12 + 1)
+
     @property
     def n_iter(self) -> int:
         return self.train_iterations + self.test_iterations

@@ -37,6 +37,31 @@ def e09_walk_forward(spark, sf):
     return _walk_metrics(spark, sf, PLAN)
 
 
+FIXED_FIT = ev.SlicePlan(retrain=False)
+SEEN_TOO = ev.SlicePlan(filter_seen=False)
+LOG_END = dict(months=3, train_iterations=2, test_iterations=2)
+
+
+@query("e09_walk_forward_without_retraining", _walk_sql(FIXED_FIT))
+def e09_without_retraining(spark, sf):
+    """E9 with retrain=False: fitted once on the history before the first slice."""
+    return _walk_metrics(spark, sf, FIXED_FIT)
+
+
+@query("e09_walk_forward_with_seen_items", _walk_sql(SEEN_TOO))
+def e09_with_seen(spark, sf):
+    """E9 with filter_seen=False: seen items may be recommended again."""
+    return _walk_metrics(spark, sf, SEEN_TOO)
+
+
+@query("e09_walk_forward_log_end", with_roles("SELECT * FROM m", walk_base_ctes(
+    ev.SlicePlan(**LOG_END), "CAST(floor((year(ts) * 12 + month(ts) - 1 - (SELECT max(year(ts) * 12 + month(ts) - 1) - 11 FROM log))"
+    " / 3.0) AS INTEGER)") + "," + popularity_walk_ctes(ev.SlicePlan(**LOG_END)) + "," + metrics_ctes(ev.SlicePlan(**LOG_END), "recs")))
+def e09_log_end(spark, sf):
+    """E9 over the log's last twelve months in four slices: the plan follows the log's own dates."""
+    return _walk_metrics(spark, sf, ev.SlicePlan.ending_with(roles.log(spark, sf), **LOG_END))
+
+
 @query("e07_metrics_single_cut", _walk_sql(SINGLE))
 def e07_single_cut(spark, sf):
     """E2-E7 for one cut: fit before 2000-01-01, score the next six months."""

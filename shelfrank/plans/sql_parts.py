@@ -28,7 +28,11 @@ def popularity_walk_ctes(plan: SlicePlan, alpha: float = 1.0, strategy: str = "r
                          tag: str = "") -> str:
     """CTEs sl, truth<tag>, eu<tag>, recs<tag> for the popularity back-test."""
     n = plan.n_iter
+    until = n - 2 if plan.retrain else -1      # without retraining: the history before slice 0
     a = D(repr(alpha))
+    unseen = """
+  WHERE NOT EXISTS (SELECT 1 FROM seen x WHERE x.iter = e.iter AND x.user_idx = e.user_idx
+                    AND x.item_idx = sc.item_idx)""" if plan.filter_seen else ""
     if strategy == "revenue":
         er = "sc.score * sc.price"
     elif strategy == "prob":
@@ -43,7 +47,7 @@ pstat{tag} AS (
   SELECT it.iter, CAST(sum(p.m) AS DOUBLE) AS m, sum(p.sp) AS sp, sum(p.sq) AS sq
   FROM (SELECT s, count(*) AS m, sum(i.price) AS sp, sum(i.price * i.price) AS sq
         FROM (SELECT item_idx, greatest(s, -1) AS s FROM sl) h JOIN items i USING (item_idx)
-        WHERE s <= {n - 2} GROUP BY s) p
+        WHERE s <= {until} GROUP BY s) p
   JOIN it ON p.s < it.iter GROUP BY it.iter),
 ps{tag} AS (SELECT iter, sp / m AS pmean,
               sqrt(greatest(sq / m - pow(sp / m, 2), 0.0)) AS pstd FROM pstat{tag}),"""
@@ -51,7 +55,7 @@ ps{tag} AS (SELECT iter, sp / m AS pmean,
     return f"""
 cnt{tag} AS (
   SELECT item_idx, s, count(*) AS c
-  FROM (SELECT item_idx, greatest(s, -1) AS s FROM sl WHERE relevance > 0) WHERE s <= {n - 2}
+  FROM (SELECT item_idx, greatest(s, -1) AS s FROM sl WHERE relevance > 0) WHERE s <= {until}
   GROUP BY item_idx, s),
 icnt{tag} AS (SELECT it.iter, c.item_idx, CAST(sum(c.c) AS BIGINT) AS c
          FROM cnt{tag} c JOIN it ON c.s < it.iter GROUP BY it.iter, c.item_idx),
@@ -64,20 +68,18 @@ score{tag} AS (
   LEFT JOIN tot{tag} tot ON tot.iter = it.iter),
 cand{tag} AS (
   SELECT e.iter, e.user_idx, sc.item_idx, {er} AS er
-  FROM eu e JOIN score{tag} sc ON sc.iter = e.iter{pjoin}
-  WHERE NOT EXISTS (SELECT 1 FROM seen x WHERE x.iter = e.iter AND x.user_idx = e.user_idx
-                    AND x.item_idx = sc.item_idx)),
+  FROM eu e JOIN score{tag} sc ON sc.iter = e.iter{pjoin}{unseen}),
 recs{tag} AS (
   SELECT iter, user_idx, item_idx, CAST(rank AS INTEGER) AS rank, round(er, 6) AS relevance FROM (
     SELECT *, row_number() OVER (PARTITION BY iter, user_idx ORDER BY er DESC, item_idx) AS rank
     FROM cand{tag}) WHERE rank <= {plan.k})"""
 
 
-def walk_base_ctes(plan: SlicePlan) -> str:
+def walk_base_ctes(plan: SlicePlan, slice_sql: str | None = None) -> str:
     """sl (log with slice index), it (iterations), truth, eu (evaluated users), seen."""
     n = plan.n_iter
     return f"""
-sl AS (SELECT *, {plan.slice_sql('ts')} AS s FROM log),
+sl AS (SELECT *, {slice_sql or plan.slice_sql('ts')} AS s FROM log),
 it AS (SELECT CAST(range AS INTEGER) AS iter FROM range(0, {n})),
 truth AS (SELECT s AS iter, user_idx, item_idx, relevance FROM sl WHERE s >= 0 AND s < {n}),
 eu AS (SELECT DISTINCT iter, user_idx FROM truth),
