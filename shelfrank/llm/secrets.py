@@ -3,8 +3,10 @@
 The rules find assignments, access keys and long hexadecimal runs. The classifier judges every
 other long run of key characters by the log-likelihood ratio of two first-order Markov models over
 characters: one of random strings, one of ordinary identifiers. Both are trained here from labelled
-samples of the given texts: values that a rule has found and that mix letters with digits (random),
-and words outside every rule's match (ordinary).
+samples. Ordinary: the alphabetic words of all documents, each counted, and ``sample_values``
+identifiers made of the words with the lowest hashes in the usual styles (``STYLES``: camel case,
+constants, snake case, hyphens, paths, numbered names). Random: hashes of the same words, written in
+base 64 and in hexadecimal digits of either case. What the models gather is the (at most STATES^2) transition counts.
 
 Defined cases: a null text counts as empty and has no spans; every character of a long text is
 scanned; repeated rows give repeated results; an empty table gives an empty result and models that
@@ -17,8 +19,9 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
-from shelfrank.llm.common import free_name, table
+from shelfrank.llm.common import free_name, table, written
 from shelfrank.llm.registry import query
 
 ASSIGN = ("(?i:(password|passwd|secret|token|api_?key))[\"']?\\x20*[:=]\\x20*[\"']?"
@@ -29,6 +32,7 @@ KEY_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-
 RUN = "(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}"
 KINDS = ["assign", "access", "hex", "markov"]   # order of spans with equal starts
 STATES = len(KEY_CHARS) + 1                     # 0 stands before the first character
+MIXED = 0.7                                     # weight of a transition against its character's frequency
 
 
 def _places(text: Column, pattern: str, kind: str, value_group: int = 0, least: int = 1) -> Column:
@@ -59,52 +63,62 @@ def base_spans(text: Column) -> Column:
                                  _places(text, HEX, "hex", 0, 24)))
 
 
-def _bigram_counts(words: DataFrame) -> dict[tuple[int, int], int]:
-    """Transitions between character states, summed over the column ``word``; at most STATES^2 rows."""
+def _bigram_counts(words: DataFrame, weight: str | None = None) -> dict[tuple[int, int], float]:
+    """Transitions between character states, summed over the column ``word`` (times ``weight``); at
+    most STATES^2 rows reach the driver."""
     at = lambda i: F.instr(F.lit(KEY_CHARS), F.substring("word", i, 1))
-    steps = words.select("word", F.explode(F.sequence(F.lit(1), F.char_length("word"))).alias("i"))
+    steps = words.select("word", *([weight] if weight else []), F.explode(F.sequence(F.lit(1), F.char_length("word"))).alias("i"))
     pairs = steps.select(F.when(F.col("i") == 1, F.lit(0)).otherwise(at(F.col("i") - 1)).cast("int").alias("a"),
-                         at(F.col("i")).cast("int").alias("b"))
-    return {(r[0], r[1]): r[2] for r in
-            pairs.where("b > 0").groupBy("a", "b").agg(F.count("*").alias("n")).collect()}
-
-
-def train(docs: DataFrame, text: str = "text", key: str = "doc_id", sample_docs: int = 4000,
-          sample_values: int = 20_000) -> list[float]:
-    """Log-likelihood ratios random / ordinary, by state * STATES + next state.
-
-    Fitted on the documents with the ``sample_docs`` lowest key hashes: all words of 4 to 19
-    characters there are the ordinary sample, and of the rules' values the ``sample_values`` with the lowest hashes are the
-    random sample. Only the (at most STATES^2) counts reach the driver.
-    """
-    ids = docs.select(key).orderBy(F.xxhash64(key), key).limit(sample_docs).distinct()
-    sample = docs.join(F.broadcast(ids), key, "left_semi").select(F.coalesce(F.col(text), F.lit("")).alias("t"))
-    value = F.explode(base_spans(F.col("t"))).alias("s")
-    secrets = (sample.select(value).select(F.col("s.value").alias("word")).distinct()
-               .where("word rlike '[0-9]' and word rlike '[A-Za-z]'")
-               .orderBy(F.xxhash64("word"), "word").limit(sample_values))
-    plain = F.col("t")
-    for p in (ASSIGN, ACCESS, HEX):
-        plain = F.regexp_replace(plain, p, " ")
-    words = sample.select(F.explode(F.regexp_extract_all(plain, F.lit("(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{4,19}(?![A-Za-z0-9+/_=-])"),
-                                                           F.lit(0))).alias("word"))
-    random, ordinary = _bigram_counts(secrets), _bigram_counts(words)
-
-    def log_probs(counts: dict, weight: float, prior: list[float]) -> list[list[float]]:
-        """Transitions, each row drawn towards ``prior`` with ``weight`` pseudo-counts."""
-        out = []
+                         at(F.col("i")).cast("int").alias("b"), (F.col(weight) if weight else F.lit(1)).alias("w"))
+    return {(r[0], r[1]): float(r[2]) for r in
+            pairs.where("b > 0").groupBy("a", "b").agg(F.sum("w").alias("n")).collect()}
+
+
+def _styles(a: str, b: str, c: str) -> list[Column]:
+    """Identifiers of three words in the usual styles."""
+    words, cap = [F.col(a), F.col(b), F.col(c)], [F.initcap(x) for x in (a, b, c)]
+    number = F.pmod(F.xxhash64(a), F.lit(100)).cast("string")
+    return [F.concat(words[0], *cap[1:]), F.concat(*cap), F.concat(words[0], cap[1]), F.upper(F.concat_ws("_", *words)),
+            F.concat_ws("_", *words), F.concat_ws("-", *words), F.concat_ws("/", *words), F.concat_ws("/", words[0], F.concat(*cap)),
+            F.concat(words[0], F.lit("_"), words[1], number), F.concat(F.lit("/"), F.concat_ws("/", words[0], words[1])),
+            F.concat(cap[0], cap[1], number), F.concat_ws("-", F.lit("https"), *words)]
+
+
+def train(docs: DataFrame, text: str = "text", key: str = "doc_id", sample_values: int = 5_000) -> list[float]:
+    """Log-likelihood ratios random / ordinary, by state * STATES + next state."""
+    token = F.explode(F.split(F.coalesce(F.col(text), F.lit("")), " ")).alias("token")
+    words = (docs.select(token).select(F.lower(F.rtrim("token", F.lit(".,;:!?"))).alias("word")).where("word rlike '^[a-z]{3,19}$'")
+             .groupBy("word").agg(F.count("*").alias("n")))
+    words = written(words, "ordinary-words")
+    # the words with the lowest hashes, three in a row: a bounded sample
+    some = words.select("word").orderBy(F.xxhash64("word"), "word").limit(sample_values)
+    order = Window.orderBy(F.xxhash64("a", F.lit(1)), "a")
+    triples = some.select(F.col("word").alias("a")).select("a", F.lead("a", 1).over(order).alias("b"), F.lead("a", 2).over(order).alias("c")).where(
+        "c is not null")
+    identifiers = triples.select(F.explode(F.array(*_styles("a", "b", "c"))).alias("word"))
+    digest = F.sha2("a", 256)
+    tokens = triples.select(F.explode(F.array(
+        F.substring(F.base64(F.unhex(digest)), 1, 40), F.translate(F.substring(F.base64(F.unhex(F.sha2("b", 256))), 1, 40), "+/", "-_"),
+        F.substring(F.regexp_replace(F.base64(F.unhex(F.sha2("c", 512))), "[+/=]", ""), 1, 40),
+        F.substring(F.upper(digest), 1, 20), F.substring(digest, 1, 20))).alias("word"))
+    random, ordinary, common = _bigram_counts(tokens), _bigram_counts(identifiers), _bigram_counts(words, "n")
+    # words and identifiers weigh alike
+    share = sum(ordinary.values()) / max(1.0, sum(common.values()))
+    for k, n in common.items():
+        ordinary[k] = ordinary.get(k, 0.0) + share * n
+
+    def log_probs(counts: dict) -> list[list[float]]:
+        """Transitions mixed with the frequencies of the characters, each seen once more."""
+        single = [0.0] + [sum(n for (_, b), n in counts.items() if b == c) + 1 for c in range(1, STATES)]
+        whole, out = sum(single), []
         for a in range(STATES):
-            total = sum(counts.get((a, b), 0) for b in range(1, STATES)) + weight
-            out.append([0.0] + [math.log((counts.get((a, b), 0) + weight * prior[b]) / total) for b in range(1, STATES)])
+            row = [counts.get((a, b), 0.0) for b in range(STATES)]
+            total = sum(row[1:])
+            out.append([0.0] + [math.log((MIXED * row[b] / total if total else 0.0)
+                                         + (1 - MIXED if total else 1.0) * single[b] / whole) for b in range(1, STATES)])
         return out
 
-    # a random string may hold any character next; ordinary words fall back to their character frequencies
-    flat = [0.0] + [1 / (STATES - 1)] * (STATES - 1)
-    single = [0.0] + [sum(n for (_, b), n in ordinary.items() if b == c) + 0.1 for c in range(1, STATES)]
-    for c in "/_-":      # they join ordinary words into long identifiers, of which short words show none
-        single[KEY_CHARS.index(c) + 1] = max(single[KEY_CHARS.index(c) + 1], 0.02 * sum(single))
-    r = log_probs(random, 5.0 * STATES, flat)
-    o = log_probs(ordinary, 5.0, [x / sum(single) for x in single])
+    r, o = log_probs(random), log_probs(ordinary)
     return [round(r[a][b] - o[a][b], 6) for a in range(STATES) for b in range(STATES)]
 
 
@@ -119,8 +133,8 @@ def likelihood_ratio(word: Column, model: list[float]) -> Column:
     return F.aggregate(F.filter(F.split(word, ""), lambda c: c != ""), zero, step, lambda s: s["sum"])
 
 
-def scan(docs: DataFrame, model: list[float], text: str = "text", least_run: int = 20,
-         least_mean: float = 0.7) -> DataFrame:
+def scan(docs: DataFrame, model: list[float], text: str = "text", least_run: int = 16,
+         least_mean: float = 0.3) -> DataFrame:
     """``docs`` with ``base`` (spans of the rules) and ``added`` (runs of at least ``least_run`` key
     characters apart from them whose mean log-likelihood ratio per character is ``least_mean``). Columns of these names are replaced."""
     t = F.coalesce(F.col(text), F.lit(""))

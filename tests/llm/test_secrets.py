@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from shelfrank.llm import secrets as S
@@ -41,6 +42,35 @@ def test_markov_adds_random_runs_and_leaves_words(spark):
     assert all(r.a == "" for k, r in got.items() if k != 100)
 
 
+ENGLISH = ("get set user account configuration manager max retry count per connection pool src main java org example service "
+           "handler https www page path to request response token stream buffer file system network protocol value index "
+           "table column query result error message event listener factory builder default abstract container").split()
+
+
+def test_held_out_random_strings_and_identifiers(spark):
+    """Trained on the given corpus; judged on random strings and on English identifiers it has never seen."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rnd = random.Random(11)
+    alphabets = ["ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", S.KEY_CHARS.replace("=", ""), "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"]
+    secret = ["".join(rnd.choices(alphabets[i % 3], k=rnd.randrange(16, 44))) for i in range(300)]
+    plain = []
+    while len(plain) < 300:
+        w = rnd.choices(ENGLISH, k=rnd.randrange(2, 6))
+        name = rnd.choice([w[0] + "".join(x.title() for x in w[1:]), "".join(x.title() for x in w), "_".join(w).upper(), "_".join(w),
+                           "-".join(w), "/".join(w), "/".join(w[:-1] + [w[-1].title()]), "_".join(w) + str(rnd.randrange(100))])
+        if len(name) >= 16:
+            plain.append(name)
+    plain += ["getUserAccountConfigurationManager", "MAX_RETRY_COUNT_PER_CONNECTION_POOL", "src/main/java/org/example/service/Handler",
+              "https-www-example-org-path-to-page"]
+    rows = [(i, f"see {x} here") for i, x in enumerate(secret + plain)]
+    model = S.train(docs)
+    found = S.scan(spark.createDataFrame(rows, "doc_id long, text string"), model)
+    hit = {r.doc_id for r in found.where("size(base) + size(added) > 0").select("doc_id").collect()}
+    assert sum(i in hit for i in range(300)) >= 0.9 * 300
+    assert sum(i in hit for i in range(300, len(rows))) <= 0.05 * len(plain)
+    assert not hit & set(range(len(rows) - 4, len(rows)))
+
+
 def test_base_digest_of_the_query(spark, tmp_path):
     spark.createDataFrame(list(enumerate(CASES)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     for r in S.op3_secret_scan(spark, str(tmp_path)).collect():
