@@ -9,7 +9,7 @@ from shelfrank.sources import roles
 from paths import SF_SMALL
 
 
-@pytest.mark.parametrize("options", [{}, {"retrain": False}, {"filter_seen": False}, {"user_frac": 0.4, "retrain": False}])
+@pytest.mark.parametrize("options", [{}, {"user_frac": 0.4, "retrain": False, "filter_seen": False}])
 def test_vectorised_backtest_equals_loop(spark, options):
     r = roles.load(spark, SF_SMALL)
     plan = ev.SlicePlan(months=6, train_iterations=2, test_iterations=1, **options)
