@@ -1,8 +1,8 @@
 """Data profiling as plain aggregations.
 
 Each profile is one Spark job over the table (partial aggregation map-side);
-small results stay DataFrames, nothing is pulled to the driver.  Global
-scalars (totals, min/max) are 1-row aggregates joined back on a constant key.
+small results stay DataFrames; global scalars (totals, min/max) are one-row
+aggregates that enter the next expression as literals.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from shelfrank.functions.exprs import r6
 
@@ -58,6 +59,44 @@ def coverage(log_df: DataFrame, users_df: DataFrame, items_df: DataFrame) -> Dat
                     r6(F.col("active_items") * 100.0 / F.lit(n_items)).alias("pct_items"))
 
 
+def coverage_sketches(log_df: DataFrame, slice_col, lg_nom: int = 12) -> DataFrame:
+    """A4, approximate: per slice (slice, users, items) one mergeable distinct-count sketch of either
+    side (2^lg_nom registers, relative standard error about 1.04 / sqrt(2^lg_nom)). Kept sketches of
+    old slices and those of a new one give any union without reading old rows again."""
+    s = F.col(slice_col) if isinstance(slice_col, str) else slice_col
+    return log_df.groupBy(s.alias("slice")).agg(F.hll_sketch_agg("user_idx", lg_nom).alias("users"),
+                                                F.hll_sketch_agg("item_idx", lg_nom).alias("items"))
+
+
+def coverage_until(sketches: DataFrame) -> DataFrame:
+    """(slice, active_users, active_items): distinct counts over all slices up to each one, from the
+    sketches alone (one row per slice; each is handed to the slices behind it)."""
+    ends = sketches.select("slice").distinct().agg(F.sort_array(F.collect_set("slice")).alias("ends")).first()["ends"]
+    later = F.filter(F.array(*[F.lit(e) for e in ends]), lambda e: e >= F.col("slice")) if ends else F.array()
+    spread = sketches.select(F.explode(later).alias("until"), "users", "items") if ends else sketches.select(
+        F.col("slice").alias("until"), "users", "items")
+    return spread.groupBy(F.col("until").alias("slice")).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("users")).alias("active_users"),
+        F.hll_sketch_estimate(F.hll_union_agg("items")).alias("active_items"))
+
+
+def exact_coverage_until(log_df: DataFrame, slice_col) -> DataFrame:
+    """A4 cumulatively and exactly: a user (item) counts from the first slice that holds it."""
+    s = F.col(slice_col) if isinstance(slice_col, str) else slice_col
+    rows = log_df.select("user_idx", "item_idx", s.alias("slice"))
+    first = None
+    for c in ("user_idx", "item_idx"):
+        part = rows.where(F.col(c).isNotNull()).groupBy(c).agg(F.min("slice").alias("slice")).groupBy("slice").agg(
+            F.count("*").alias("n")).select("slice", F.lit(c).alias("side"), "n")
+        first = part if first is None else first.unionByName(part)
+    per = rows.select("slice").distinct().join(
+        first.groupBy("slice").agg(*[F.sum(F.when(F.col("side") == c, F.col("n"))).alias(c) for c in ("user_idx", "item_idx")]),
+        "slice", "left")
+    upto = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)    # one row per slice
+    return per.select("slice", *[F.coalesce(F.sum(c).over(upto), F.lit(0)).cast("long").alias(n)
+                                 for c, n in (("user_idx", "active_users"), ("item_idx", "active_items"))])
+
+
 def counts_by(df: DataFrame, *cols: str) -> DataFrame:
     """Interactions per key."""
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))

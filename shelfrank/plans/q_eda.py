@@ -93,6 +93,30 @@ def a04_coverage(spark, sf):
     return eda.coverage(r.log, r.users, r.items)
 
 
+_UNTIL = """
+y AS (SELECT DISTINCT year(ts) AS y FROM log),
+c AS (SELECT y.y, count(DISTINCT l.user_idx) AS u, count(DISTINCT l.item_idx) AS i FROM y JOIN log l ON year(l.ts) <= y.y GROUP BY y.y)"""
+
+
+@query("a04_coverage_by_year", with_roles("""
+SELECT CAST(y AS INTEGER) AS slice, u AS active_users, i AS active_items FROM c""", _UNTIL))
+def a04_by_year(spark, sf):
+    """A4 cumulatively: users and items seen up to each year."""
+    return eda.exact_coverage_until(roles.log(spark, sf), F.year("ts"))
+
+
+@query("a04_approximate_coverage", with_roles("""
+SELECT CAST(y AS INTEGER) AS slice, true AS users_close, true AS items_close FROM c""", _UNTIL))
+def a04_approximate(spark, sf):
+    """A4, approximate option: sketches per year merged up to each year; within five standard errors
+    (8 %) of the exact counts."""
+    log = roles.log(spark, sf)
+    got = eda.coverage_until(eda.coverage_sketches(log, F.year("ts"))).toDF("slice", "au", "ai")
+    both = got.join(eda.exact_coverage_until(log, F.year("ts")), "slice")
+    return both.select("slice", (F.abs(F.col("au") / F.col("active_users") - 1) < 0.08).alias("users_close"),
+                       (F.abs(F.col("ai") / F.col("active_items") - 1) < 0.08).alias("items_close"))
+
+
 # ---------------------------------------------------------------- A5-A8, J7
 @query("a05_interactions_per_user", with_roles("SELECT user_idx, count(*) AS n FROM log GROUP BY user_idx"))
 def a05_per_user(spark, sf):

@@ -27,3 +27,18 @@ def test_global_and_grouped_histograms_match_numpy(spark):
         want, _ = np.histogram(sub.item_attr_0, bins=20)
         got = g[g.category == cat].sort_values("bin").n.tolist()
         assert got == want.tolist(), cat
+
+
+def test_coverage_of_slices_from_kept_sketches(spark):
+    log = spark.createDataFrame([(u, (u * 7 + s) % 900, s) for s in range(5) for u in range(s * 300, s * 300 + 1000)]
+                                + [(None, 3, 2), (5, None, 9)], "user_idx long, item_idx long, s int")
+    exact = {r["slice"]: (r.active_users, r.active_items) for r in eda.exact_coverage_until(log, "s").collect()}
+    rows = log.collect()
+    for s in (0, 1, 2, 3, 4, 9):
+        old = [r for r in rows if r.s <= s]
+        assert exact[s] == (len({r.user_idx for r in old} - {None}), len({r.item_idx for r in old} - {None}))
+    kept = eda.coverage_sketches(log.where("s < 3"), "s").unionByName(eda.coverage_sketches(log.where("s >= 3"), "s"))
+    for r in eda.coverage_until(kept).collect():
+        for got, want in zip((r.active_users, r.active_items), exact[r["slice"]]):
+            assert abs(got / want - 1) < 5 * 1.04 / 64
+    assert eda.coverage_until(eda.coverage_sketches(log.limit(0), "s")).count() == 0
