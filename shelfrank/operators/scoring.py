@@ -140,6 +140,57 @@ def block_topk(queries: DataFrame, q_id: str, q_vec: str, targets: DataFrame, t_
     return best.select(F.col("qid").alias(q_id), F.col("tid").alias(t_id), "score", "rank")
 
 
+def _best_of_kinds(c, m, price, tids, first):
+    """(query, item, score): per query its m best items by c[query, kind] * price. Items stand sorted by
+    kind, price descending and id; kind j begins at ``first[j]``. A kind with c <= 0 has no candidates.
+
+    The m-th best of the kinds' dearest items bounds the answer from below, so of each kind only the
+    items that reach this bound are scored."""
+    n, kinds = c.shape
+    ok = c > 0
+    top = np.where(ok, c * price[first[:-1]][None, :], -np.inf)
+    place = np.minimum(m, kinds) - 1
+    bound = np.where(m <= kinds, -np.sort(-top, axis=1)[np.arange(n), place], -np.inf)
+    count = np.zeros((n, kinds), np.int64)
+    for j in range(kinds):
+        rows = np.flatnonzero(ok[:, j])
+        least = bound[rows] / c[rows, j]
+        own = price[first[j]:first[j + 1]]
+        count[rows, j] = np.searchsorted(-own, -(least - np.abs(least) * 1e-12), side="right")
+    pair = np.repeat(np.arange(n * kinds), count.ravel())
+    item = np.arange(len(pair)) - np.repeat(np.cumsum(count.ravel()) - count.ravel(), count.ravel()) + first[pair % kinds]
+    score = c.ravel()[pair] * price[item]
+    order = np.lexsort((tids[item], -score, pair // kinds))
+    r, item, score = (pair // kinds)[order], item[order], score[order]
+    keep = np.arange(len(r)) - np.searchsorted(r, np.arange(n))[r] < m[r]
+    return r[keep], item[keep], score[keep]
+
+
+def kind_topk(queries: DataFrame, q_id: str, q_vec: str, targets: DataFrame, t_id: str, t_vec: str, k: int, weight: str,
+              kind_score: Callable, exclude: DataFrame | None = None, query_rows: int = QUERY_ROWS,
+              target_rows: int = 16_384, batch_rows: int = 128) -> DataFrame:
+    """Top k targets per query by ``kind_score(Q, kinds)`` x ``weight``, for targets of which many share a
+    vector: a block's distinct vectors are scored once, and only the items of each that can be among the
+    best are looked at. Targets of non-positive kind score are no candidates."""
+    def best(qids, Q, m, tids, T, weights):
+        kinds, of = np.unique(T, axis=0, return_inverse=True)
+        order = np.lexsort((tids, -weights, of.ravel()))
+        first = np.searchsorted(of.ravel()[order], np.arange(len(kinds) + 1))
+        price, ids, c = weights[order], tids[order], kind_score(Q, kinds)
+        out = []
+        for s in range(0, len(qids), batch_rows):
+            r, item, score = _best_of_kinds(c[s:s + batch_rows], m[s:s + batch_rows], price, ids, first)
+            out.append(pd.DataFrame({"qid": qids[s + r], "tid": ids[item], "score": score}))
+        return pd.concat(out)
+
+    cand, ex = _grid(queries, q_id, q_vec, targets, t_id, t_vec, k, weight, exclude, query_rows, target_rows, best,
+                     "qid long, tid long, score double")
+    if ex is not None:
+        cand = cand.join(ex, ["qid", "tid"], "left_anti")
+    best_ = top_k(cand, k, ["qid"], [F.col("score").desc(), F.col("tid").asc()])
+    return best_.select(F.col("qid").alias(q_id), F.col("tid").alias(t_id), "score", "rank")
+
+
 def softmax_topk(queries: DataFrame, q_id: str, q_vec: str, targets: DataFrame, t_id: str, t_vec: str, k: int,
                  weight: str, exclude: DataFrame | None = None, query_rows: int = QUERY_ROWS,
                  target_rows: int = TARGET_ROWS) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfrank.operators import evaluate as ev
-from shelfrank.operators.scoring import block_topk, sigmoid_dot_price, softmax_topk
+from shelfrank.operators.scoring import block_topk, kind_topk, sigmoid_dot_price, softmax_topk
 from shelfrank.sources import roles
 
 from paths import SF_SMALL
@@ -82,3 +82,23 @@ def test_softmax_over_all_blocks_before_filtering(spark):
         want = sorted((-p[a, i] * w[i], i) for i in range(57) if (a, i) not in gone)[:4]
         assert [x[1] for x in sorted(got[a])] == [i for _, i in want]
         assert [x[2] for x in sorted(got[a])] == pytest.approx([p[a, i] for _, i in want], rel=1e-9)
+
+
+@pytest.mark.parametrize(("n_kinds", "target_rows"), [(3, 100), (9, 16), (40, 1000)])
+def test_kinds_equal_scoring_every_item(spark, n_kinds, target_rows):
+    rng = np.random.default_rng(n_kinds)
+    kinds = rng.integers(0, 3, (n_kinds, 4)).astype(float)
+    of, w = rng.integers(0, n_kinds, 90), rng.integers(-3, 12, 90).astype(float)
+    u = rng.integers(-1, 3, (21, 4)).astype(float)
+    gone = {(int(a), int(b)) for a, b in zip(rng.integers(0, 21, 150), rng.integers(0, 90, 150), strict=True)} | {(2, i) for i in range(88)}
+    q = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(u)], "u long, e array<double>")
+    t = spark.createDataFrame([(i, kinds[of[i]].tolist(), float(w[i])) for i in range(90)], "i long, e array<double>, w double")
+    ex = spark.createDataFrame(sorted(gone), "u long, i long")
+    got = {}
+    for r in kind_topk(q, "u", "e", t, "i", "e", 4, "w", lambda a, b: np.maximum(0.0, a @ b.T), ex, query_rows=8,
+                       target_rows=target_rows, batch_rows=5).collect():
+        got.setdefault(r.u, []).append((r["rank"], r.i, r.score))
+    for a in range(21):
+        s = {i: max(0.0, float(u[a] @ kinds[of[i]])) for i in range(90)}
+        want = sorted((-s[i] * w[i], i) for i in range(90) if s[i] > 0 and (a, i) not in gone)[:4]
+        assert [(x[1], x[2]) for x in sorted(got.get(a, []))] == [(i, pytest.approx(-v)) for v, i in want]
