@@ -4,7 +4,7 @@ A line is the set of its distinct lower-case words. A line goes if an earlier li
 or same document, smaller line number) has a set of Jaccard similarity ``percent`` / 100 or more.
 
 Lines with equal sets are one set, named by its first line. Words become 64-bit codes whose upper
-bits are a frequency class (counted over all words of all texts in 65,536 hash buckets, a table of
+bits are a frequency class (counted over all words of all texts in 2^20 hash buckets, a table of
 fixed size) and whose lower 48 bits are a hash, so that sorting codes orders words by rarity. Two
 sets of n and m words can only reach the similarity if they share two codes among their n - ceil(t n)
 + 2 rarest ones (prefix filter), if min(n, m) >= t max(n, m) (length filter), and if the words left
@@ -31,7 +31,7 @@ from pyspark.sql import Window
 from shelfrank.llm.common import free_name, table, written
 from shelfrank.llm.registry import query
 
-CLASSES = 1 << 16          # hash buckets of the word counts
+CLASSES = 1 << 20          # hash buckets of the word counts
 SHARED = 2                 # prefix words that two similar sets share at least
 HASH_BITS = 48
 FEW = 400_000              # rows that are broadcast at most
@@ -48,18 +48,20 @@ def frequency_classes(docs: DataFrame, text: str) -> Column:
     """array literal: frequency class of each hash bucket, four classes per doubling of the number of
     words in the bucket."""
     counts = (docs.select(F.explode(_words(F.col(text))).alias("w"))
-              .groupBy(F.xxhash64("w").bitwiseAND(CLASSES - 1).alias("b")).agg(F.count("*").alias("n")).collect())
-    out = [0] * CLASSES
-    for b, n in counts:
-        out[b] = min(255, int(4 * math.log2(n + 1)))
-    return F.split(F.lit(",".join(map(str, out))), ",").cast("array<int>")
+              .groupBy(F.xxhash64("w").bitwiseAND(CLASSES - 1).cast("int").alias("b")).agg(F.count("*").alias("n")))
+    # gathered in rows of 1,024 buckets: a character per bucket, which keeps the table small on its way
+    row = F.map_from_entries(F.collect_list(F.struct(F.col("b") % 1024, F.least(F.lit(255), (4 * F.log2(F.col("n") + 1)).cast("int")))))
+    line = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(1023)), lambda i: F.lpad(F.hex(F.coalesce(row[i], F.lit(0))), 2, "0")), "")
+    got = {r[0]: r[1] for r in counts.groupBy(F.floor(F.col("b") / 1024).alias("h")).agg(line.alias("classes")).collect()}
+    table_ = "".join(got.get(h, "00" * 1024) for h in range(CLASSES // 1024))
+    return F.split(F.lit(",".join(str(x - 128) for x in bytes.fromhex(table_))), ",").cast("array<tinyint>")   # folded to one literal
 
 
 def codes(line: Column, classes: Column) -> Column:
     """Sorted distinct codes of the line's words, rarest first."""
     def code(w: Column) -> Column:
         h = F.xxhash64(w)
-        return F.shiftleft(F.get(classes, h.bitwiseAND(CLASSES - 1)).cast("long"), HASH_BITS).bitwiseOR(
+        return F.shiftleft(F.get(classes, h.bitwiseAND(CLASSES - 1).cast("int")).cast("long") + 128, HASH_BITS).bitwiseOR(
             F.shiftrightunsigned(h, 64 - HASH_BITS))
 
     return F.sort_array(F.array_distinct(F.transform(_words(line), code)))
