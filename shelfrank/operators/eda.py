@@ -45,7 +45,7 @@ def density(log_df: DataFrame, users_df: DataFrame, items_df: DataFrame) -> Data
     a = log_df.agg(F.count(F.lit(1)).alias("n_interactions"))
     return a.select("n_interactions", F.lit(n_users).cast("long").alias("n_users"),
                     F.lit(n_items).cast("long").alias("n_items"),
-                    r6(F.col("n_interactions") / (F.lit(n_users) * F.lit(n_items)) * 100.0)
+                    r6(F.col("n_interactions") / F.lit(n_users * n_items).cast("double") * 100.0)
                     .alias("density_pct"))
 
 

@@ -42,3 +42,9 @@ def test_coverage_of_slices_from_kept_sketches(spark):
         for got, want in zip((r.active_users, r.active_items), exact[r["slice"]]):
             assert abs(got / want - 1) < 5 * 1.04 / 64
     assert eda.coverage_until(eda.coverage_sketches(log.limit(0), "s")).count() == 0
+
+
+def test_density_of_more_than_two_to_the_31_pairs(spark):
+    log = spark.createDataFrame([(1, 1), (2, 3)], "user_idx long, item_idx long")
+    row = eda.density(log, spark.range(60_000), spark.range(50_000)).first()
+    assert row.n_users * row.n_items == 3_000_000_000 and row.density_pct == round(2 / 3e9 * 100, 6)
