@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfrank.operators import evaluate as ev
-from shelfrank.operators.scoring import block_topk, kind_topk, sigmoid_dot_price, softmax_topk
+from shelfrank.operators.scoring import block_topk, kind_topk, separable_topk, sigmoid_dot_price, softmax_topk, undominated
 from shelfrank.sources import roles
 
 from paths import SF_SMALL
@@ -102,3 +102,41 @@ def test_kinds_equal_scoring_every_item(spark, n_kinds, target_rows):
         s = {i: max(0.0, float(u[a] @ kinds[of[i]])) for i in range(90)}
         want = sorted((-s[i] * w[i], i) for i in range(90) if s[i] > 0 and (a, i) not in gone)[:4]
         assert [(x[1], x[2]) for x in sorted(got.get(a, []))] == [(i, pytest.approx(-v)) for v, i in want]
+
+
+def test_undominated_targets_hold_the_best_of_any_query():
+    rng = np.random.default_rng(8)
+    ids, x, w = rng.permutation(400), rng.integers(-9, 9, 400) / 4, rng.integers(-8, 8, 400).astype(float)
+    x[3], w[4] = np.nan, np.nan
+    for k in (1, 5, 150, 260):
+        kept = undominated(ids, x, w, k)
+        assert len(kept) < 400 and (k > 5 or len(kept) < 60)
+        for a in (-3.0, 0.0, 2.5):
+            s = w / (1 + np.exp(-(a + x)))
+            order = np.lexsort((ids, -np.nan_to_num(s, nan=-np.inf)))[:k]
+            assert set(order) <= set(kept.tolist())
+
+
+@pytest.mark.parametrize("first", [1, 8, 256])
+def test_separable_scores_equal_the_grid_and_travel_less(spark, monkeypatch, first):
+    from shelfrank.models.linear import shaped_factor, shaped_revenue
+    from shelfrank.operators import scoring
+    monkeypatch.setattr(scoring, "PRUNE_ROWS", 100)
+    rng = np.random.default_rng(9)
+    gone = {(int(a), int(b)) for a, b in zip(rng.integers(0, 20, 150), rng.integers(0, 300, 150), strict=True)} | {(2, i) for i in range(297)}
+    q = spark.createDataFrame([(i, float(v)) for i, v in enumerate(rng.normal(size=20))], "u long, a double")
+    t = spark.createDataFrame([(i, float(b), float(p)) for i, (b, p) in enumerate(zip(rng.integers(-5, 5, 300) / 3, rng.integers(1, 900, 300)))],
+                              "i long, b double, price double")
+    ex = spark.createDataFrame(sorted(gone), "u long, i long")
+    met, whole = [], scoring._grid
+    monkeypatch.setattr(scoring, "_grid", lambda *a: met.append(a[3].count()) or whole(*a))
+    got = separable_topk(q, "u", "a", t, "i", "b", "price", 4, shaped_revenue, shaped_factor, ex, first=first).collect()
+    assert first == 256 or min(met) < 200
+    want = block_topk(q.select("u", F.array("a").alias("a")), "u", "a", t.withColumn("b", F.array("b")), "i", "b", 4, shaped_revenue,
+                      "price", ex, query_rows=7, target_rows=50).collect()
+    assert sorted((r.u, r["rank"], r.i, r.score) for r in got) == sorted((r.u, r["rank"], r.i, r.score) for r in want)
+
+
+def test_blocks_grow_with_the_table():
+    from shelfrank.operators.scoring import TARGET_ROWS, _blocks
+    assert [_blocks(n, TARGET_ROWS) for n in (0, 900, 5_000, 262_144, 720_000)] == [1, 1, 5, 8, 22]
