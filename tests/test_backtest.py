@@ -33,3 +33,14 @@ def test_plan_follows_the_log(spark):
         slices = {x.s: x["count"] for x in moved.groupBy(plan.slice_of("ts").alias("s")).count().collect()}
         assert max(slices) == 3 and {0, 1, 2, 3} <= set(slices)
     assert ev.SlicePlan.ending_with(log.limit(0)) == ev.SlicePlan()
+
+
+def test_strategies_share_the_joined_log(spark, monkeypatch):
+    from shelfrank.plans import q_evaluate as q
+    loads, load = [], q.roles.load
+    monkeypatch.setattr(q.roles, "load", lambda *a: loads.append(a) or load(*a))
+    got = {(r.model, r.iter, r.metric): r.value for r in q._compare_long(spark, SF_SMALL).collect()}
+    assert len(loads) == 1
+    for name, strategy in q.STRATEGIES.items():
+        want = ev.to_long(q._walk_metrics(spark, SF_SMALL, q.PLAN, strategy), ["phase", "iter"]).collect()
+        assert {(name, r.iter, r.metric): r.value for r in want}.items() <= got.items()

@@ -60,3 +60,18 @@ def test_repartition_invariance(spark):
     many = m.predict(r.log.repartition(13), 5, r.users.repartition(13), r.items).toPandas()
     key = ["user_idx", "rank"]
     assert one.sort_values(key).reset_index(drop=True).equals(many.sort_values(key).reset_index(drop=True))
+
+
+def test_unseen_ranks_without_candidate_rows(spark):
+    rng = np.random.default_rng(5)
+    ranked = rank_items(spark.createDataFrame([(i, float(i % 13)) for i in range(90)], "item_idx long, er double"), "er")
+    gone = {(int(u), int(i)) for u, i in zip(rng.integers(0, 12, 400), rng.integers(0, 95, 400))} | {(3, i) for i in range(88)}
+    users = spark.createDataFrame([(u,) for u in range(14)] + [(2,), (None,)], "user_idx long")
+    seen = spark.createDataFrame(sorted(gone) + [(3, 1), (None, 4)], "user_idx long, item_idx long")
+    recs = top_k_unseen_global(ranked, users, seen, 6)
+    plan = recs._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan
+    order = [i for _, i in sorted((-(i % 13), i) for i in range(90))]
+    want = {(u, i, n + 1) for u in [*range(14), None] for n, i in enumerate([i for i in order if (u, i) not in gone][:6])}
+    got = [(r.user_idx, r.item_idx, r["rank"]) for r in recs.collect()]
+    assert len(got) == len(want) and set(got) == want
