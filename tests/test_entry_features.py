@@ -36,3 +36,27 @@ def test_constant_price_scales_by_one_and_null_price_defaults(spark):
     noprice = spark.createDataFrame(pd.DataFrame({"item_idx": [3]}))
     out = fe.with_price(noprice, items.select("item_idx", "price"), default=1.0).first()
     assert out.price == 1.0
+
+
+def test_large_tables_are_not_broadcast_with_their_vectors(spark):
+    from shelfrank.models.neighbors import KnnRecommender
+    from shelfrank.operators.features import FeatureSpace
+    from pyspark.ml.linalg import SparseVector
+    n = 100_001
+    users = spark.range(n).selectExpr("id as user_idx", "cast(id % 5 as string) as segment", "cast(id as double) as x")
+    items = spark.range(n).selectExpr("id as item_idx", "cast(id % 40 as string) as category", "cast(id % 90 as double) as price")
+    log = spark.range(50).selectExpr("id as user_idx", "id * 7 as item_idx", "id % 2 as relevance")
+    fs = FeatureSpace.fit(users, items, log)
+    frame = fs.training_frame(log, users, items)
+    knn = KnnRecommender(3)
+    knn.fs = fs
+    points = log.join(knn._users(users), "user_idx").join(knn._items(items), "item_idx")
+    for df in (frame, points):
+        hints = df._jdf.queryExecution().optimizedPlan().toString()
+        assert hints.count("rightHint=(strategy=merge)") == 2
+    few = items.where("item_idx < 40 or item_idx in (42, 49)")
+    small = fs.training_frame(log, users.where("user_idx < 50"), few).orderBy("user_idx").collect()
+    first = small[1]
+    assert isinstance(first.features, SparseVector) and len(first.features) == 5 + 1 + 40 + 1
+    whole = fs.user_vectors(users.where("user_idx = 1")).first().uvec + fs.item_vectors(items.where("item_idx = 7")).first().ivec
+    assert first.features.toArray().tolist() == whole and first.item_idx == 7
