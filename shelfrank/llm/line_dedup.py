@@ -5,14 +5,16 @@ or same document, smaller line number) has a set of Jaccard similarity ``percent
 
 Lines with equal sets are one set, named by its first line. Words become 64-bit codes whose upper
 bits are a frequency class (counted over all words of all texts in 65,536 hash buckets, a table of
-fixed size) and whose lower 48 bits are a hash, so that sorting codes orders words by rarity. Two
-sets of n and m words can only reach the similarity if they share two codes among their n - ceil(t n)
-+ 2 rarest ones (prefix filter), if min(n, m) >= t max(n, m) (length filter), and if the words left
-behind the shared ones suffice (positional filter). A 64-bit parity of each set rules out pairs that
-provably differ in too many words, and the pairs that pass are verified on all codes.
+fixed size) and whose lower 48 bits are a hash, so that sorting codes orders words by rarity. The
+a + b words that two sets do not share cut the shared ones, in that order, into a + b + 1 runs at most,
+so that of the first a + b + 2 shared words two are neighbours in both sets. From a similarity t of
+3/4 on there are as many, among the floor(2 (1 - t) n) + 2 rarest words of a set of n: sets meet under
+two neighbouring words there (below 3/4 under each of the n - ceil(t n) + 1 rarest words). Sets that
+meet must have sizes that allow the similarity (length filter); a 128-bit parity of each set rules out
+pairs that provably differ in too many words, and the pairs that pass are verified on all codes.
 
 A cluster of variants is not paired up: in a first round every set meets only the earliest set under
-each of its prefix words; sets for which that proves an earlier match need no further partner.
+each of its keys; sets for which that proves an earlier match need no further partner.
 
 Defined cases: a null or empty text has no lines to remove; a line without words is never removed
 and matches nothing; a line that consists of one very long word is a set of one; rows that repeat doc_id and
@@ -32,7 +34,7 @@ from shelfrank.llm.common import free_name, table, written
 from shelfrank.llm.registry import query
 
 CLASSES = 1 << 16          # hash buckets of the word counts
-SHARED = 2                 # prefix words that two similar sets share at least
+NEIGHBOURS_FROM = 75       # percent from which similar sets are sure to share two neighbouring words
 HASH_BITS = 48
 FEW = 400_000              # rows that are broadcast at most
 
@@ -65,11 +67,12 @@ def codes(line: Column, classes: Column) -> Column:
     return F.sort_array(F.array_distinct(F.transform(_words(line), code)))
 
 
-def _parity(codes_: str) -> Column:
-    """64 bits, each flipped once per code that falls on it. Two sets differ in at least as many codes
-    as their parities differ in bits."""
+def _parity(codes_: str, half: int) -> Column:
+    """64 of 128 bits, each flipped once per code that falls on it. Two sets differ in at least as many
+    codes as their parities differ in bits."""
     bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))
-    return F.aggregate(codes_, F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(bit(x)))
+    mine = F.filter(codes_, lambda x: x.bitwiseAND(64) == 64 * half)
+    return F.aggregate(mine, F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(bit(x)))
 
 
 class _Places:
@@ -139,65 +142,59 @@ def removed_lines(docs: DataFrame, percent: int = 80, text: str = "text", key: s
     places = _Places(docs, text, key)
     classes = frequency_classes(docs, text)
     n = F.size("codes")
-    # n - ceil(t n) + SHARED rarest words: two similar sets share at least SHARED of them (or, in a
-    # set as short as that, of all words)
-    keep = F.least(n, n - F.ceil(F.lit(percent) * n / 100) + SHARED).cast("int")
-    short = F.transform(F.slice("codes", F.lit(1), keep), lambda c: c.bitwiseAND((1 << 31) - 1).cast("int"))
+    wide = percent >= NEIGHBOURS_FROM
+    keep = F.least(n, (F.floor(F.lit(2 * (100 - percent)) * n / 100) + 2 if wide
+                       else n - F.ceil(F.lit(percent) * n / 100) + 1)).cast("int")
+    prefix = F.slice("codes", F.lit(1), keep)
+    keys = (F.zip_with(F.slice(prefix, F.lit(1), F.greatest(keep - 1, F.lit(0))), F.slice(prefix, 2, keep),
+                       lambda a, b: F.xxhash64(a, b)) if wide else prefix)
     rows = docs.select(places.doc(), F.posexplode(F.split(F.col(text), "\n")).alias("line", "words"))
     lines = written(rows.select(places.at(F.col("doc"), F.col("line")), codes(F.col("words"), classes).alias("codes"))
                     .where("size(codes) > 0")
                     .select("at", n.alias("n"), F.xxhash64("codes").alias("k1"), F.hash("codes").alias("k2"),
-                            _parity("codes").alias("parity"), short.alias("prefix")), "lines")
+                            _parity("codes", 0).alias("even"), _parity("codes", 1).alias("odd"), keys.alias("keys")), "lines")
     same = ["k1", "k2", "n"]
-    sets = written(lines.groupBy(*same).agg(F.min("at").alias("at"), F.first("parity").alias("parity"),
-                                            F.first("prefix").alias("prefix")), "line-sets")
+    sets = written(lines.groupBy(*same).agg(F.min("at").alias("at"), F.first("even").alias("even"),
+                                            F.first("odd").alias("odd"), F.first("keys").alias("keys")), "line-sets")
     # a set of n words can only match a different set if n >= t (n + 1)
-    able = sets.where(F.lit(percent) * (F.col("n") + 1) <= 100 * F.col("n")).select("at", "n", "parity", "prefix")
-
-    def fits(x, y) -> Column:
-        """Sizes and parities allow the similarity."""
-        differ = F.bit_count(x["parity"].bitwiseXOR(y["parity"]))
-        return ((100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"]))
+    able = sets.where(F.lit(percent) * (F.col("n") + 1) <= 100 * F.col("n"))
+    order = Window.partitionBy("key").orderBy("at")
+    # most keys have one set and end here, so that the sizes and parities travel with few
+    shared = written(able.select(F.explode("keys").alias("key"), "at")
+                     .select("key", "at", F.lag("at").over(order).alias("before"), F.lead("at").over(order).alias("after"))
+                     .where("before is not null or after is not null").select("key", "at"), "line-shared")
+    parts = F.struct("at", "n", "even", "odd")
+    posting = shared.join(able.select("at", parts.alias("x")), "at").select("key", "at", "x")
+
+    def earlier(x: Column, y: Column) -> Column:
+        """``y`` is an earlier set, and sizes and parities allow the similarity."""
+        differ = F.bit_count(x["even"].bitwiseXOR(y["even"])) + F.bit_count(x["odd"].bitwiseXOR(y["odd"]))
+        return ((y["at"] < x["at"]) & (100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"]))
                 & ((100 + percent) * differ <= (100 - percent) * (x["n"] + y["n"])))
 
-    posting = (able.select("at", "n", "parity", F.posexplode("prefix").alias("pos", "code"))
-               .select("code", "at", "n", "parity", (F.col("n") - F.col("pos")).alias("rest")))
-    order = Window.partitionBy("code").orderBy("at")
-    parts = F.struct("at", "n", "parity", "rest")
-
-    def possible(x, y) -> Column:
-        """Sizes, parities and the words left behind a shared word (the first or a second one) allow
-        the similarity."""
-        return fits(x, y) & ((100 + percent) * (F.least(x["rest"], y["rest"]) + SHARED - 1) >= percent * (x["n"] + y["n"]))
-
-    def earlier(y) -> Column:
-        """A possible match of x in another set: two words of one set can have the same cut code."""
-        return (y["at"] < F.col("x.at")) & possible(F.col("x"), y)
-
-    framed = posting.select("code", parts.alias("x"), F.row_number().over(order).alias("i"),
-                            F.first(parts).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("lead"),
-                            F.collect_list(parts).over(order.rowsBetween(-near, -1)).alias("ys"))
+    framed = posting.select("key", "x", F.row_number().over(order).alias("i"),
+                            F.first("x").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("lead"),
+                            F.collect_list("x").over(order.rowsBetween(-near, -1)).alias("ys"))
     found = written(framed.where("i > 1").select(
-        F.col("x.at").alias("at"), "code", F.col("x.rest").alias("rest"), F.when(F.col("i") > near + 1, F.col("x")).alias("far"),
-        F.when(earlier(F.col("lead")), F.col("lead.at")).alias("lead"),
-        F.transform(F.filter("ys", earlier), lambda y: y["at"]).alias("at2s"))
+        F.col("x.at").alias("at"), "key", F.when(F.col("i") > near + 1, F.col("x")).alias("far"),
+        F.when(earlier(F.col("x"), F.col("lead")), F.col("lead.at")).alias("lead"),
+        F.transform(F.filter("ys", lambda y: earlier(F.col("x"), y)), lambda y: y["at"]).alias("at2s"))
         .where("size(at2s) > 0 or lead is not null or far is not null"), "line-near")
 
-    # round 1: every set against the earliest one under each of its prefix words
+    # round 1: every set against the earliest one under each of its keys
     first = found.where("lead is not null").select("at", F.col("lead").alias("at2")).distinct()
     matched = written(_verified(first, docs, classes, percent, text, places).select("at").distinct(), "line-matched")
 
     # round 2: the sets that have no match yet against all earlier sets; the ``near`` ones before
-    # under each word, and by a join the sets further back under frequent words
-    rest = written(found.join(matched, "at", "left_anti").select("at", "code", "rest", "far", "at2s"), "line-open")
-    second = rest.select("code", "rest", "at", F.explode("at2s").alias("at2"))   # rest: the posting, if codes coincide
-    frequent = written(rest.where("far is not null").select("code").distinct(), "line-frequent")
+    # under each key, and by a join the sets further back under frequent keys
+    rest = written(found.join(matched, "at", "left_anti"), "line-open")
+    second = rest.select("at", F.explode("at2s").alias("at2")).distinct()
+    frequent = written(rest.where("far is not null").select("key").distinct(), "line-frequent")
     if not frequent.isEmpty():
-        back = posting.join(_few(frequent), "code").select("code", parts.alias("y"))
-        late = rest.where("far is not null").select("code", F.col("far").alias("x"))
-        second = second.union(late.join(back, "code").where(
-            F.expr("y.at < x.at") & possible(F.col("x"), F.col("y"))).select("code", "x.rest", "x.at", "y.at")).distinct()
-    second = second.groupBy("at", "at2").agg(F.count("*").alias("c")).where(F.col("c") >= SHARED).select("at", "at2")
+        back = posting.join(_few(frequent), "key").select("key", F.col("x").alias("y"))
+        late = rest.where("far is not null").select("key", F.col("far").alias("x"))
+        second = second.union(late.join(back, "key").where(earlier(F.col("x"), F.col("y")))
+                              .select("x.at", "y.at")).distinct()
     matched = matched.union(_verified(second, docs, classes, percent, text, places).select("at")).distinct()
 
     gone = (sets.select(*same, F.col("at").alias("first"))

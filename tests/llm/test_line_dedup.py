@@ -87,3 +87,25 @@ def test_colliding_prefix_codes_change_nothing(spark, monkeypatch, near):
         codes(line, classes), lambda c: L.F.shiftleft(L.F.shiftright(c, 31), 31))))
     rows = near_lines()
     assert removed(documents(spark, rows), near=near) == brute(rows, 80)
+
+
+@pytest.mark.parametrize("percent", [60, 75])
+def test_other_percentages(spark, percent):
+    rows = near_lines()
+    assert removed(documents(spark, rows), percent=percent, near=4) == brute(rows, percent)
+
+
+def test_long_lines_of_one_vocabulary_are_not_all_verified(spark, monkeypatch):
+    """Lines with half of their words in common meet under many words; few of their pairs are read again."""
+    import random
+    rnd, pairs, written = random.Random(3), [], L.written
+    rows = [(d, " ".join(rnd.sample([f"v{i}" for i in range(170)], 120))) for d in range(60)]
+
+    def counted(df, name):
+        out = written(df, name)
+        pairs.extend([out.count()] if name == "line-pairs" else [])
+        return out
+
+    monkeypatch.setattr(L, "written", counted)
+    assert removed(documents(spark, rows)) == {}
+    assert len(pairs) == 2 and sum(pairs) < 60
