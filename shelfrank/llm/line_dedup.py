@@ -145,22 +145,22 @@ def removed_lines(docs: DataFrame, percent: int = 80, text: str = "text", key: s
     wide = percent >= NEIGHBOURS_FROM
     keep = F.least(n, (F.floor(F.lit(2 * (100 - percent)) * n / 100) + 2 if wide
                        else n - F.ceil(F.lit(percent) * n / 100) + 1)).cast("int")
-    prefix = F.slice("codes", F.lit(1), keep)
-    keys = (F.zip_with(F.slice(prefix, F.lit(1), F.greatest(keep - 1, F.lit(0))), F.slice(prefix, 2, keep),
-                       lambda a, b: F.xxhash64(a, b)) if wide else prefix)
+    short = F.transform(F.slice("codes", F.lit(1), keep), lambda c: c.bitwiseAND((1 << 31) - 1).cast("int"))
     rows = docs.select(places.doc(), F.posexplode(F.split(F.col(text), "\n")).alias("line", "words"))
     lines = written(rows.select(places.at(F.col("doc"), F.col("line")), codes(F.col("words"), classes).alias("codes"))
                     .where("size(codes) > 0")
-                    .select("at", n.alias("n"), F.xxhash64("codes").alias("k1"), F.hash("codes").alias("k2"),
-                            _parity("codes", 0).alias("even"), _parity("codes", 1).alias("odd"), keys.alias("keys")), "lines")
-    same = ["k1", "k2", "n"]
-    sets = written(lines.groupBy(*same).agg(F.min("at").alias("at"), F.first("even").alias("even"),
-                                            F.first("odd").alias("odd"), F.first("keys").alias("keys")), "line-sets")
+                    .select("at", n.alias("n"), F.xxhash64("codes").alias("k1"), _parity("codes", 0).alias("even"),
+                            _parity("codes", 1).alias("odd"), short.alias("prefix")), "lines")
+    same = ["k1", "even", "odd", "n"]
+    sets = written(lines.groupBy(*same).agg(F.min("at").alias("at"), F.first("prefix").alias("prefix")), "line-sets")
     # a set of n words can only match a different set if n >= t (n + 1)
     able = sets.where(F.lit(percent) * (F.col("n") + 1) <= 100 * F.col("n"))
+    size = F.size("prefix")
+    keys = (F.zip_with(F.slice("prefix", F.lit(1), size - 1), F.slice("prefix", F.lit(2), size),
+                       lambda a, b: F.xxhash64(a, b)) if wide else F.col("prefix"))
     order = Window.partitionBy("key").orderBy("at")
     # most keys have one set and end here, so that the sizes and parities travel with few
-    shared = written(able.select(F.explode("keys").alias("key"), "at")
+    shared = written(able.select(F.explode(keys).alias("key"), "at")
                      .select("key", "at", F.lag("at").over(order).alias("before"), F.lead("at").over(order).alias("after"))
                      .where("before is not null or after is not null").select("key", "at"), "line-shared")
     parts = F.struct("at", "n", "even", "odd")
