@@ -47,3 +47,25 @@ def test_registered_tree_queries_run_the_reference_search(spark, monkeypatch):
     assert (rf.n_draws, rf.n_folds, made["gbt"].gbt_trees) == (10, 3, 1000)
     assert rf.space == {"num_trees": (100, 300), "max_depth": (5, 30), "min_split": (2, 20), "min_leaf": (1, 10),
                         "features": ["sqrt", "log2", "all"]}
+
+
+def test_random_lists_skip_repeated_seen_rows_without_candidate_rows(spark):
+    from shelfrank.models.baselines import RandomRecommender
+
+    users = spark.range(30).withColumnRenamed("id", "user_idx")
+    items = spark.range(25).withColumnRenamed("id", "item_idx")
+    seen = users.crossJoin(items).where("(user_idx * 7 + item_idx) % 3 < 2 or user_idx = 4")
+    log = seen.unionByName(seen.where("item_idx % 2 = 0"))
+    whole = {}
+    for r in RandomRecommender(3).predict(None, 25, users, items).collect():
+        whole.setdefault(r.user_idx, []).append((r["rank"], r.item_idx))
+    gone = {(r.user_idx, r.item_idx) for r in log.collect()}
+    recs = RandomRecommender(3).predict(log, 4, users, items)
+    got = {}
+    for r in recs.collect():
+        got.setdefault(r.user_idx, []).append((r["rank"], r.item_idx, r.relevance))
+    for u, order in whole.items():
+        left = [i for _, i in sorted(order) if (u, i) not in gone][:4]
+        assert sorted(got.get(u, [])) == [(n, i, 1 / n) for n, i in enumerate(left, 1)]
+    assert 4 not in got
+    assert "LeftAnti" not in recs._jdf.queryExecution().executedPlan().toString()
